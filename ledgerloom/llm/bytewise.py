@@ -120,3 +120,27 @@ def words(chunk: Chunk, alphabet: np.ndarray) -> Words:
     folded = LOWER[chunk.data]
     h = mix64(span_hash(prefix_hash(folded.astype(U64) + U64(1), BASE), start, end) + (end - start).astype(U64))
     return Words(start, end, h, np.searchsorted(start, chunk.offsets), folded)
+
+
+def annotate(docs, fn, fields: str, keep: tuple[str, ...] | None = None, text: str = "text"):
+    """Run ``fn(texts) -> one Arrow array per field`` over every batch of rows, next to the row itself.
+
+    Returns a frame of ``row`` (a struct of the columns ``keep``, all where None) and
+    ``fields`` (a DDL string). Names of the caller's columns can't clash with ``fields``.
+    """
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    row = F.struct("*") if keep is None else F.struct(*[docs[c] for c in keep])
+    df = docs.select(row.alias("row"), docs[text].cast("string").alias("text"))
+    own = T.StructType.fromDDL(fields)
+    out = T.StructType([df.schema["row"], *own.fields])
+    arrow = to_arrow_schema(own)
+
+    def run(batches):
+        for batch in batches:
+            made = [x if isinstance(x, (pa.Array, pa.ChunkedArray)) and x.type == f.type else pa.array(x, type=f.type) for x, f in zip(fn(batch.column(1)), arrow, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["row", *arrow.names])
+
+    return df.mapInArrow(run, out)
