@@ -24,6 +24,7 @@ _CONF = {
     "spark.sql.streaming.stateStore.providerClass": _ROCKS,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # many small stores: no preallocated logs
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
