@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from ledgerloom.llm.decontaminate import OP10_SQL, op10_benchmark_decontamination
 from ledgerloom.llm.exact_dedup import OP4_SQL, op4_exact_dedup
+from ledgerloom.llm.near_dedup import op1_minhash_near_dedup
 from ledgerloom.llm.packing import op2_best_fit_packing
 
 QUERIES = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
