@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerloom.llm.decontaminate import OP10_SQL, op10_benchmark_decontamination
 from ledgerloom.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from ledgerloom.llm.language import op8_language_id
+from ledgerloom.llm.licenses import op5_license_scan
 from ledgerloom.llm.near_dedup import op1_minhash_near_dedup
 from ledgerloom.llm.packing import op2_best_fit_packing
 from ledgerloom.llm.quality import op3_quality_classifier
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_license_scan": op5_license_scan,
     "op8_language_id": op8_language_id,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
