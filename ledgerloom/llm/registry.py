@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from ledgerloom.llm.decontaminate import OP10_SQL, op10_benchmark_decontamination
 from ledgerloom.llm.exact_dedup import OP4_SQL, op4_exact_dedup
+from ledgerloom.llm.extraction import op6_html_extraction
 from ledgerloom.llm.language import op8_language_id
 from ledgerloom.llm.licenses import op5_license_scan
 from ledgerloom.llm.near_dedup import op1_minhash_near_dedup
 from ledgerloom.llm.packing import op2_best_fit_packing
+from ledgerloom.llm.preferences import OP9_SQL, op9_preference_formatting
 from ledgerloom.llm.quality import op3_quality_classifier
 
 QUERIES = {
@@ -16,11 +18,14 @@ QUERIES = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_license_scan": op5_license_scan,
+    "op6_html_extraction": op6_html_extraction,
     "op8_language_id": op8_language_id,
+    "op9_preference_formatting": op9_preference_formatting,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
 SQL = {
     "op4_exact_dedup": OP4_SQL,
+    "op9_preference_formatting": OP9_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
 }
