@@ -11,6 +11,7 @@ from ledgerloom.llm.near_dedup import op1_minhash_near_dedup
 from ledgerloom.llm.packing import op2_best_fit_packing
 from ledgerloom.llm.preferences import OP9_SQL, op9_preference_formatting
 from ledgerloom.llm.quality import op3_quality_classifier
+from ledgerloom.llm.suffix_dedup import op7_suffix_array_dedup
 
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_license_scan": op5_license_scan,
     "op6_html_extraction": op6_html_extraction,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_language_id": op8_language_id,
     "op9_preference_formatting": op9_preference_formatting,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
