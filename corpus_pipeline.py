@@ -1,21 +1,50 @@
-"""The corpus pipeline: stages that each write their result for the next one."""
+"""The corpus pipeline: documents go through filters one after the other and are packed at the end.
+
+Each stage reads what its predecessor kept, written as Parquet, and its decision takes
+effect: rows that it rejects are gone from then on.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import shared
-from ledgerloom.llm.exact_dedup import drop_copies
+from ledgerloom.llm import decontaminate, exact_dedup, language, near_dedup, packing, shared
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a known language, or between two, go."""
+    return language.known_language(docs, language.fit(docs))
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the smallest id stays."""
+    return exact_dedup.drop_copies(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the one with the smallest id stays."""
+    return near_dedup.drop_near_copies(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    return decontaminate.drop_contaminated(docs, shared.read(spark, sf_dir, "benchmark"))
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
-    return drop_copies(docs)
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the remaining documents in sequences of 4096 tokens."""
+    return packing.pack(docs, packing.vocabulary())
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+STAGES = [
+    ("language_id", language_id),
+    ("exact_dedup", exact_copies),
+    ("near_dedup", near_copies),
+    ("decontamination", benchmark_leaks),
+    ("packing", packed),
+]
 
-#: Not all stages can be told in SQL.
+#: Learnt languages, signatures and token ids can't be told in SQL.
 ORACLE_SQL = None
 
 
