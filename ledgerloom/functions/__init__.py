@@ -1 +1 @@
-
+"""Column functions: cleaning, keys, code maps."""

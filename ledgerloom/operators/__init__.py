@@ -1 +1 @@
-
+"""DataFrame operators: history, changes, windows, joins, aggregates, audits."""

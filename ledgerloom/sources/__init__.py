@@ -1 +1 @@
-
+"""Readers and writers: delimited, fixed-width, XML, Parquet, change feeds, streams."""
