@@ -136,7 +136,7 @@ def latest_order_state(t):
     return H.latest(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
 
 
-@query("""SELECT l_partkey, l_orderkey, l_linenumber FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey) = 1""")
+@query("""SELECT l_partkey, l_orderkey, l_linenumber::BIGINT AS l_linenumber FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey) = 1""")
 def first_shipment(t):
     return H.first_only(t.lineitem, ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey"]).select("l_partkey", "l_orderkey", "l_linenumber")
 
@@ -236,7 +236,7 @@ def trailing_4q_revenue(t):
     return W.trailing_sum(quarters(t), ["l_suppkey"], ["y", "q"], "revenue")
 
 
-@query(f"""WITH {_QUARTERS} SELECT o_orderkey, l_suppkey, round(CAST(round(l_extendedprice * 100) AS BIGINT) / nullif(trailing, 0), 9) AS ratio
+@query(f"""WITH {_QUARTERS} SELECT o_orderkey, l_suppkey, round(CAST(round(l_extendedprice * 100) AS BIGINT) / nullif(tr.trailing, 0), 9) AS ratio
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN tr USING (l_suppkey) WHERE l_linenumber = 1 AND y = year(l_shipdate) AND q = quarter(l_shipdate)""")
 def pe_ratio_like(t):
     r = W.trailing_sum(quarters(t), ["l_suppkey"], ["y", "q"], "revenue").select("l_suppkey", "y", "q", "trailing")
@@ -285,7 +285,7 @@ def merged_feeds(t):
     return M.merge_updates(last("view", 3, "v_id"), last("click", 5, "c_id"), "user_id")
 
 
-@query("""SELECT s_suppkey, s_name, n_nationkey AS s_nationkey, r_name AS moved_to, CAST(DATE '2020-01-01' + n_nationkey AS VARCHAR) AS changed FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 4 = 1""")
+@query("""SELECT s_suppkey, s_name, n_nationkey::BIGINT AS s_nationkey, r_name AS moved_to, CAST(DATE '2020-01-01' + n_nationkey AS VARCHAR) AS changed FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 4 = 1""")
 def cascade_children(t):
     moved = M.lookup(t.nation.filter("n_nationkey % 4 = 1"), t.region, "n_regionkey", "r_regionkey", {"r_name": "moved_to"}).withColumn("changed", F.date_add(F.lit("2020-01-01").cast("date"), F.col("n_nationkey")))
     child = t.supplier.select("s_suppkey", "s_name", "s_nationkey").withColumnRenamed("s_nationkey", "n_nationkey")
@@ -343,6 +343,16 @@ def cdc_scd2(t):
     return K.apply_changes([e], ["user_id"], ["event_id"], scd=2).select("user_id", "event_id", "event_type", "end_at")
 
 
+@query("SELECT 'same versions' AS test, 'OK' AS result, 0::BIGINT AS failures FROM (SELECT count(*) FROM events)")
+def scd2_merge_again(t):
+    """Merging events that the history already has changes nothing: versions that would differ are counted."""
+    e = H.latest(t.events.select("user_id", "ts", "event_id", "event_type", F.to_date("ts").alias("day")), ["user_id", "day"], ["ts", "event_id"]).drop("day")
+    held = H.scd2_build(e, ["user_id"], "ts", ["event_id"])
+    again = K.scd2_merge(held, e.filter("event_id % 2 = 0"), ["user_id"], "ts", ["event_id"], ["event_type"])
+    both = again.select("event_id", F.col("enddate").alias("e")).join(held.select("event_id", "enddate"), "event_id", "full_outer")
+    return A.check("same versions", both, ~F.col("enddate").eqNullSafe(F.col("e")))
+
+
 @query("""WITH day AS (SELECT user_id, event_type, event_id, CAST(ts AS DATE) AS s FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1),
 v AS (SELECT *, coalesce(lead(s) OVER (PARTITION BY user_id ORDER BY s), DATE '9999-12-31') AS e FROM day)
 SELECT user_id, event_type, CAST(s AS VARCHAR) AS effectivedate, CAST(e AS VARCHAR) AS enddate, e = DATE '9999-12-31' AS iscurrent FROM v""")
