@@ -140,17 +140,22 @@ _LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.Lon
 def _block_links(key, table):
     """Likely links between different components within one pair of blocks of one bucket.
 
-    A pair is told in the first band that its signatures share, not in every one.
+    What a set shares with any other is at most what it doesn't have alone (``alone``
+    shingles occur in no other set here); pairs that can't reach the threshold by that bound
+    are left out, without loss. A pair is told in the first band that it shares, not in every one.
     """
     bucket, low, high = (k.as_py() for k in key)
-    ids, comp, block = (table.column(c).to_numpy() for c in ("id", "component", "block"))
+    ids, comp, block, size, alone = (table.column(c).to_numpy() for c in ("id", "component", "block", "size", "alone"))
+    most = size - alone
     sig = np.array(table.column("sig").combine_chunks().flatten()).reshape(len(ids), COORDINATES)
     keys = np.array(table.column("keys").combine_chunks().flatten()).reshape(len(ids), BANDS)
     band = int(np.flatnonzero(keys[0] == bucket)[0])
     left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
     a_out, b_out = [], []
     for i in left:
-        j = right[(comp[right] != comp[i]) & ((low != high) | (ids[right] > ids[i]))]
+        common = np.minimum(most[right], most[i])
+        can = 100 * common >= PERCENT * (size[right] + size[i] - common)
+        j = right[can & (comp[right] != comp[i]) & ((low != high) | (ids[right] > ids[i]))]
         if len(j):
             j = j[(sig[j] == sig[i]).sum(axis=1) >= AGREE]
             j = j[~(keys[j, :band] == keys[i, :band]).any(axis=1)]
@@ -197,9 +202,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labelled = members.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rest = labelled.join(mixed, "key").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rest = labelled.join(mixed, "key")
+    here = sets.join(rest.select("id").distinct(), "id").select("id", F.size("hashes").alias("size"), "hashes")
+    single = here.select("id", F.explode("hashes").alias("h")).groupBy("h").agg(F.count("*").alias("df"), F.min("id").alias("id")).filter("df = 1").groupBy("id").agg(F.count("*").alias("alone"))
+    bounds = here.select("id", "size").join(single, "id", "left").withColumn("alone", F.coalesce("alone", F.lit(0)).cast("int")).filter(100 * (F.col("size") - F.col("alone")) >= PERCENT * F.col("size"))
+    rest = rest.join(bounds, "id").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rest = rest.join(candidates.select("id", "sig", "keys"), "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id", "component", "block", "sig", "keys")
+    rest = rest.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id", "component", "block", "size", "alone", "sig", "keys")
     likely = rest.groupBy("key", "low", "high").applyInArrow(_block_links, _LINK)
     tried = star.select("a", "b").union(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
     more = shared.materialize(likely.distinct().join(tried, ["a", "b"], "left_anti"), "likely")
