@@ -190,3 +190,58 @@ def wh_account_replay(w):
     dated_rows = H.scd2_build(H.forward_fill(events, ["accountid"], ["ts", "seq"], cols), ["accountid"], "ts", ["seq"]).drop("iscurrent", "ts", "seq")
     both = H.overlap_join(dated_rows, w.dim_customer.select("customerid", "sk_customerid", "effectivedate", "enddate"), ["customerid"], how="left")
     return both.select(C.version_key("effectivedate", "accountid").alias("sk_accountid"), "accountid", "sk_customerid", "brokerid", C.map_codes("status", C.STATUS).alias("status"), "effectivedate", "enddate", (F.col("enddate") == H.open_end()).alias("iscurrent"))
+
+
+@query("""SELECT customerid, lastname, tier, gender, city, nat_tx::BIGINT AS nat_tx, CAST(s AS VARCHAR) AS effectivedate, CAST(e AS VARCHAR) AS enddate, e = DATE '9999-12-31' AS iscurrent FROM cust""")
+def wh_customer_incremental(w):
+    """The customers' versions by a first load and two batches of sparse changes: each batch reads only its own log."""
+    log, cols = C.blank_to_null(w.feed.customer_log), ["lastname", "tier", "gender", "city", "nat_tx"]
+    first, rest = tables.split_at(log, "ts", F.lit("1996-06-01").cast("timestamp_ntz"))
+    held = H.scd2_build(H.forward_fill(first, ["customerid"], ["ts", "seq"], cols), ["customerid"], "ts", ["seq"]).drop("action")
+    for batch in tables.split_at(rest, "ts", F.lit("1999-01-01").cast("timestamp_ntz")):
+        held = tables.scratch(K.scd2_merge(held, batch, ["customerid"], "ts", ["seq"], cols), "customers")
+    return held.select("customerid", *cols, "effectivedate", "enddate", "iscurrent")
+
+
+@query("""SELECT t_id, CAST(strftime(placed, '%Y%m%d') AS BIGINT) AS sk_createdateid, CAST(strftime(closed, '%Y%m%d') AS BIGINT) AS sk_closedateid, status, cents FROM life""")
+def wh_trade_incremental(w):
+    """Trades by a first load of what was known at a day, then an upsert of later status changes that only touches open trades."""
+    day, log = F.lit("1998-07-01").cast("timestamp_ntz"), w.feed.trade_history
+    facts = w.feed.trades.select("t_id", "cents")
+
+    def state(rows: DataFrame) -> DataFrame:
+        life = K.trade_lifecycle(rows, ["t_id"], "th_dts", "status", ["SBMT"], ["CMPT", "CNCL"])
+        last = rows.groupBy("t_id").agg(F.max("th_dts").alias("th_dts"))
+        opened = rows.groupBy("t_id").agg(F.max(F.when(F.col("status") == "SBMT", F.col("th_dts"))).alias("opened"))
+        return life.join(last, "t_id").join(opened, "t_id").join(facts, "t_id").select("t_id", "th_dts", F.col("opened").alias("create_ts"), "close_ts", C.map_codes("status", C.STATUS).alias("status"), "cents")
+
+    old, new = tables.split_at(log, "th_dts", day)
+    held = tables.scratch(state(old), "trades")
+    out = K.scd1_merge(held, state(new), ["t_id"], ["th_dts"], guard=held["close_ts"].isNull())
+    return out.select("t_id", C.date_key("create_ts").alias("sk_createdateid"), C.date_key("close_ts").alias("sk_closedateid"), "status", "cents")
+
+
+@query("""SELECT customerid, symbol, CAST(strftime(placed, '%Y%m%d') AS BIGINT) AS sk_dateplaced, CAST(strftime(removed, '%Y%m%d') AS BIGINT) AS sk_dateremoved FROM
+(SELECT user_id AS customerid, 'S' || (event_id % 20) AS symbol, min(CAST(ts AS DATE)) FILTER (event_type <> 'purchase') AS placed, CAST(NULL AS DATE) AS r0,
+ max(CAST(ts AS DATE)) FILTER (event_type = 'purchase' AND ts >= TIMESTAMP '2024-01-20') AS removed FROM events WHERE event_type <> 'error' AND (event_type = 'purchase') = (ts >= TIMESTAMP '2024-01-20') GROUP BY ALL) WHERE placed IS NOT NULL""")
+def wh_watches_incremental(w):
+    """Watches placed in a first period, closed by the cancellations of the next one; those without an open watch are told apart."""
+    log = w.feed.watches
+    cut = F.lit("2024-01-20").cast("timestamp_ntz")
+    told = lambda rows: H.open_close(rows, ["customerid", "symbol"], "action", "ts", "CNCL").withColumns({c: F.col(c).cast("date") for c in ("placed", "removed")})
+    held = told(log.filter((F.col("ts") < cut) & (F.col("action") == "ACTV")))
+    out, _ = K.open_close_merge(held, told(log.filter((F.col("ts") >= cut) & (F.col("action") == "CNCL"))), ["customerid", "symbol"], "placed", "removed")
+    return out.select("customerid", "symbol", C.date_key("placed").alias("sk_dateplaced"), C.date_key("removed").alias("sk_dateremoved"))
+
+
+@query("""SELECT count(*) AS n, count(*) AS pairs, CAST(sum(nation_size) AS BIGINT) AS total FROM (SELECT c_nationkey, count(*) AS nation_size FROM customer GROUP BY 1) x JOIN customer USING (c_nationkey)""")
+def wh_pool_permutation(w):
+    """Each nation's customers are dealt new places within their own nation; no place is dealt twice."""
+    from ledgerloom.operators.pools import permuted
+
+    c = w.feed.read("customer").select("c_nationkey", "c_custkey")
+    sizes = c.groupBy("c_nationkey").agg(F.count("*").alias("size"))
+    own = F.row_number().over(W.Window.partitionBy("c_nationkey").orderBy("c_custkey")) - 1
+    dealt = c.withColumn("i", own.cast("long")).join(sizes, "c_nationkey").withColumn("place", permuted("i", "size", F.col("c_nationkey").cast("long")))
+    ok = F.col("place").between(0, F.col("size") - 1)
+    return dealt.filter(ok).agg(F.count("*").alias("n"), F.count_distinct("c_nationkey", "place").alias("pairs"), F.sum("size").alias("total"))
