@@ -12,7 +12,9 @@ from pyspark.sql import types as T
 STATUS = {"ACTV": "Active", "CMPT": "Completed", "CNCL": "Canceled", "PNDG": "Pending", "SBMT": "Submitted", "INAC": "Inactive"}
 TRADE_TYPE = {"TMB": "Market Buy", "TMS": "Market Sell", "TSL": "Stop Loss", "TLS": "Limit Sell", "TLB": "Limit Buy"}
 ACTION_STATUS = {"NEW": "Active", "ADDACCT": "Active", "UPDACCT": "Active", "UPDCUST": "Active", "CLOSEACCT": "Inactive", "INACT": "Inactive"}
-RATINGS = tuple(x + y for x in ("A", "B", "C") for y in ("", "+", "-")) + ("AAA", "AA", "AA+", "AA-", "BBB", "BB", "BBB+", "BBB-", "BB+", "BB-", "CCC", "CC", "CCC+", "CCC-", "D")
+RATINGS = ("AAA", "AA+", "AA", "AA-", "A+", "A", "A-", "BBB+", "BBB", "BBB-", "BB+", "BB", "BB-", "B+", "B", "B-", "CCC+", "CCC", "CCC-", "CC", "C", "D")
+#: Grades from here on are low ones.
+FIRST_LOW_GRADE = "BB+"
 OPEN_END = "9999-12-31"
 
 Name = Column | str
@@ -55,8 +57,8 @@ def valid_rating(col: Name) -> Column:
 
 def low_grade(col: Name) -> Column:
     """False from BBB- upward, true below, null where the rating is none."""
-    r = valid_rating(col)
-    return F.when(r.isin("AAA", "AA", "AA+", "AA-", "A", "A+", "A-", "BBB", "BBB+", "BBB-"), False).when(r.isNotNull(), True)
+    low = RATINGS.index(FIRST_LOW_GRADE)
+    return F.when(_c(col).isin(*RATINGS[:low]), False).when(_c(col).isin(*RATINGS[low:]), True)
 
 
 def tags(rules: Sequence[tuple[str, Column]]) -> Column:
@@ -65,7 +67,7 @@ def tags(rules: Sequence[tuple[str, Column]]) -> Column:
 
 
 def marketing_tags() -> Column:
-    """The prospect tags; incomes that are no numbers count as unknown."""
+    """The prospect tags (fixed names and limits); incomes that are no numbers count as unknown."""
     income = F.expr("try_cast(income AS long)")
     return tags(
         [

@@ -33,10 +33,12 @@ def _earliest(v: Column, day: Column) -> tuple[Column, Column]:
 def rolling_extremes(df: DataFrame, keys: Sequence[str], day: str, low: str, high: str, rows: int | None = 365, days: int | None = None) -> DataFrame:
     """Lowest and highest value, each with the earliest day that has it, over the last ``rows`` rows or ``days`` days.
 
-    The two differ where days are missing.
+    The two differ where days are missing. With neither, over all rows so far.
     """
     w = Window.partitionBy(*keys)
-    if days is None:
+    if rows is None and days is None:
+        w = w.orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
+    elif days is None:
         w = w.orderBy(day).rowsBetween(-(rows - 1), 0)
     else:
         w = w.orderBy(F.datediff(F.col(day), F.lit("1970-01-01"))).rangeBetween(-(days - 1), 0)

@@ -117,7 +117,7 @@ class Feeds:
         p, k = self.read("part"), F.col("p_partkey")
         name = lambda c: F.concat(F.lit("Company "), c.cast("string"))
         prefix = lambda day, kind: F.concat(F.date_format(day, "yyyyMMdd"), F.lit("-120000"), F.lit(kind))
-        rating = lambda i: F.array(*[F.lit(x) for x in ("AAA", "BB+", "C-", "junk")])[((k / 5 + i) % 4).cast("int")]
+        rating = lambda i: F.array(*[F.lit(x) for x in ("AAA", "BB+", "CC", "junk")])[((k / 5 + i) % 4).cast("int")]
 
         def line(df: DataFrame, layout, values: dict) -> DataFrame:
             cols = F.concat(*[F.rpad(F.coalesce(values.get(n, F.lit("")).cast("string"), F.lit("")), length, " ") for n, _, length, _ in layout])

@@ -36,7 +36,7 @@ acct_f AS (SELECT accountid, customerid, CAST(ts AS DATE) AS s, coalesce(lead(CA
   FROM acct_log WINDOW w AS (PARTITION BY accountid ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), o AS (PARTITION BY accountid ORDER BY ts, seq)),
 acct AS (SELECT a.accountid, sk_customerid, a.status, brokerid, greatest(a.s, c.s) AS s, least(a.e, c.e) AS e, CAST(strftime(greatest(a.s, c.s), '%Y%m%d') || accountid AS BIGINT) AS sk_accountid
   FROM acct_f a LEFT JOIN cust c ON a.customerid = c.customerid AND a.s < c.e AND c.s < a.e WHERE a.s < a.e),
-comp AS (SELECT p_partkey AS companyid, 'Company ' || p_partkey AS companyname, i, ['AAA', 'BB+', 'C-', NULL][CAST((p_partkey // 5 + i) % 4 + 1 AS INTEGER)] AS sprating, p_brand AS ceo, CASE WHEN p_partkey % 7 <> 0 THEN '1970-01-02' END AS foundingdate,
+comp AS (SELECT p_partkey AS companyid, 'Company ' || p_partkey AS companyname, i, ['AAA', 'BB+', 'CC', NULL][CAST((p_partkey // 5 + i) % 4 + 1 AS INTEGER)] AS sprating, p_brand AS ceo, CASE WHEN p_partkey % 7 <> 0 THEN '1970-01-02' END AS foundingdate,
     CASE i WHEN 0 THEN DATE '1993-01-01' ELSE DATE '1998-01-01' + CAST(p_partkey % 100 AS INTEGER) END AS s, CASE i WHEN 0 THEN DATE '1998-01-01' + CAST(p_partkey % 100 AS INTEGER) ELSE {_END} END AS e
   FROM part, (VALUES (0), (1)) x(i) WHERE p_partkey % 5 = 0),
 compk AS (SELECT *, CAST(strftime(s, '%Y%m%d') || companyid AS BIGINT) AS sk_companyid FROM comp),
