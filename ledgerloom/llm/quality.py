@@ -73,7 +73,7 @@ class Model:
     @classmethod
     def fit(cls, x: np.ndarray, label: np.ndarray) -> Model:
         share = float(label.mean()) if len(label) else 0.5
-        if not 0 < share < 1:
+        if not len(label) or not 0 < share < 1:
             return cls(np.zeros(0), np.ones(0), np.zeros(0), 0.0, share)
         middle, spread = x.mean(0), x.std(0)
         spread[spread < 1e-9] = 1
