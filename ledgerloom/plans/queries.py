@@ -622,3 +622,62 @@ def audit_counters(t):
 @query("SELECT DISTINCT c_nationkey::BIGINT AS nationkey FROM customer UNION SELECT s_nationkey FROM supplier")
 def nations_in_use(t):
     return t.customer.select(F.col("c_nationkey").alias("nationkey")).union(t.supplier.select("s_nationkey")).distinct()
+
+
+@query("""WITH day AS (SELECT user_id, event_type, event_id, CAST(ts AS DATE) AS s FROM events WHERE ts < TIMESTAMP '2024-01-20' QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1),
+v AS (SELECT *, coalesce(lead(s) OVER (PARTITION BY user_id ORDER BY s), DATE '9999-12-31') AS e FROM day)
+SELECT user_id, event_type, CAST(s AS VARCHAR) AS effectivedate, CAST(e AS VARCHAR) AS enddate, e = DATE '9999-12-31' AS iscurrent FROM v""")
+def scd2_two_row_merge(t):
+    """Days applied one after the other, each as closed copies and new versions upserted on (user, start)."""
+    e = H.latest(t.events.filter(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")).select("user_id", "ts", "event_id", "event_type", F.to_date("ts").alias("day")), ["user_id", "day"], ["ts", "event_id"])
+    first = F.lit("2024-01-18").cast("date")
+    held = H.scd2_build(e.filter(F.col("day") < first), ["user_id"], "ts", ["event_id"]).select("user_id", "event_type", "effectivedate", "enddate", "iscurrent")
+    for d in ("2024-01-18", "2024-01-19"):
+        rows = K.scd2_rows(held, e.filter(F.col("day") == F.lit(d).cast("date")).select("user_id", "event_type", "day"), ["user_id"], "day", ["event_type"])
+        held = tables.scratch(held.join(rows.select("user_id", "effectivedate"), ["user_id", "effectivedate"], "left_anti").unionByName(rows), "versions")
+    return held
+
+
+@query("SELECT o_orderkey, o_custkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, 1 + o_orderkey % 3 AS batchid FROM orders")
+def batched_parquet(t):
+    """The Parquet form of a batched file set, read by a list of specs."""
+    root = tables.scratch_path(t.spark, "raw_parquet")
+    o = t.orders.select("o_orderkey", "o_custkey", cents("o_totalprice").alias("cents"))
+    for b in (1, 2, 3):
+        o.filter(f"o_orderkey % 3 = {b - 1}").repartition(2).write.parquet(f"{root}/Batch{b}")
+    specs = [files.TableSpec("orders", "o_orderkey long, o_custkey long, cents long", "*.parquet", batches=(1, 2, 3))]
+    return files.read_all(t.spark, specs, root, "parquet")["orders"]
+
+
+@query("""SELECT 'orders' AS dataset, year(o_orderdate)::BIGINT AS batchid, '2020-01-01' AS date, 'O_RECORDS' AS attribute, count(*) AS value FROM orders GROUP BY ALL""")
+def audit_csv_roundtrip(t):
+    path = tables.scratch_path(t.spark, "audit.csv")
+    counts = A.counters(t.orders.withColumn("batchid", F.year("o_orderdate")), "orders", {"O_RECORDS": F.lit(True)})
+    counts.select("dataset", "batchid", F.lit("2020-01-01").alias("date"), "attribute", "value", F.lit(None).cast("string").alias("dvalue")).write.option("header", True).csv(path)
+    return files.read_audit(t.spark, path).drop("dvalue")
+
+
+@query("""SELECT s_suppkey, n_nationkey::BIGINT AS s_nationkey, CAST(DATE '2020-01-01' + n_nationkey AS VARCHAR) AS changed FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey % 3 = 0""")
+def cascade_stream(t):
+    """A stream of parents' changes gives change rows of their children, a partition for each day."""
+    home = tables.scratch_path(t.spark, "moves")
+    moves = t.nation.filter("n_nationkey % 3 = 0").select("n_nationkey", F.date_add(F.lit("2020-01-01").cast("date"), F.col("n_nationkey")).alias("changed"))
+    moves.repartition(3, "n_nationkey").write.parquet(f"{home}/feed")
+    child = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
+    source = files.stream_table(t.spark, "n_nationkey int, changed date", f"{home}/feed", "parquet")
+    replay.append_facts(source, lambda batch: M.cascade(batch, child, "n_nationkey", "changed"), f"{home}/rows", "changed", f"{home}/checkpoint")
+    return t.spark.read.schema("s_suppkey long, n_nationkey int, changed date").parquet(f"{home}/rows").withColumnRenamed("n_nationkey", "s_nationkey")
+
+
+@query("""SELECT source, 'Visibility' AS kind, 'Row count' AS message, CAST(n AS VARCHAR) AS data FROM (SELECT 'orders' AS source, count(*) AS n FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' UNION ALL SELECT 'lineitem', count(*) FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01')""")
+def visibility_counts(t):
+    """Counts as they can be seen at one moment."""
+    at = F.lit("1998-01-01").cast("timestamp_ntz")
+    return A.row_counts({"orders": tables.split_at(t.orders, "o_orderdate", at)[0], "lineitem": tables.split_at(t.lineitem, "l_shipdate", at)[0]}, "Visibility")
+
+
+@query("""SELECT event_id, user_id FROM events WHERE CAST(ts AS DATE) > DATE '2024-01-15'""")
+def newer_than_target(t):
+    """Only rows of days that a target doesn't have yet."""
+    e = t.events.withColumn("day", F.to_date("ts"))
+    return replay.newer_than_target(e, "day", e.filter("day <= '2024-01-15'"), "day").select("event_id", "user_id")
