@@ -16,7 +16,7 @@ _WIDTH = WINDOW - TRIGGER + 1
 _PLACE = 22
 _MASK = np.uint64((1 << _PLACE) - 1)
 #: Windows of a long text that are looked at together; the next part begins with the next window.
-PART = 1 << 20
+PART = 1 << 18
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:

@@ -27,6 +27,8 @@ from ledgerloom.llm.phrases import WINDOW, parts, phrases
 TOGETHER = 4096
 #: Windows whose texts are sorted at a time.
 SORTED = 1 << 18
+#: Bytes of text whose parse is held at a time.
+PARSED = 4 << 20
 _KINDS = {"route": pa.int64(), "trigger": pa.int64(), "whole": pa.int64(), "key": pa.int64(), "first": pa.int32(), "last": pa.int32(), "place": pa.int32()}
 
 
@@ -35,21 +37,27 @@ def _table(names: dict, cols) -> pa.RecordBatch:
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The parse of each batch; what a batch itself repeats is marked by place -1 and isn't dealt by trigger."""
+    """The parse, some megabytes of text at a time; what these repeat themselves is marked by place -1 and isn't dealt by trigger."""
     for b in batches:
-        keys, got = b.column(0).to_numpy(), []
+        keys, got, size = b.column(0).to_numpy(), [], 0
         for row, at, data, offsets in parts(b.column(1)):
             own, first, last, place, trigger, whole = phrases(data, offsets)
             start = offsets[own] - at
             got.append((keys[own + row], first - start, last - start, place - first, trigger.view(np.int64), whole.view(np.int64)))
-        if not got:
-            continue
-        key, first, last, place, trigger, whole = (np.concatenate(x) for x in zip(*got, strict=True))
-        order = np.lexsort((first, key, whole, trigger))
-        key, first, last, place, trigger, whole = (x[order] for x in (key, first, last, place, trigger, whole))
-        again = np.concatenate(([False], (trigger[1:] == trigger[:-1]) & (whole[1:] == whole[:-1])))[: len(key)]
-        place = np.where(again, -1, place)
-        yield _table(_KINDS, (np.where(again, key * 0x9E3779B1, trigger), trigger, whole, key, first, last, place))
+            size += len(data)
+            if size >= PARSED:
+                yield _locally_first(got)
+                got, size = [], 0
+        if got:
+            yield _locally_first(got)
+
+
+def _locally_first(got: list[tuple]) -> pa.RecordBatch:
+    key, first, last, place, trigger, whole = (np.concatenate(x) for x in zip(*got, strict=True))
+    order = np.lexsort((first, key, whole, trigger))
+    key, first, last, place, trigger, whole = (x[order] for x in (key, first, last, place, trigger, whole))
+    again = np.concatenate(([False], (trigger[1:] == trigger[:-1]) & (whole[1:] == whole[:-1])))[: len(key)]
+    return _table(_KINDS, (np.where(again, key * 0x9E3779B1, trigger), trigger, whole, key, first, last, np.where(again, -1, place)))
 
 
 _FOUND = {"key": pa.int64(), "first": pa.int32(), "last": pa.int32(), "place": pa.int32(), "trigger": pa.int64()}
