@@ -23,7 +23,7 @@ BUCKETS = 2048
 #: Expected number of training texts of each language (a hash of the id chooses them).
 PER_LANGUAGE = 600
 #: A text is ambiguous where the two nearest codewords' losses differ by less than this part of their sum.
-AMBIGUOUS = 0.01
+AMBIGUOUS = 0.002
 UNKNOWN = "und"
 #: ASCII letters in lower case and bytes of other alphabets stay; all else is a gap.
 _FOLD = np.where(bw.ALNUM, bw.LOWER, 32).astype(np.uint8)
