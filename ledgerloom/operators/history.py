@@ -25,6 +25,23 @@ def forward_fill(df: DataFrame, keys: Sequence[str], order: Order, cols: Sequenc
     return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
 
 
+def forward_fill_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], block: Column) -> DataFrame:
+    """``forward_fill`` for keys that hold a great part of all rows.
+
+    ``block`` cuts a key's rows into consecutive pieces (say, days of its first order column).
+    Pieces are filled in tasks of their own; what each piece ends with is summed up before
+    the shuffle, and only these ends, a row for each key and block, go through a window.
+    """
+    rows = df.withColumn("_block", block)
+    inner = forward_fill(rows, [*keys, "_block"], order, cols)
+    ends = rows.groupBy(*keys, "_block").agg(*[F.max_by(F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"))), F.when(F.col(c).isNotNull(), F.struct(*order)))["v"].alias(c) for c in cols])
+    w = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = ends.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_block").alias("_b"), *[F.last(c, ignorenulls=True).over(w).alias(f"_{c}") for c in cols])
+    on = [inner[k] == before[f"_{k}"] for k in keys]
+    filled = inner.join(before, [*on, inner["_block"] == before["_b"]], "left")
+    return filled.select(*[F.coalesce(inner[c], before[f"_{c}"]).alias(c) if c in cols else inner[c] for c in df.columns])
+
+
 def scd2_build(df: DataFrame, keys: Sequence[str], ts: str, seq: Order = (), start: str = "effectivedate", end: str = "enddate") -> DataFrame:
     """Versions from an event log: half-open [start, end) in days, open end 9999-12-31, iscurrent.
 
@@ -37,26 +54,37 @@ def scd2_build(df: DataFrame, keys: Sequence[str], ts: str, seq: Order = (), sta
     return dated.filter(F.col(start) < F.col(end)).withColumn("iscurrent", F.col(end) == open_end())
 
 
-def scd2_last_of_day(df: DataFrame, keys: Sequence[str], ts: str, seq: Order = (), start: str = "effectivedate", end: str = "enddate") -> DataFrame:
-    """``scd2_build`` in the other order: the last event of a day is picked before validity is drawn."""
-    day = F.col(ts).cast("date")
-    latest = Window.partitionBy(*keys, day).orderBy(*[F.col(c).desc() if isinstance(c, str) else c.desc() for c in (ts, *seq)])
-    picked = df.withColumn("_n", F.row_number().over(latest)).filter("_n = 1").drop("_n")
-    w = Window.partitionBy(*keys).orderBy(ts)
-    dated = picked.withColumn(start, day).withColumn(end, F.coalesce(F.lead(day).over(w), open_end()))
+def scd2_last_of_day(df: DataFrame, keys: Sequence[str], ts: str, seq: Sequence[str] = (), start: str = "effectivedate", end: str = "enddate") -> DataFrame:
+    """``scd2_build`` in the other order: the last event of a day is picked before validity is drawn.
+
+    Picking is an aggregation, so that a key with very many events comes to the window as
+    one row a day.
+    """
+    picked = latest(df.withColumn(start, F.col(ts).cast("date")), [*keys, start], [ts, *seq])
+    dated = picked.withColumn(end, F.coalesce(F.lead(start).over(Window.partitionBy(*keys).orderBy(start)), open_end()))
     return dated.withColumn("iscurrent", F.col(end) == open_end())
 
 
-def as_of_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], t: str, start: str = "effectivedate", end: str = "enddate", how: str = "inner") -> DataFrame:
+def as_of_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], t: str, start: str = "effectivedate", end: str = "enddate", how: str = "inner", bucket_days: int | None = None) -> DataFrame:
     """Each fact row with the version that holds at ``t``: start <= t < end.
 
     Equal keys drive the join, so Spark may broadcast or shuffle and split skewed keys; the
-    validity is a residual condition. Versions of a key must not overlap.
+    validity is a residual condition. Versions of a key must not overlap. Where a key has
+    very many versions, ``bucket_days`` adds the bucket of the day to the equal keys: a version
+    then stands once in each bucket that it touches, within the days that facts have.
     """
+    day = fact[t].cast("date")
     d = dim.withColumnsRenamed({k: f"_{k}" for k in keys})
     on = [fact[k] == d[f"_{k}"] for k in keys]
-    day = fact[t].cast("date")
-    return fact.join(d, [*on, d[start] <= day, day < d[end]], how).drop(*[f"_{k}" for k in keys])
+    valid = [d[start] <= day, day < d[end]]
+    if bucket_days is None:
+        return fact.join(d, [*on, *valid], how).drop(*[f"_{k}" for k in keys])
+    number = lambda c: F.floor(F.datediff(c, F.lit("1970-01-01")) / bucket_days)
+    seen = fact.agg(F.min(day).alias("_lo"), F.max(day).alias("_hi"))  # one row
+    inside = d.crossJoin(F.broadcast(seen)).filter((F.col(start) <= F.col("_hi")) & (F.col(end) > F.col("_lo")))
+    spread = inside.withColumn("_bucket", F.explode(F.sequence(number(F.greatest(F.col(start), F.col("_lo"))), number(F.least(F.date_sub(end, 1), F.col("_hi")))))).drop("_lo", "_hi")
+    on = [fact[k] == spread[f"_{k}"] for k in keys]
+    return fact.join(spread, [*on, number(day) == spread["_bucket"], spread[start] <= day, day < spread[end]], how).drop("_bucket", *[f"_{k}" for k in keys])
 
 
 def current(dim: DataFrame) -> DataFrame:

@@ -186,6 +186,20 @@ def snapshot_as_of_batch(t):
     return H.as_of_batch(H.snapshot_diff(snapshots(t), ["c_custkey", "segment"]), 2)
 
 
+@query(f"WITH {_FILLED} SELECT event_id, user_id, cents, kind FROM filled")
+def ffill_in_blocks(t):
+    """The same fill with each user's days in tasks of their own."""
+    return H.forward_fill_blocks(sparse(t), ["user_id"], ["ts", "event_id"], ["cents", "kind"], F.to_date("ts")).select("event_id", "user_id", "cents", "kind")
+
+
+@query(SQL["asof_orders_segment"])
+def asof_in_buckets(t):
+    """The as-of join with the quarter of the day among its equal keys."""
+    dim = H.scd2_build(t.orders.select("o_custkey", "o_orderkey", "o_orderdate", F.col("o_orderpriority").alias("held")), ["o_custkey"], "o_orderdate", ["o_orderkey"])
+    fact = t.orders.select("o_custkey", F.col("o_orderdate").alias("at"), F.col("o_orderpriority").alias("own"), cents("o_totalprice").alias("cents"))
+    return H.as_of_join(fact, dim.select("o_custkey", "held", "effectivedate", "enddate"), ["o_custkey"], "at", bucket_days=91).groupBy("held", "own").agg(F.count("*").alias("n"), F.sum("cents").alias("cents"))
+
+
 # ---- windows
 
 _DAY = "SELECT user_id, CAST(ts AS DATE) AS day, sum(CAST(round(value * 100) AS BIGINT))::BIGINT AS total FROM events GROUP BY ALL"

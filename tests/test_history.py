@@ -108,3 +108,14 @@ def test_dense_index_over_many_partitions(spark):
     df = spark.range(0, 500, 1, 7).select((F.col("id") * 37 % 500).alias("x"))
     assert [r.idx for r in W.dense_index(df, ["x"]).orderBy("x").collect()] == list(range(500))
     assert W.dense_index(df.limit(0), ["x"]).count() == 0
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_forms_for_hot_keys_equal_the_plain_ones(spark, seed):
+    e = log(spark, seed, n=200, keys=2)
+    plain = H.forward_fill(e, ["k"], ["ts", "seq"], ["x", "y"])
+    assert same(plain, H.forward_fill_blocks(e, ["k"], ["ts", "seq"], ["x", "y"], F.to_date("ts")))
+    v = H.scd2_build(plain, ["k"], "ts", ["seq"]).select("k", F.col("seq").alias("version"), "effectivedate", "enddate")
+    fact = e.select("k", F.col("ts").alias("at"), "seq")
+    for how in ("inner", "left"):
+        assert same(H.as_of_join(fact, v, ["k"], "at", how=how), H.as_of_join(fact, v, ["k"], "at", how=how, bucket_days=3))
