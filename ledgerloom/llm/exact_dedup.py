@@ -103,7 +103,8 @@ def exact_dedup(docs: DataFrame, home: str | None = None, digest: Callable[[Colu
         earlier = sorted({*files} - {*docs.inputFiles()})
         if earlier:
             contents = contents.unionByName(_rows(spark.read.parquet(*earlier), digest, text=True).join(many.select(F.col("keep.file").alias("file"), F.col("keep.row").alias("row")), ["file", "row"], "left_semi").select("digest", "doc_id", "file", "row", "norm"))
-    texts = contents.join(many.select("digest", "keep"), "digest")
+    # only rows of groups of two and more; written once, since keepers and hits both come from it
+    texts = shared.materialize(contents.join(many.select("digest", "keep"), "digest"), "copies")
     rank = _rank()
     keepers = texts.filter(rank == F.col("keep")).select("digest", F.col("norm").alias("kept_norm"))
     hits = texts.filter(rank != F.col("keep"))
