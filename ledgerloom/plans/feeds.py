@@ -6,6 +6,8 @@ feed is an expression of the tables' rows; nothing is drawn at random.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,22 +63,24 @@ class Feeds:
         upd = o.filter("o_orderkey % 4 = 1").select((F.col("o_custkey") * 10).alias("accountid"), F.col("o_custkey").alias("customerid"), F.col("o_orderdate").alias("ts"), k.alias("seq"), F.when(k % 40 == 1, "INAC").alias("status"), F.when(k % 8 == 1, k % 7).alias("brokerid"))
         return new.unionByName(upd)
 
-    @property
+    @cached_property
     def trades(self) -> DataFrame:
+        """Several feeds are told from the trades, so they are written once."""
         both = self.read("lineitem").join(self.read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         # the tables repeat some (order, line) pairs: a trade is such a pair with its part and supplier
-        return both.groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").agg(
+        rows = both.groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").agg(
             F.max("o_custkey").alias("cust"), F.max("o_orderdate").alias("placed"), F.max(F.greatest("l_shipdate", F.col("o_orderdate") + F.expr("interval 1 day"))).alias("shipped"), F.max("l_linestatus").alias("line"), F.max("l_returnflag").alias("flag"), F.max("l_quantity").alias("quantity"), F.max("l_extendedprice").alias("price")
         ).select(
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("t_id"), (F.col("cust") * 10).alias("accountid"), F.concat(F.lit("S"), F.col("l_partkey").cast("string")).alias("symbol"), "placed", "shipped", "line", "flag",
             F.col("quantity").cast("long").alias("quantity"), F.round(F.col("price") * 100).cast("long").alias("cents"), F.when(F.col("l_linenumber") % 2 == 0, "TMB").otherwise("TMS").alias("type"),
         )
+        return tables.scratch(rows, "trades")
 
     @property
     def trade_history(self) -> DataFrame:
-        t = self.trades
-        log = lambda cond, ts, code: t.filter(cond).select("t_id", F.col(ts).alias("th_dts"), F.lit(code).alias("status"))
-        return union([log(F.lit(True), "placed", "SBMT"), log((F.col("line") == "F") & (F.col("flag") != "R"), "shipped", "CMPT"), log(F.col("flag") == "R", "shipped", "CNCL")])
+        told = lambda ts, code: F.struct(F.col(ts).alias("th_dts"), F.lit(code).alias("status"))
+        line = F.when(F.col("flag") == "R", told("shipped", "CNCL")).when(F.col("line") == "F", told("shipped", "CMPT"))
+        return self.trades.select("t_id", F.inline(F.array_compact(F.array(told("placed", "SBMT"), line))))
 
     @property
     def cash(self) -> DataFrame:

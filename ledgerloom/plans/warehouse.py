@@ -59,7 +59,7 @@ class Warehouse:
 
     @cached_property
     def finwire(self) -> DataFrame:
-        return self._kept(self.feed.finwire, "finwire_rows")
+        return self.feed.finwire
 
     @cached_property
     def dim_company(self) -> DataFrame:
