@@ -104,19 +104,21 @@ def exact_dedup(docs: DataFrame, home: str | None = None, digest: Callable[[Colu
         if earlier:
             contents = contents.unionByName(_rows(spark.read.parquet(*earlier), digest, text=True).join(many.select(F.col("keep.file").alias("file"), F.col("keep.row").alias("row")), ["file", "row"], "left_semi").select("digest", "doc_id", "file", "row", "norm"))
     # only rows of groups of two and more; written once, since keepers and hits both come from it
-    texts = shared.materialize(contents.join(many.select("digest", "keep"), "digest"), "copies")
+    hot = shared.hot_keys(state, ["digest"], "n")
+    row = F.struct("file", "row")
+    texts = shared.materialize(shared.salted_join(contents, many.select("digest", "keep"), ["digest"], hot, row), "copies")
     rank = _rank()
     keepers = texts.filter(rank == F.col("keep")).select("digest", F.col("norm").alias("kept_norm"))
     hits = texts.filter(rank != F.col("keep"))
     odd = shared.materialize(
-        hits.join(keepers, "digest", "left").filter(~F.col("norm").eqNullSafe(F.col("kept_norm"))).select("digest", "doc_id", "file", "row", "norm"), "collided"
+        shared.salted_join(hits, keepers, ["digest"], hot, row, "left").filter(~F.col("norm").eqNullSafe(F.col("kept_norm"))).select("digest", "doc_id", "file", "row", "norm"), "collided"
     )
     rows = spark.read.schema(landed.schema).parquet(f"{home}/landed") if fresh else landed
     sha = F.hex(F.col("digest")) if digest is sha256 else None
     if sha is None:
         rows = _rows(docs, digest, text=True).withColumn("sha", F.sha2("norm", 256)).drop("norm")
         sha = F.col("sha")
-    out = rows.join(many, "digest", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    out = shared.salted_join(rows, many, ["digest"], hot, row, "left").withColumn("n", F.coalesce("n", F.lit(1)))
     if odd.isEmpty():
         out = out.withColumn("keep", F.coalesce("keep", rank))
     else:  # the digest collided: the bytes decide

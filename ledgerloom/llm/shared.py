@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _KEY = "spark.checkpoint.dir"
 _own: dict[str, str] = {}
@@ -39,3 +41,31 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+#: A key with more than this part of all rows is dealt over SALTS tasks.
+HOT_PART, SALTS = 100, 64
+
+
+def hot_keys(groups: DataFrame, keys: list[str], weight: str) -> list[tuple]:
+    """Keys that hold more than one row in HOT_PART; there are fewer than HOT_PART of them. ``groups`` has a row per key with its number of rows."""
+    total = groups.agg(F.sum(weight)).first()[0] or 0
+    return [tuple(r) for r in groups.filter(F.col(weight) * HOT_PART > total).select(*keys).collect()] if total else []
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], hot: list[tuple], spread: Column, how: str = "inner") -> DataFrame:
+    """Equi-join in which ``left`` may have very many rows of the ``hot`` keys and ``right`` has few of each.
+
+    Rows of hot keys are dealt by a hash of ``spread``; the right side stands once for each salt.
+    """
+    if not hot:
+        return left.join(right, keys, how)
+
+    def is_hot(df: DataFrame) -> Column:
+        if len(keys) == 1:
+            return F.coalesce(df[keys[0]].isin([k[0] for k in hot]), F.lit(False))
+        return F.coalesce(reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [df[c] == F.lit(v) for c, v in zip(keys, k, strict=True)]) for k in hot]), F.lit(False))
+
+    salted = left.withColumn("_salt", F.when(is_hot(left), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(0))
+    everywhere = right.withColumn("_salt", F.explode(F.when(is_hot(right), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    return salted.join(everywhere, [*keys, "_salt"], how).drop("_salt")
