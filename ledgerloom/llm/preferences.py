@@ -53,10 +53,13 @@ def pairs_by_opening(convs: DataFrame) -> DataFrame:
     """
     chars = F.aggregate("turns", F.lit(0).cast("long"), lambda n, x: n + F.length(x["text"]))
     slim = convs.select("conv_id", F.sha2(_turn(F.col("turns")[0]), 256).alias("opening"), chars.alias("chars"))
-    best = slim.groupBy("opening").agg(F.max(F.struct("chars", (-F.col("conv_id")).alias("minus"))).alias("best"))
-    ids = slim.join(best, "opening").filter(F.col("conv_id") != -F.col("best.minus")).select((-F.col("best.minus")).alias("chosen_id"), F.col("conv_id").alias("rejected_id"))
+    best = slim.groupBy("opening").agg(F.max(F.struct("chars", (-F.col("conv_id")).alias("minus"))).alias("best"), F.count("*").alias("n"))
+    best = shared.materialize(best.filter("n > 1").select("opening", "n", (-F.col("best.minus")).alias("chosen_id")), "openings")
+    ids = shared.salted_join(slim, best, ["opening"], shared.hot_keys(best, ["opening"], "n"), F.col("conv_id"))
+    ids = ids.filter("conv_id <> chosen_id").select("chosen_id", F.col("conv_id").alias("rejected_id"))
     left = ids.join(convs.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("r")), "rejected_id")
-    return left.join(convs.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("c")), "chosen_id").select("chosen_id", "rejected_id", F.lit("opening").alias("kind"), "c", "r")
+    chosen = convs.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("c"))
+    return shared.salted_join(left, chosen, ["chosen_id"], shared.hot_keys(best, ["chosen_id"], "n"), F.col("rejected_id")).select("chosen_id", "rejected_id", F.lit("opening").alias("kind"), "c", "r")
 
 
 def pairs_with_stale_answers(convs: DataFrame) -> DataFrame:
