@@ -179,19 +179,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = bw.annotate(slim, _sign, "n_shingles long, one long, two long, sig array<int>, keys array<long>", ("doc_id",)).select("row.doc_id", "n_shingles", "one", "two", "sig", "keys")
     signed = shared.materialize(signed, "signed")
     linkable = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = linkable.groupBy("one", "two").agg(F.min("doc_id").alias("rep"))
-    of_doc = linkable.select("doc_id", "one", "two").join(classes, ["one", "two"]).select("doc_id", "rep")
-    reps = linkable.join(classes.withColumnRenamed("rep", "doc_id"), ["one", "two", "doc_id"]).select(F.col("doc_id").alias("id"), "sig", "keys")
+    classes = linkable.groupBy("one", "two").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    hot_classes = shared.hot_keys(classes, ["one", "two"], "copies")
+    of_doc = shared.salted_join(linkable.select("doc_id", "one", "two"), classes, ["one", "two"], hot_classes, F.col("doc_id")).select("doc_id", "rep")
+    reps = linkable.join(classes.select("one", "two", F.col("rep").alias("doc_id")), ["one", "two", "doc_id"]).select(F.col("doc_id").alias("id"), "sig", "keys")
     in_bands = reps.select("id", F.explode("keys").alias("key"))
-    shared_keys = in_bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    members = shared.materialize(in_bands.join(shared_keys, "key"), "members")
+    shared_keys = shared.materialize(in_bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
+    hot = shared.hot_keys(shared_keys, ["key"], "n")
+    members = shared.materialize(shared.salted_join(in_bands, shared_keys, ["key"], hot, F.col("id")), "members")
     central = members.groupBy("id").agg(F.sum("n").alias("weight"))
     candidates = shared.materialize(reps.join(central, "id"), "candidates")
 
     # a star in each bucket, around the member that shares most
     weighed = members.join(central, "id")
     pivots = weighed.groupBy("key").agg((-F.max(F.struct("weight", -F.col("id")))["col2"]).alias("b"))
-    star = members.join(pivots, "key").filter("id <> b").select(F.col("id").alias("a"), "b").distinct()
+    star = shared.salted_join(members, pivots, ["key"], hot, F.col("id")).filter("id <> b").select(F.col("id").alias("a"), "b").distinct()
     star = shared.materialize(_close(star, candidates), "star")
     wanted = slim.join(candidates.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
     sets = shared.materialize(bw.annotate(wanted, _sets, "hashes array<long>", ("doc_id",)).select(F.col("row.doc_id").alias("id"), "hashes"), "sets")
@@ -202,7 +204,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labelled = members.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rest = labelled.join(mixed, "key")
+    rest = shared.salted_join(labelled, mixed, ["key"], hot, F.col("id"))
     here = sets.join(rest.select("id").distinct(), "id").select("id", F.size("hashes").alias("size"), "hashes")
     single = here.select("id", F.explode("hashes").alias("h")).groupBy("h").agg(F.count("*").alias("df"), F.min("id").alias("id")).filter("df = 1").groupBy("id").agg(F.count("*").alias("alone"))
     bounds = here.select("id", "size").join(single, "id", "left").withColumn("alone", F.coalesce("alone", F.lit(0)).cast("int")).filter(100 * (F.col("size") - F.col("alone")) >= PERCENT * F.col("size"))
