@@ -38,7 +38,7 @@ class Chunk:
         return len(self.offsets) - 1
 
 
-def chunks(texts: pa.Array, most: int = 2 << 20) -> Iterator[Chunk]:
+def chunks(texts: pa.Array, most: int = 1 << 20) -> Iterator[Chunk]:
     """Cut a string column into chunks of about ``most`` bytes; null counts as empty; a long row is a chunk alone."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
