@@ -24,8 +24,11 @@ from ledgerloom.llm.components import components
 SHINGLE = 5
 COORDINATES, BANDS = 64, 16
 ROWS = COORDINATES // BANDS
-#: Links are confirmed where 100 * intersection >= PERCENT * union.
+#: Links are confirmed where 100 * intersection >= PERCENT * union, unless another percentage is asked for.
 PERCENT = 85
+#: Below PERCENT the coordinates are banded twice, as they stand and strided: no two bands of
+#: the two kinds share more than one coordinate.
+_STRIDED = np.arange(COORDINATES).reshape(ROWS, BANDS).T.ravel()
 #: Coordinates that must agree before sets are compared. At similarity 0.8 about 51 of 64 agree
 #: (standard deviation 3.2), so that a true link falls below this once in some millions.
 AGREE = 34
@@ -63,9 +66,12 @@ def signatures(shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
-    keys = np.empty((len(sig), BANDS), np.uint64)
-    for b in range(BANDS):
+def band_keys(sig: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    if percent < PERCENT:
+        sig = np.hstack([sig, sig[:, _STRIDED]])
+    bands = sig.shape[1] // ROWS
+    keys = np.empty((len(sig), bands), np.uint64)
+    for b in range(bands):
         h = np.full(len(sig), b + 1, np.uint64)
         for c in range(ROWS):
             h = bw.mix64(h * np.uint64(bw.SEQ[0]) + sig[:, b * ROWS + c])
@@ -94,7 +100,7 @@ def shingle_sets(chunk: bw.Chunk) -> tuple[list[np.ndarray], np.ndarray, np.ndar
     return sets, np.stack(seq), n
 
 
-def _sign(texts: pa.Array) -> list:
+def _sign(texts: pa.Array, percent: int) -> list:
     size, one, two, sigs, keys = [], [], [], [], []
     for c in bw.chunks(texts):
         sets, seq, _ = shingle_sets(c)
@@ -106,7 +112,7 @@ def _sign(texts: pa.Array) -> list:
         own_sig, own_keys = [None] * len(n), [None] * len(n)
         if len(full):
             sig = signatures(np.concatenate([sets[i] for i in full]), np.concatenate(([0], np.cumsum(n[full]))))
-            for i, s, k in zip(full, sig.view(np.int32), band_keys(sig), strict=True):
+            for i, s, k in zip(full, sig.view(np.int32), band_keys(sig, percent), strict=True):
                 own_sig[i], own_keys[i] = s, k
         sigs += own_sig
         keys += own_keys
@@ -126,18 +132,18 @@ def _close(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     return left.join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b").filter(agree >= AGREE).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose whole sets are similar enough, as edges."""
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("set_a")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("set_b")), "b")
     common = F.size(F.array_intersect("set_a", "set_b"))
-    return both.filter(100 * common >= PERCENT * (F.size("set_a") + F.size("set_b") - common)).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    return both.filter(100 * common >= percent * (F.size("set_a") + F.size("set_b") - common)).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 _LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
-def _block_links(key, table):
+def _block_links(key, table, percent):
     """Likely links between different components within one pair of blocks of one bucket.
 
     What a set shares with any other is at most what it doesn't have alone (``alone``
@@ -148,13 +154,13 @@ def _block_links(key, table):
     ids, comp, block, size, alone = (table.column(c).to_numpy() for c in ("id", "component", "block", "size", "alone"))
     most = size - alone
     sig = np.array(table.column("sig").combine_chunks().flatten()).reshape(len(ids), COORDINATES)
-    keys = np.array(table.column("keys").combine_chunks().flatten()).reshape(len(ids), BANDS)
+    keys = np.array(table.column("keys").combine_chunks().flatten()).reshape(len(ids), -1)
     band = int(np.flatnonzero(keys[0] == bucket)[0])
     left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
     a_out, b_out = [], []
     for i in left:
         common = np.minimum(most[right], most[i])
-        can = 100 * common >= PERCENT * (size[right] + size[i] - common)
+        can = 100 * common >= percent * (size[right] + size[i] - common)
         j = right[can & (comp[right] != comp[i]) & ((low != high) | (ids[right] > ids[i]))]
         if len(j):
             j = j[(sig[j] == sig[i]).sum(axis=1) >= AGREE]
@@ -165,18 +171,20 @@ def _block_links(key, table):
     return pa.table({"a": flat(a_out), "b": flat(b_out)})
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
+    Texts are linked at a similarity of ``percent`` or more; the bands are made for 80 at least.
     A text of fewer than five words has its whole word sequence as one shingle; a null or
     empty text has none and is linked with nothing. Rows that repeat an id are one node:
     a link of any of them holds for all. A null id is never linked; its component is null
     and it is kept. An empty table gives no rows. Columns other than doc_id and text are
     not looked at.
     """
-    spark = docs.sparkSession
+    if not 80 <= percent <= 100:
+        raise ValueError(f"percent is {percent}, not between 80 and 100")
     slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    signed = bw.annotate(slim, _sign, "n_shingles long, one long, two long, sig array<int>, keys array<long>", ("doc_id",)).select("row.doc_id", "n_shingles", "one", "two", "sig", "keys")
+    signed = bw.annotate(slim, lambda texts: _sign(texts, percent), "n_shingles long, one long, two long, sig array<int>, keys array<long>", ("doc_id",)).select("row.doc_id", "n_shingles", "one", "two", "sig", "keys")
     signed = shared.materialize(signed, "signed")
     linkable = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = linkable.groupBy("one", "two").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
@@ -197,7 +205,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     star = shared.materialize(_close(star, candidates), "star")
     wanted = slim.join(candidates.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
     sets = shared.materialize(bw.annotate(wanted, _sets, "hashes array<long>", ("doc_id",)).select(F.col("row.doc_id").alias("id"), "hashes"), "sets")
-    links = shared.materialize(_confirmed(star, sets), "links")
+    links = shared.materialize(_confirmed(star, sets, percent), "links")
     first = components(links)
 
     # buckets that still hold several components
@@ -207,14 +215,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rest = shared.salted_join(labelled, mixed, ["key"], hot, F.col("id"))
     here = sets.join(rest.select("id").distinct(), "id").select("id", F.size("hashes").alias("size"), "hashes")
     single = here.select("id", F.explode("hashes").alias("h")).groupBy("h").agg(F.count("*").alias("df"), F.min("id").alias("id")).filter("df = 1").groupBy("id").agg(F.count("*").alias("alone"))
-    bounds = here.select("id", "size").join(single, "id", "left").withColumn("alone", F.coalesce("alone", F.lit(0)).cast("int")).filter(100 * (F.col("size") - F.col("alone")) >= PERCENT * F.col("size"))
+    bounds = here.select("id", "size").join(single, "id", "left").withColumn("alone", F.coalesce("alone", F.lit(0)).cast("int")).filter(100 * (F.col("size") - F.col("alone")) >= percent * F.col("size"))
     rest = rest.join(bounds, "id").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rest = rest.join(candidates.select("id", "sig", "keys"), "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rest = rest.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id", "component", "block", "size", "alone", "sig", "keys")
-    likely = rest.groupBy("key", "low", "high").applyInArrow(_block_links, _LINK)
+    likely = rest.groupBy("key", "low", "high").applyInArrow(lambda key, table: _block_links(key, table, percent), _LINK)
     tried = star.select("a", "b").union(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
     more = shared.materialize(likely.distinct().join(tried, ["a", "b"], "left_anti"), "likely")
-    links = links.union(_confirmed(more, sets))
+    links = links.union(_confirmed(more, sets, percent))
     labels = components(links)
 
     placed = of_doc.join(labels, of_doc["rep"] == labels["id"], "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
@@ -223,9 +231,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.withColumn("component_id", F.coalesce("component_id", "doc_id")).withColumn("kept", F.col("component_id").eqNullSafe(F.col("doc_id")))
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
+def drop_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose document stands for its group, with their columns as they were."""
-    gone = near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = near_duplicates(docs, percent).filter("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 
 
