@@ -74,17 +74,22 @@ class Tokens:
             self.parts[part] = got
         return got
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, said: list[str]) -> dict[str, bytes]:
+        """The ids of a text's distinct words; forgetting can't touch them."""
+        own = {w: self.known.get(w) for w in {*said}}
         if len(self.known) > REMEMBERED:
             self.known.clear()
         if len(self.parts) > REMEMBERED:
             self.older, self.parts = self.parts, {}
-        for w in new:
-            core = w.rstrip(_TAIL)
-            if core and core[-1].isalnum() and len(core) < len(w):
-                self.known[w] = self._part(core) + self._part(w[len(core) :])
-            else:
-                self.known[w] = self._part(w)
+        for w, ids in own.items():
+            if ids is None:
+                core = w.rstrip(_TAIL)
+                if core and core[-1].isalnum() and len(core) < len(w):
+                    ids = self._part(core) + self._part(w[len(core) :])
+                else:
+                    ids = self._part(w)
+                own[w] = self.known[w] = ids
+        return own
 
     def __call__(self, text: str) -> bytes:
         low = text.lower()
@@ -94,12 +99,7 @@ class Tokens:
         try:
             return b"".join(map(self.known.__getitem__, said))
         except KeyError:
-            self._learn([w for w in {*said} if w not in self.known])
-        try:
-            return b"".join(map(self.known.__getitem__, said))
-        except KeyError:  # older words were forgotten while the new ones were learnt
-            self._learn([w for w in {*said} if w not in self.known])
-        return b"".join(map(self.known.__getitem__, said))
+            return b"".join(map(self._learn(said).__getitem__, said))
 
 
 _tokens: dict[str, Tokens] = {}
