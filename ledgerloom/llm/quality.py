@@ -1,13 +1,14 @@
 """Operator 3, quality scores by Bradley-Terry ranking.
 
 A preference pair is a text labelled good over one labelled bad. The logistic loss on the
-differences of their features gives the weights of a linear score; the score's quantile
-at the share of bad texts becomes the threshold, which is put at 0.7 on the output scale.
+differences of their features gives the weights of a linear score, from a bounded sample;
+the score's quantile at the share of bad texts, both over all labelled texts that aren't held
+out, becomes the threshold, which is put at 0.7 on the output scale.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,8 @@ PER_LABEL = 2500
 #: Bad texts that each good one is paired with, and the other way round.
 OPPONENTS = 8
 THRESHOLD = 0.7
+#: The cut's rank is off by one row in this many at most.
+ACCURACY = 100_000
 _KINDS = {
     "upper": range(65, 91), "lower": range(97, 123), "digit": range(48, 58), "space": [32], "newline": [10], "stop": b".", "comma": b",",
     "shout": b"!?", "pipe": b"|", "sign": b"#$%&*^~=+<>", "mark": b"-_/\\:;'\"()[]{}@", "high": range(128, 256), "control": [*range(0, 9), *range(14, 32), 127],
@@ -93,15 +96,18 @@ class Model:
                 break
         return cls(middle, spread, w, float(np.quantile(z @ w, 1 - share)))
 
+    def linear(self, texts: pa.Array) -> np.ndarray:
+        return np.clip((features(texts) - self.middle) / self.spread, -6, 6) @ self.weights
+
     def __call__(self, texts: pa.Array) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(texts), self.constant)
-        s = np.clip((features(texts) - self.middle) / self.spread, -6, 6) @ self.weights - self.cut
+        s = self.linear(texts) - self.cut
         return 1 / (1 + np.exp(-np.clip(s + np.log(THRESHOLD / (1 - THRESHOLD)), -40, 40)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model:
-    """Learn from a bounded sample of the labelled rows that aren't held out (see ``PER_LABEL``)."""
+    """Weights from a bounded sample of the labelled rows that aren't held out (see ``PER_LABEL``), the cut from all of them."""
     known = labels.filter(labels["quality"].isin(0, 1) & labels["doc_id"].isNotNull() & ~held_out(labels["doc_id"])).select(labels["doc_id"].cast("long").alias("doc_id"), labels["quality"].cast("int").alias("quality"))
     counts = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     if not counts:
@@ -118,7 +124,20 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model
     got = sorted(rows.select("doc_id", "text", "quality").mapInArrow(rate, "doc_id long, quality int, x array<double>").collect())
     if not got:
         return Model.fit(np.zeros((0, 1)), np.zeros(0))
-    return Model.fit(np.array([r["x"] for r in got]), np.array([r["quality"] for r in got]))
+    model = Model.fit(np.array([r["x"] for r in got]), np.array([r["quality"] for r in got]))
+    return model if model.constant is not None else replace(model, cut=_cut(docs, known, model))
+
+
+def _cut(docs: DataFrame, known: DataFrame, model: Model) -> float:
+    """Between the scores at the rank of the number of bad texts and above, over all rows of ``known`` with a text."""
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    scores = bw.annotate(slim, lambda texts: [shipped.value.linear(texts)], "s double", ("doc_id",)).select("row.doc_id", "s")
+    scores = shared.materialize(scores.join(known, "doc_id").select("s", "quality"), "scores")
+    n, bad = scores.agg(F.count("*"), F.count(F.when(F.col("quality") == 0, 1))).first()
+    low = scores.agg(F.percentile_approx("s", (bad - 0.5) / n, ACCURACY)).first()[0]
+    high = scores.filter(F.col("s") > low).agg(F.min("s")).first()[0]
+    return low if high is None else (low + high) / 2
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] | None = None) -> DataFrame:
