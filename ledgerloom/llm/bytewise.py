@@ -8,8 +8,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerloom.llm import shared
 
 U64 = np.uint64
+#: Bytes whose words are hashed together.
+_HASHED = 1 << 18
 #: Odd multipliers of the polynomial hashes (mod 2**64); their inverses divide a power out again.
 BASE = 0x9E3779B97F4A7C15
 SEQ = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
@@ -76,7 +83,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         up, down = np.full(size, base, U64), np.full(size, pow(base, -1, 1 << 64), U64)
         up[0] = down[0] = 1
         got = (np.cumprod(up), np.cumprod(down))
-        if size <= 8 << 20:
+        if size <= 1 << 20:
             _powers[base] = got
     return got[0][:n], got[1][:n]
 
@@ -118,29 +125,44 @@ def words(chunk: Chunk, alphabet: np.ndarray) -> Words:
     start = np.flatnonzero(now & (~before | row_edge))
     end = np.flatnonzero(before & (~now | row_edge))
     folded = LOWER[chunk.data]
-    h = mix64(span_hash(prefix_hash(folded.astype(U64) + U64(1), BASE), start, end) + (end - start).astype(U64))
+    h, at = np.empty(len(start), U64), 0
+    while at < len(start):  # some hundred kilobytes at a time, or one longer word
+        to = max(at + 1, int(np.searchsorted(end, start[at] + _HASHED, side="right")))
+        lo, hi = start[at], end[to - 1]
+        h[at:to] = span_hash(prefix_hash(folded[lo:hi].astype(U64) + U64(1), BASE), start[at:to] - lo, end[at:to] - lo)
+        at = to
+    h = mix64(h + (end - start).astype(U64))
     return Words(start, end, h, np.searchsorted(start, chunk.offsets), folded)
 
 
-def annotate(docs, fn, fields: str, keep: tuple[str, ...] | None = None, text: str = "text"):
-    """Run ``fn(texts) -> one Arrow array per field`` over every batch of rows, next to the row itself.
+def told_by(fn, fields: str, text: Column) -> Column:
+    """A column of struct ``fields`` (a DDL string), ``fn(texts) -> one Arrow array per field`` over batches of ``text``.
 
-    Returns a frame of ``row`` (a struct of the columns ``keep``, all where None) and
-    ``fields`` (a DDL string). Names of the caller's columns can't clash with ``fields``.
+    Only the texts go to the Python workers, and only the fields come back.
     """
-    from pyspark.sql import functions as F
-    from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    row = F.struct("*") if keep is None else F.struct(*[docs[c] for c in keep])
-    df = docs.select(row.alias("row"), docs[text].cast("string").alias("text"))
     own = T.StructType.fromDDL(fields)
-    out = T.StructType([df.schema["row"], *own.fields])
-    arrow = to_arrow_schema(own)
+    arrow = list(to_arrow_schema(own))
+
+    def run(texts: pa.Array) -> pa.Array:
+        made = [x if isinstance(x, (pa.Array, pa.ChunkedArray)) and x.type == f.type else pa.array(x, type=f.type) for x, f in zip(fn(texts), arrow, strict=True)]
+        return pa.StructArray.from_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in made], fields=arrow)
+
+    return F.arrow_udf(run, own).asNondeterministic()(text.cast("string"))  # told once for each row, wherever its fields are used
+
+
+def annotate(docs: DataFrame, fn, fields: str, keep: tuple[str, ...] | None = None, text: str = "text") -> DataFrame:
+    """``row`` (a struct of the columns ``keep``, all where None) of every row and the fields that ``told_by`` tells.
+
+    Names of the caller's columns can't clash with ``fields``.
+    """
+    shared.bounded_batches(docs.sparkSession)
+    row = F.struct("*") if keep is None else F.struct(*[docs[c] for c in keep])
+    return docs.select(row.alias("row"), told_by(fn, fields, docs[text]).alias("told")).select("row", "told.*")
 
-    def run(batches):
-        for batch in batches:
-            made = [x if isinstance(x, (pa.Array, pa.ChunkedArray)) and x.type == f.type else pa.array(x, type=f.type) for x, f in zip(fn(batch.column(1)), arrow, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["row", *arrow.names])
 
-    return df.mapInArrow(run, out)
+def where(docs: DataFrame, fn, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` for whose texts ``fn(texts)`` is true."""
+    shared.bounded_batches(docs.sparkSession)
+    return docs.filter(told_by(lambda texts: [fn(texts)], "yes boolean", docs[text])["yes"])

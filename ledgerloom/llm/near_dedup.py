@@ -5,12 +5,15 @@ second, shifted circularly by k, gives coordinate k of the signature. Texts with
 word sequences are one class; only one document of a class goes on. Bands of equal
 coordinates make buckets. Large buckets are not paired out: each first links its members
 to its most central one (a star), and only where a bucket still holds several components
-are its members compared, block against block on the signatures, so that only likely
-links between different components become rows. Every link is confirmed on whole sets.
+are its members compared on the signatures, in groups of bounded size that share further
+coordinates, so that only likely links between different components become rows. Every
+link is confirmed on whole sets.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,10 +33,13 @@ PERCENT = 85
 #: the two kinds share more than one coordinate.
 _STRIDED = np.arange(COORDINATES).reshape(ROWS, BANDS).T.ravel()
 #: Coordinates that must agree before sets are compared. At similarity 0.8 about 51 of 64 agree
-#: (standard deviation 3.2), so that a true link falls below this once in some millions.
+#: (standard deviation 3.2); a pair at 0.8 falls below this with a probability of 5e-7, one at 0.85 of 3e-10.
 AGREE = 34
-#: Members of a bucket that are compared with as many others in one task.
-BLOCK = 1024
+#: Members of a bucket that are compared with each other in one task; larger buckets are parted
+#: by runs of TRIPLE further coordinates, LEVELS times at most. A pair at 0.8 that shares a bucket
+#: shares fewer than LEVELS of the runs with a probability of 1e-5, one at 0.85 of 4e-7.
+BLOCK, TRIPLE, LEVELS = 1024, 3, 2
+RUNS = COORDINATES // TRIPLE
 _M32 = np.uint32
 
 
@@ -144,13 +150,14 @@ _LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.Lon
 
 
 def _block_links(key, table, percent):
-    """Likely links between different components within one pair of blocks of one bucket.
+    """Likely links between different components within one group, or one pair of blocks of a group.
 
     What a set shares with any other is at most what it doesn't have alone (``alone``
     shingles occur in no other set here); pairs that can't reach the threshold by that bound
-    are left out, without loss. A pair is told in the first band that it shares, not in every one.
+    are left out, without loss. A pair is told in the first band and runs that it shares, not in every one.
     """
-    bucket, low, high = (k.as_py() for k in key)
+    low, high = key[1].as_py(), key[2].as_py()
+    bucket, path = table.column("key")[0].as_py(), table.column("path")[0].as_py()
     ids, comp, block, size, alone = (table.column(c).to_numpy() for c in ("id", "component", "block", "size", "alone"))
     most = size - alone
     sig = np.array(table.column("sig").combine_chunks().flatten()).reshape(len(ids), COORDINATES)
@@ -163,14 +170,49 @@ def _block_links(key, table, percent):
         can = 100 * common >= percent * (size[right] + size[i] - common)
         j = right[can & (comp[right] != comp[i]) & ((low != high) | (ids[right] > ids[i]))]
         if len(j):
-            j = j[(sig[j] == sig[i]).sum(axis=1) >= AGREE]
-            j = j[~(keys[j, :band] == keys[i, :band]).any(axis=1)]
+            same = sig[j] == sig[i]
+            told = (same.sum(axis=1) >= AGREE) & ~(keys[j, :band] == keys[i, :band]).any(axis=1)
+            if path:
+                runs = same[:, : RUNS * TRIPLE].reshape(len(j), RUNS, TRIPLE).all(axis=2)
+                told &= runs[:, : path[-1] + 1].sum(axis=1) == len(path)
+            j = j[told]
             a_out.append(np.full(len(j), ids[i]))
             b_out.append(ids[j])
     flat = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
     return pa.table({"a": flat(a_out), "b": flat(b_out)})
 
 
+def _likely(rest: DataFrame, candidates: DataFrame, bounds: DataFrame, percent: int) -> DataFrame:
+    """Likely links (a, b) within the buckets of ``rest`` (key, id, component).
+
+    A bucket of more than BLOCK members is parted again by runs of further coordinates, so
+    that rows grow with its members and not with their square; what is as large after LEVELS
+    partings is compared block against block.
+    """
+    rest = rest.select("key", F.col("key").alias("group"), F.array().cast("array<int>").alias("path"), "id", "component")
+    done = []
+    for level in range(LEVELS + 1):
+        rest = shared.materialize(rest, "rest")
+        sizes = rest.groupBy("group").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("n > 1 AND lo <> hi").select("group", "n")
+        sizes = shared.materialize(sizes, "sizes")
+        rest = shared.salted_join(rest, sizes, ["group"], shared.hot_keys(sizes, ["group"], "n"), F.col("id"))
+        if level == LEVELS or sizes.filter(F.col("n") > BLOCK).isEmpty():
+            done.append(rest)
+            break
+        done.append(rest.filter(F.col("n") <= BLOCK))
+        run = lambda t: F.struct(t.alias("t"), F.xxhash64("group", t, *[F.element_at("sig", TRIPLE * t + k + 1) for k in range(TRIPLE)]).alias("group"))
+        split = rest.filter((F.col("n") > BLOCK) & (F.coalesce(F.try_element_at("path", F.lit(-1)), F.lit(-1)) < RUNS - 1)).join(candidates.select("id", "sig"), "id")
+        later = F.sequence(F.coalesce(F.try_element_at("path", F.lit(-1)) + 1, F.lit(0)), F.lit(RUNS - 1))
+        split = split.withColumn("run", F.explode(F.transform(later, run)))
+        rest = split.select("key", F.col("run.group").alias("group"), F.concat("path", F.array("run.t")).alias("path"), "id", "component")
+    rest = done[0] if len(done) == 1 else shared.materialize(reduce(DataFrame.union, done), "rest")
+    rest = rest.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rest = rest.select("key", "group", "path", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id", "component", "block")
+    rest = rest.join(bounds, "id").join(candidates.select("id", "sig", "keys"), "id")
+    return rest.groupBy("group", "low", "high").applyInArrow(lambda key, table: _block_links(key, table, percent), _LINK).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -178,11 +220,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     A text of fewer than five words has its whole word sequence as one shingle; a null or
     empty text has none and is linked with nothing. Rows that repeat an id are one node:
     a link of any of them holds for all. A null id is never linked; its component is null
-    and it is kept. An empty table gives no rows. Columns other than doc_id and text are
+    and it is kept. Very long texts are read whole, in one chunk each. An empty table gives no rows. Columns other than doc_id and text are
     not looked at.
     """
     if not 80 <= percent <= 100:
         raise ValueError(f"percent is {percent}, not between 80 and 100")
+    shared.bounded_batches(docs.sparkSession)
     slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     signed = bw.annotate(slim, lambda texts: _sign(texts, percent), "n_shingles long, one long, two long, sig array<int>, keys array<long>", ("doc_id",)).select("row.doc_id", "n_shingles", "one", "two", "sig", "keys")
     signed = shared.materialize(signed, "signed")
@@ -211,17 +254,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # buckets that still hold several components
     labelled = members.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     rest = shared.salted_join(labelled, mixed, ["key"], hot, F.col("id"))
     here = sets.join(rest.select("id").distinct(), "id").select("id", F.size("hashes").alias("size"), "hashes")
     single = here.select("id", F.explode("hashes").alias("h")).groupBy("h").agg(F.count("*").alias("df"), F.min("id").alias("id")).filter("df = 1").groupBy("id").agg(F.count("*").alias("alone"))
     bounds = here.select("id", "size").join(single, "id", "left").withColumn("alone", F.coalesce("alone", F.lit(0)).cast("int")).filter(100 * (F.col("size") - F.col("alone")) >= percent * F.col("size"))
-    rest = rest.join(bounds, "id").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rest = rest.join(candidates.select("id", "sig", "keys"), "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id", "component", "block", "size", "alone", "sig", "keys")
-    likely = rest.groupBy("key", "low", "high").applyInArrow(lambda key, table: _block_links(key, table, percent), _LINK)
+    likely = _likely(rest.join(bounds.select("id"), "id").select("key", "id", "component"), candidates, bounds, percent)
     tried = star.select("a", "b").union(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = shared.materialize(likely.distinct().join(tried, ["a", "b"], "left_anti"), "likely")
+    more = shared.materialize(likely.join(tried, ["a", "b"], "left_anti"), "likely")
     links = links.union(_confirmed(more, sets, percent))
     labels = components(links)
 

@@ -6,28 +6,39 @@ then costs only the tasks that were running on it.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _KEY = "spark.checkpoint.dir"
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of rows after which an Arrow batch ends, unless the session says otherwise.
+ARROW_BYTES = 4 << 20
 _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a folder of our own only where it is unset (tests)."""
+    """``spark.checkpoint.dir`` of the session; where it is unset, a folder of our own on one machine (tests), an error on a cluster."""
     named = spark.conf.get(_KEY, None)
     if named:
         return named.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError(f"{_KEY} must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
     return _own[app]
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows go to Python some megabytes at a time, however long they are; a limit that the session sets itself stays."""
+    if spark.conf.get(_BYTES, None) is None:
+        spark.conf.set(_BYTES, str(ARROW_BYTES))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/ledgerloom/{uuid.uuid4().hex}/{name}"
 
@@ -43,29 +54,31 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-#: A key with more than this part of all rows is dealt over SALTS tasks.
-HOT_PART, SALTS = 100, 64
+#: A key with more rows than one in HOT_PART of all, and than FEW, is dealt over tasks of so many rows; there are at most HOT_PART such keys.
+HOT_PART, FEW = 10_000, 256
+
 
+def hot_keys(groups: DataFrame, keys: list[str], weight: str) -> DataFrame | None:
+    """``keys, _salts``: hot keys and the number of salts that their rows are dealt over; None where there is no such key.
 
-def hot_keys(groups: DataFrame, keys: list[str], weight: str) -> list[tuple]:
-    """Keys that hold more than one row in HOT_PART; there are fewer than HOT_PART of them. ``groups`` has a row per key with its number of rows."""
+    ``groups`` has a row per key with its number of rows. The number of salts grows with a
+    key's rows, so that no task gets more than one row in HOT_PART (or FEW), and the frame
+    has fewer than HOT_PART rows at any size, which is why it may be broadcast.
+    """
     total = groups.agg(F.sum(weight)).first()[0] or 0
-    return [tuple(r) for r in groups.filter(F.col(weight) * HOT_PART > total).select(*keys).collect()] if total else []
+    a_task = max(FEW, -(-total // HOT_PART))
+    hot = groups.filter(F.col(weight) > a_task).select(*keys, F.ceil(F.col(weight) / a_task).cast("int").alias("_salts"))
+    return None if hot.isEmpty() else hot
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], hot: list[tuple], spread: Column, how: str = "inner") -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame | None, spread: Column, how: str = "inner") -> DataFrame:
     """Equi-join in which ``left`` may have very many rows of the ``hot`` keys and ``right`` has few of each.
 
     Rows of hot keys are dealt by a hash of ``spread``; the right side stands once for each salt.
     """
-    if not hot:
+    if hot is None:
         return left.join(right, keys, how)
-
-    def is_hot(df: DataFrame) -> Column:
-        if len(keys) == 1:
-            return F.coalesce(df[keys[0]].isin([k[0] for k in hot]), F.lit(False))
-        return F.coalesce(reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [df[c] == F.lit(v) for c, v in zip(keys, k, strict=True)]) for k in hot]), F.lit(False))
-
-    salted = left.withColumn("_salt", F.when(is_hot(left), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(0))
-    everywhere = right.withColumn("_salt", F.explode(F.when(is_hot(right), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
-    return salted.join(everywhere, [*keys, "_salt"], how).drop("_salt")
+    salts = F.broadcast(hot)
+    salted = left.withColumn("_spread", F.xxhash64(spread)).join(salts, keys, "left").withColumn("_salt", F.coalesce(F.pmod("_spread", "_salts"), F.lit(0)).cast("int"))
+    everywhere = right.join(salts, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
+    return salted.drop("_spread", "_salts").join(everywhere.drop("_salts"), [*keys, "_salt"], how).drop("_salt")
