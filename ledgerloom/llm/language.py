@@ -3,7 +3,8 @@
 Every language has a codeword. One linear classifier over hashed byte trigrams predicts
 each bit; the loss-weighted distance of the margins to each codeword, weighted by how
 good each bit's classifier was in training, chooses the language. Two codewords at nearly
-the same distance make a text ambiguous.
+the same distance make a text ambiguous; how near is learnt from texts that the classifiers
+haven't seen and from mixes of them.
 """
 
 from __future__ import annotations
@@ -22,8 +23,11 @@ from ledgerloom.llm import shared
 BUCKETS = 2048
 #: Expected number of training texts of each language (a hash of the id chooses them).
 PER_LANGUAGE = 600
-#: A text is ambiguous where the two nearest codewords' losses differ by less than this part of their sum.
-AMBIGUOUS = 0.002
+#: A text is ambiguous where the losses of the two nearest codewords differ by a smaller part of
+#: their sum than for all but this share of texts of one language.
+UNUSUAL = 0.01
+#: Texts of two languages, half and half, that the training looks at for each pair of languages.
+MIXES = 50
 UNKNOWN = "und"
 #: ASCII letters in lower case and bytes of other alphabets stay; all else is a gap.
 _FOLD = np.where(bw.ALNUM, bw.LOWER, 32).astype(np.uint8)
@@ -72,6 +76,8 @@ class Model:
     code: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
     weights: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
     trust: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
+    #: Texts with a smaller gap between the two nearest codewords are ambiguous.
+    least_gap: float = 0.0
 
     @classmethod
     def fit(cls, x: np.ndarray, languages: list[str]) -> Model:
@@ -89,23 +95,61 @@ class Model:
         trust = trust / trust.sum() if trust.sum() > 0 else np.full(len(trust), 1 / len(trust))
         return cls(names, code, w.astype(np.float32), trust.astype(np.float32))
 
+    def losses(self, x: np.ndarray) -> np.ndarray:
+        """Of each row of trigrams to each codeword."""
+        margin = x @ self.weights[:-1] + self.weights[-1]
+        return (np.exp(-np.clip(margin[:, None, :] * self.code[None], -5, 5)) * self.trust).sum(2)
+
+    def gaps(self, x: np.ndarray) -> np.ndarray:
+        """How much farther the second codeword is than the first, as a part of their sum."""
+        if len(self.languages) < 2 or not len(x):
+            return np.full(len(x), np.inf)
+        two = np.partition(self.losses(x), 1, axis=1)
+        return (two[:, 1] - two[:, 0]) / (two[:, 1] + two[:, 0])
+
     def __call__(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and ambiguity of each text."""
         known = lettered(texts) & bool(self.languages)
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
         x = trigrams(texts)
-        margin = x @ self.weights[:-1] + self.weights[-1]
-        loss = (np.exp(-np.clip(margin[:, None, :] * self.code[None], -5, 5)) * self.trust).sum(2)
+        loss = self.losses(x)
         order = np.argsort(loss, axis=1, kind="stable")
         first = loss[np.arange(len(loss)), order[:, 0]]
         near = np.exp(-4 * (loss - first[:, None]))
         score = np.where(known, 1 / near.sum(1), 0.0).astype(float)
-        second = loss[np.arange(len(loss)), order[:, 1]] if len(self.languages) > 1 else np.full(len(loss), np.inf)
-        unsure = ~known | ((second - first) < AMBIGUOUS * (second + first))
+        unsure = ~known | (self.gaps(x) < self.least_gap)
         return [self.languages[o] if k else UNKNOWN for o, k in zip(order[:, 0], known, strict=True)], score, unsure
 
 
+def train(x: np.ndarray, languages: list[str]) -> Model:
+    """A model of all rows, with the gap under which a text counts as ambiguous.
+
+    Each half of the rows is judged by a model of the other half. The gap is the quantile
+    ``UNUSUAL`` of texts of one language, but no more than mixes of two languages reach, so
+    that languages far apart flag nothing without need.
+    """
+    model, clean, mixed = Model.fit(x, languages), [], []
+    halves = [np.arange(len(x)) % 2 == k for k in (0, 1)]
+    rng = np.random.default_rng(8)
+    for own, other in (halves, halves[::-1]):
+        names = [v for v, o in zip(languages, own, strict=True) if o]
+        half = Model.fit(x[own], names)
+        if half.languages != model.languages or len(half.languages) < 2:
+            return model
+        away = np.array(languages)[other]
+        clean.append(half.gaps(x[other])[np.isin(away, half.languages)])
+        at = {v: np.flatnonzero(away == v) for v in half.languages}
+        for a in half.languages:
+            for b in half.languages:
+                if a < b and len(at[a]) and len(at[b]):
+                    i, j = rng.choice(at[a], MIXES), rng.choice(at[b], MIXES)
+                    mixed.append(half.gaps(np.sqrt((x[other][i] ** 2 + x[other][j] ** 2) / 2)))
+    if mixed:
+        model.least_gap = float(min(np.quantile(np.concatenate(clean), UNUSUAL), np.concatenate(mixed).max()))
+    return model
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows never learnt from: crc32 of the id as text leaves 2 on division by 4; a null id is not one."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -130,15 +174,16 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     got = sorted(sample.select(F.col("doc_id").cast("string"), "text", "lang").mapInArrow(features, "doc_id string, lang string, x binary").collect())
     if not got:
         return Model([])
-    return Model.fit(np.stack([np.frombuffer(r["x"], np.float32) for r in got]), [r["lang"] for r in got])
+    return train(np.stack([np.frombuffer(r["x"], np.float32) for r in got]), [r["lang"] for r in got])
 
 
 def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] | None = None) -> DataFrame:
     """``row`` (struct of the columns ``keep``, all where None), lang_pred, score, ambiguous of every row.
 
     A text that is null or has no letter is ``und`` with score 0 and ambiguous; so is every
-    text if no language could be learnt. Ties go to the language that sorts first. Repeated
-    rows are judged alike; an empty table gives no rows.
+    text if no language could be learnt. Ties go to the language that sorts first. A text
+    half in one language and half in another is told as one of them and ambiguous. Very long
+    texts are read whole, in chunks. Repeated rows are judged alike; an empty table gives no rows.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # codes and weights: BUCKETS numbers a bit
     return bw.annotate(docs, lambda texts: shipped.value(texts), "lang_pred string, score double, ambiguous boolean", keep)
@@ -146,7 +191,8 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] | None = None)
 
 def known_language(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` whose language is told without ambiguity."""
-    return identify(docs, model).filter("NOT ambiguous").select("row.*")
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    return bw.where(docs, lambda texts: ~shipped.value(texts)[2])
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
