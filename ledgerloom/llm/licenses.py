@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm import bytewise as bw
 from ledgerloom.llm import shared
+from ledgerloom.llm.license_clauses import CLAUSES
 
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 _FOLD = np.where(bw.ALNUM, bw.LOWER, 32).astype(np.uint8).tobytes()
@@ -223,18 +224,35 @@ def rules() -> list[Rule]:
             add(f"cc-{short}-{v}", 80, "creativecommons org licenses", f"creativecommons org licenses {spaced(short)} {spaced(v)}")
         add(f"cc-{short}", 40, f"cc {spaced(short)}", f"cc {spaced(short)}")
         add(f"cc-{short}", 40, "creative commons attribution", f"creative commons {long}")
-    for line in _TEXTS.strip().split("\n"):
+    for line in [*_TEXTS.strip().split("\n"), *CLAUSES.strip().split("\n")]:
         label, keyword, expression = (x.strip() for x in line.split("|", 2))
         add(label, 70 if re.search(r"\d", label) else 50 if len(expression.split()) > 6 else 40, keyword, expression)
     return made
 
 
 def suppress(found: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
-    """Of (start, end, priority, label), those not contained in one kept before: by priority, then length, then place."""
-    kept: list[tuple[int, int, int, str]] = []
-    for start, end, priority, label in sorted({*found}, key=lambda x: (-x[2], x[0] - x[1], x[0], x[3])):
-        if not any(s <= start and end <= e for s, e, _, _ in kept):
-            kept.append((start, end, priority, label))
+    """Of (start, end, priority, label), those not contained in one kept before: by priority, then length, then place.
+
+    What lies in a suppressed detection lies in a kept one too, so that it is enough to ask
+    how far all before reach from starts up to one's own: a tree of greatest ends by start.
+    """
+    order = sorted({*found}, key=lambda x: (-x[2], x[0] - x[1], x[0], x[3]))
+    rank = {s: i for i, s in enumerate(sorted({x[0] for x in order}), 1)}
+    reach = [-1] * (len(rank) + 1)
+    kept = []
+    for one in order:
+        start, end = one[:2]
+        i, far = rank[start], -1
+        while i:
+            far = max(far, reach[i])
+            i &= i - 1
+        if far >= end:
+            continue
+        kept.append(one)
+        i = rank[start]
+        while i < len(reach):
+            reach[i] = max(reach[i], end)
+            i += i & -i
     return sorted(kept)
 
 
@@ -263,12 +281,20 @@ class Scanner:
             at = said.find(f" {phrase} ")
             while at >= 0:
                 base.add(BASE[phrase])
-                starts.append(said.count(" ", 0, at))
+                starts.append(at)
                 at = said.find(f" {phrase} ", at + 1)
         for k in keys & {*self.by}:
             for rule in self.by[k]:
                 found += [(m.start(), m.end(), rule.priority, rule.label) for m in rule.pattern.finditer(said)]
         kept = suppress(found)
+        # places in characters become words: blanks are counted once
+        places = np.unique([*starts, *(x for k in kept for x in k[:2])]).astype(np.int64)
+        word, n, at = {}, 0, 0
+        for p in places.tolist():
+            n += said.count(" ", at, p)
+            at = p
+            word[p] = n
+        starts = [word[at] for at in starts]
         own = {x[3] for x in kept}
         if starts:
             out |= {"n_base": len(starts), "first_word": min(starts), "last_word": max(starts), "base_labels": ",".join(sorted(base))}
@@ -277,8 +303,7 @@ class Scanner:
             doubt *= 1 - priority / 100
         for _ in base - own:
             doubt *= 0.5
-        word = lambda at: said.count(" ", 0, at)
-        out |= {"labels": ",".join(sorted(base | own)), "score": round(1 - doubt, 6), "detections": [(x[3], word(x[0]) - 1, word(x[1]), x[2]) for x in kept]}
+        out |= {"labels": ",".join(sorted(base | own)), "score": round(1 - doubt, 6), "detections": [(x[3], word[x[0]] - 1, word[x[1]], x[2]) for x in kept]}
         return out
 
 
@@ -301,7 +326,8 @@ def scan_licenses(docs: DataFrame, keep: tuple[str, ...] | None = None) -> DataF
 
     n_words, n_base, first_word and last_word (null without base phrases), base_labels,
     labels, score, and detections: label, first word, word after the last, priority. Null
-    and empty texts have no words, no labels and score 0. Repeated rows are scanned alike;
+    and empty texts have no words, no labels and score 0. Very long texts are read whole, in
+    time that grows with their words and detections. Repeated rows are scanned alike;
     an empty table gives no rows.
     """
     return bw.annotate(docs, _scan, _FIELDS, keep)

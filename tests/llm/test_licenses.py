@@ -57,3 +57,50 @@ def test_edges(table):
     assert sorted((r.n_words, r.labels, r.score) for r in got) == [(0, "", 0.0), (0, "", 0.0), (2, "cc-by", 0.4), (2, "cc-by", 0.4)]
     assert {r.row.labels for r in got} == {"x", "y", "z", None}
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
+
+
+def test_written_rules():
+    lines = [x for x in (*licenses._TEXTS.strip().split("\n"), *licenses.CLAUSES.strip().split("\n"))]
+    assert len(lines) >= 300 and len({*lines}) == len(lines)
+    for line in lines:
+        label, keyword, expression = (x.strip() for x in line.split("|", 2))
+        assert label and len(keyword) > 2 and keyword == re.sub("[^a-z0-9 ]", "", keyword) and re.compile(expression)
+
+
+def test_labels_equal_a_plain_search():
+    """Every rule tried everywhere without the keyword gate, detections compared pair by pair."""
+    import random
+
+    scan, rng = licenses.Scanner(), random.Random(5)
+    rules = licenses.rules()
+    said = ["Licensed under the Apache License, Version 2.0", "GNU General Public License version 3", "CC BY-SA 4.0", "the MIT License", "all rights reserved", "copyright (c) 2019 2020 someone",
+            "redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer", "some words", "gnu lgpl v3", "public domain", "cc by", "no"]
+    for _ in range(40):
+        text = ". ".join(rng.choice(said) for _ in range(rng.randint(0, 12)))
+        words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", text.lower())
+        line = f" {' '.join(words)} "
+        found = [(m.start(), m.end(), r.priority, r.label) for r in rules for m in r.pattern.finditer(line)]
+        kept = []
+        for one in sorted({*found}, key=lambda x: (-x[2], x[0] - x[1], x[0], x[3])):
+            if not any(s <= one[0] and one[1] <= e for s, e, _, _ in kept):
+                kept.append(one)
+        assert licenses.suppress(found) == sorted(kept)
+        base_labels = {v for k, v in licenses.BASE.items() if f" {k} " in line}
+        assert scan(text)["labels"] == ",".join(sorted(base_labels | {x[3] for x in kept}))
+        assert scan(text)["detections"] == [(x[3], line.count(" ", 0, x[0]) - 1, line.count(" ", 0, x[1]), x[2]) for x in sorted(kept)]
+        left = 1.0
+        for p in {x[3]: x[2] for x in sorted(kept)}.values():
+            left *= 1 - p / 100
+        for _ in base_labels - {x[3] for x in kept}:
+            left *= 0.5
+        assert abs(scan(text)["score"] - (1 - left)) < 1e-6
+
+
+def test_many_hits_take_time_in_proportion():
+    import time
+
+    scan = licenses.Scanner()
+    scan("warm up")
+    began = time.perf_counter()
+    found = scan("All rights reserved under the MIT License. " * 50_000)
+    assert found["n_base"] == 50_000 and found["last_word"] == 7 * 49_999 and time.perf_counter() - began < 10
