@@ -9,6 +9,7 @@ among the pieces of its length.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -27,10 +28,21 @@ END_ID = 1
 #: Pieces of one length that a task ranks together; more are dealt over salts.
 RANKED_TOGETHER = 500
 #: Words that a worker remembers; the memory forgets all beyond that.
-REMEMBERED = 400_000
+REMEMBERED = 120_000
 _SPACE = re.compile("[\t\n\x0b\x0c\r \x85\xa0  -     　]+")
 _ODD = re.compile("[\x1c-\x1fΣ]|<\\|")
 _TAIL = ".,;:!?*#$%&|\"()"
+#: The way of cutting (fixed values of the public tokenizer) that words can be encoded one by one with; others encode whole texts.
+_BY_WORD = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
 
 
 def _byte_letters() -> dict[int, str]:
@@ -45,7 +57,7 @@ class Tokens:
 
     The tokenizer cuts at white space and between letters and signs before it merges, so
     a text's ids are the ids of its words one after the other; each word is encoded once.
-    A text that is not in composed form, before or after lower-casing, goes word by word.
+    Tokenizers that cut otherwise (``_BY_WORD``) are given whole texts. A text that is not in composed form, before or after lower-casing, goes word by word.
     """
 
     def __init__(self, path: str):
@@ -53,6 +65,8 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.of = Tokenizer.from_file(path)
+        spec = json.loads(self.of.to_str())
+        self.by_word = all(spec[k] == v for k, v in _BY_WORD.items()) and not spec["post_processor"] and not spec["truncation"] and not spec["padding"]
         self.merge = self.of.model.tokenize
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
@@ -92,6 +106,8 @@ class Tokens:
         return own
 
     def __call__(self, text: str) -> bytes:
+        if not self.by_word:
+            return self._ids(text)
         low = text.lower()
         if _ODD.search(text) or not (text.isascii() or is_normalized("NFC", text) and is_normalized("NFC", low)):
             return b"".join(self._ids(x) for x in _SPACE.split(text) if x)
@@ -127,6 +143,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids:
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
+    shared.bounded_batches(docs.sparkSession)
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(cut, schema)
 
 
@@ -176,17 +193,18 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bo
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids).
 
     Null and empty texts are the end token alone. Repeated rows and repeated ids are packed
-    each for itself; null ids too. An empty table gives no rows. Only texts longer than
+    each for itself, dealt over tasks like others; null ids too. Very long texts are encoded
+    whole. An empty table gives no rows. Only texts longer than
     ``capacity`` are cut. Other columns are not looked at.
     """
     spark = docs.sparkSession
-    parts = shared.materialize(pieces(docs, tokenizer, capacity, keep_ids), "pieces")
+    parts = shared.materialize(pieces(docs, tokenizer, capacity, keep_ids).withColumn("row", F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["count"] for r in parts.groupBy("length").count().collect()}  # at most ``capacity`` rows
     plan = spark.createDataFrame(best_fit(counts, capacity), "length long, rank_from long, rank_to long, first long, per long, base long")
     salts = spark.createDataFrame([(n, -(-c // RANKED_TOGETHER)) for n, c in counts.items()], "length long, salts long")
-    salted = parts.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), "salts"))
+    salted = parts.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("row"), "salts"))
     before = salted.groupBy("length", "salt").count().withColumn("before", F.sum("count").over(Window.partitionBy("length").orderBy("salt")) - F.col("count")).drop("count")
-    own = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")) - 1
+    own = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "row")) - 1
     ranked = salted.withColumn("own", own).join(before, ["length", "salt"]).withColumn("rank", F.col("own") + F.col("before"))
     slot = (ranked["length"] == plan["length"]) & (F.col("rank") >= F.col("rank_from")) & (F.col("rank") < F.col("rank_to"))
     nth = F.col("rank") - F.col("rank_from")

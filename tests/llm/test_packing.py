@@ -82,3 +82,26 @@ def test_pack_edges(table):
     assert packing.pack(docs.limit(0), packing.vocabulary()).count() == 0
     again = packing.pack(docs.selectExpr("CAST(NULL AS long) doc_id", "text").union(docs.select("doc_id", "text")).union(docs.select("doc_id", "text")), packing.vocabulary(), 16).collect()
     assert len(again) == 3 * len(found)
+
+
+def test_tokenizers_that_cut_otherwise(table):
+    from tokenizers import Tokenizer
+
+    path = packing.vocabulary("byte_bpe_50k.json")
+    texts = ["The Cat  sat.\nIt's  late", "", "naïve Ünder 12 34 <|endoftext|> x", "word " * 300]
+    rows = packing.pieces(table([*enumerate(texts)], "doc_id long, text string"), path, keep_ids=True).collect()
+    plain = Tokenizer.from_file(path)
+    assert {r.doc_id: [*r.ids] for r in rows} == {i: [*plain.encode(t, add_special_tokens=False).ids, packing.END_ID] for i, t in enumerate(texts)}
+
+
+def test_repeated_rows_and_long_texts(table):
+    rows = [(7, "same text again")] * 1500 + [(None, "no id")] * 30 + [(8, "long words here " * 40_000)]
+    docs = table(rows, "doc_id long, text string")
+    got = packing.pack(docs, packing.vocabulary()).collect()
+    assert sum(r.doc_id == 7 for r in got) == 1500 and sum(r.doc_id is None for r in got) == 30
+    places = sorted((r.sequence_id, r.offset, r.length) for r in got)
+    end = {}
+    for seq, offset, length in places:
+        assert offset == end.get(seq, 0)
+        end[seq] = offset + length
+    assert max(end.values()) <= 4096 and len(end) == -(-sum(end.values()) // 4096)
