@@ -22,8 +22,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the one with the smallest id stays."""
-    return near_dedup.drop_near_copies(docs)
+    """Of each group of near-duplicates (five words, a similarity of 0.8 or more) the one with the smallest id stays."""
+    return near_dedup.drop_near_copies(docs, 80)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

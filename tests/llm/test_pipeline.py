@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import corpus_pipeline
 
-from tests.llm import test_near_dedup, test_packing
+from tests.llm import test_near_dedup_threshold, test_packing
 
 
 def test_stages_equal_brute_force(spark, sf):
@@ -25,7 +25,7 @@ def test_stages_equal_brute_force(spark, sf):
                 first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", kept[i]), i)
             assert got.keys() == {*first.values()}
         elif name == "near_dedup":
-            assert got.keys() == {i for i, r in test_near_dedup.brute([*kept.items()]).items() if r[2]}
+            assert got.keys() == {i for i, least in test_near_dedup_threshold.brute([*kept.items()], 80).items() if i == least}
         else:
             words = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
             windows = defaultdict(set)
