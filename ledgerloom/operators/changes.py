@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.history import forward_fill, latest, open_end, scd2_build
@@ -44,8 +44,6 @@ def apply_changes(sources: Sequence[DataFrame], keys: Sequence[str], sequence_by
         return out.filter("NOT _gone").drop("_gone") if gone else out
     if ignore_nulls:
         events = forward_fill(events, keys, list(sequence_by), [c for c in cols if c not in sequence_by])
-    from pyspark.sql import Window
-
     w = Window.partitionBy(*keys).orderBy(*sequence_by)
     dated = events.withColumn("start_at", F.col(sequence_by[0])).withColumn("end_at", F.lead(sequence_by[0]).over(w))
     if delete_when is not None:
@@ -83,18 +81,43 @@ def open_close_merge(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     return done.unionByName(kept).unionByName(changes.filter(F.col(opened).isNotNull()).select(*target.columns)), lost
 
 
+def with_told(events: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Sparse events with the names of the columns that each tells."""
+    return events.withColumn("told", F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.lit(c)) for c in cols])))
+
+
+def open_close_totals(target: DataFrame, changes: DataFrame, keys: Sequence[str], opened: str, closed: str) -> DataFrame:
+    """One row per key: its first opening and last close over what the table holds and what changed, so that batches add up to the whole log."""
+    both = target.select(*keys, opened, closed).unionByName(changes.select(*keys, opened, closed))
+    return both.groupBy(*keys).agg(F.min(opened).alias(opened), F.max(closed).alias(closed))
+
+
 def scd2_merge(target: DataFrame, changes: DataFrame, keys: Sequence[str], ts: str, seq: Sequence[str], cols: Sequence[str], start: str = "effectivedate", end: str = "enddate") -> DataFrame:
     """The history after sparse changes: several a key and batch, out of order or delivered again, are all right.
 
     ``target`` keeps one row per version with its event's ``ts`` and ``seq``. Versions of keys
     that didn't change are passed through; those of changed keys are opened up as events,
     joined by the new ones, filled forward and dated anew. The rest of the table isn't read
-    into the windows.
+    into the windows. Where ``target`` has a column ``told`` (``with_told``), it lists the columns
+    that a version's day told itself: only these are events again, so that a late event's
+    value goes on into later versions that didn't tell that column. Of an event that is
+    delivered again the later delivery counts (among several the greatest), whatever the order of rows.
     """
+    sparse = "told" in target.columns
     touched = changes.select(*keys).distinct()
     same = target.join(touched, [*keys], "left_anti")
-    events = target.join(touched, [*keys], "left_semi").select(*keys, ts, *seq, *cols)
-    merged = events.unionByName(changes.select(*keys, ts, *seq, *cols)).dropDuplicates([*keys, ts, *seq])
+    events = target.join(touched, [*keys], "left_semi")
+    if sparse:
+        events = events.withColumns({c: F.when(F.array_contains("told", c), F.col(c)) for c in cols})
+        changes = with_told(changes, cols)
+    rest = [*cols, *(["told"] if sparse else [])]
+    events = events.select(*keys, ts, *seq, *rest, F.lit(0).alias("_new"))
+    both = events.unionByName(changes.select(*keys, ts, *seq, *rest, F.lit(1).alias("_new")))
+    best = F.max_by(F.struct(*rest), F.struct("_new", *rest))
+    merged = both.groupBy(*keys, ts, *seq).agg(best.alias("_r")).select(*keys, ts, *seq, *[F.col("_r").getField(c).alias(c) for c in rest])
+    if sparse:  # a day's last event stands for all that its day told
+        day = Window.partitionBy(*keys, F.col(ts).cast("date")).orderBy(ts, *seq).rowsBetween(Window.unboundedPreceding, 0)
+        merged = merged.withColumn("told", F.array_sort(F.array_distinct(F.flatten(F.collect_list("told").over(day)))))
     again = scd2_build(forward_fill(merged, keys, [ts, *seq], cols), keys, ts, seq, start, end)
     return same.select(*target.columns).unionByName(again.select(*target.columns))
 

@@ -77,3 +77,9 @@ def dense_index(df: DataFrame, order: Sequence[str], out: str = "idx") -> DataFr
     offsets = sizes.withColumn("_from", F.coalesce(F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_from")
     own = F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1
     return dealt.withColumn("_own", own).join(offsets, "_p").withColumn(out, (F.col("_own") + F.col("_from")).cast("long")).drop("_p", "_own", "_from")
+
+
+def top_rows(df: DataFrame, keys: Sequence[str], order: Order, n: int) -> DataFrame:
+    """The first ``n`` rows of each key; each task keeps only so many a key before the shuffle."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n).drop("_n")

@@ -50,7 +50,7 @@ class Feeds:
             (F.col("c_custkey") % 3 + 1).alias("tier"), F.when(F.col("c_custkey") % 3 == 0, "m").when(F.col("c_custkey") % 3 == 1, "F").otherwise("x").alias("gender"), F.col("c_mktsegment").alias("city"), F.col("c_nationkey").cast("long").alias("nat_tx"),
         )
         null = F.lit(None)
-        upd = o.filter("o_orderkey % 3 = 0").select(
+        upd = o.select(
             F.col("o_custkey").alias("customerid"), F.col("o_orderdate").alias("ts"), k.alias("seq"), F.when(k % 50 == 9, "INACT").otherwise("UPDCUST").alias("action"), null.cast("string").alias("lastname"),
             F.when(k % 2 == 0, k % 5).alias("tier"), null.cast("string").alias("gender"), F.when(k % 4 == 0, F.col("o_orderpriority")).otherwise("").alias("city"), null.cast("long").alias("nat_tx"),
         )
@@ -60,7 +60,7 @@ class Feeds:
     def account_log(self) -> DataFrame:
         c, o, k = self.read("customer"), self.read("orders"), F.col("o_orderkey")
         new = c.select((F.col("c_custkey") * 10).alias("accountid"), F.col("c_custkey").alias("customerid"), F.date_add(F.lit("1994-01-01").cast("date"), (F.col("c_custkey") % 300).cast("int")).cast("timestamp_ntz").alias("ts"), F.lit(-1).cast("long").alias("seq"), F.lit("ACTV").alias("status"), (F.col("c_custkey") % 7).alias("brokerid"))
-        upd = o.filter("o_orderkey % 4 = 1").select((F.col("o_custkey") * 10).alias("accountid"), F.col("o_custkey").alias("customerid"), F.col("o_orderdate").alias("ts"), k.alias("seq"), F.when(k % 40 == 1, "INAC").alias("status"), F.when(k % 8 == 1, k % 7).alias("brokerid"))
+        upd = o.select((F.col("o_custkey") * 10).alias("accountid"), F.col("o_custkey").alias("customerid"), F.col("o_orderdate").alias("ts"), k.alias("seq"), F.when(k % 40 == 1, "INAC").alias("status"), F.when(k % 8 == 1, k % 7).alias("brokerid"))
         return new.unionByName(upd)
 
     @cached_property
@@ -115,9 +115,8 @@ class Feeds:
         ]
         return union(each)
 
-    @property
-    def finwire(self) -> DataFrame:
-        """All fixed-width records, written as text and read back as lines."""
+    def finwire(self, kind: str) -> DataFrame:
+        """The fixed-width records of one kind (CMP, SEC, FIN), written as text and read back as lines; each kind has a folder of its own."""
         p, k = self.read("part"), F.col("p_partkey")
         name = lambda c: F.concat(F.lit("Company "), c.cast("string"))
         prefix = lambda day, kind: F.concat(F.date_format(day, "yyyyMMdd"), F.lit("-120000"), F.lit(kind))
@@ -129,20 +128,20 @@ class Feeds:
 
         firms = p.filter("p_partkey % 5 = 0")
         lines = []
+        firm = k - k % 5
         for i, day in enumerate((F.lit("1993-01-01").cast("date"), F.date_add(F.lit("1998-01-01").cast("date"), (k % 100).cast("int")))):
             own = {"_prefix": prefix(day, "CMP"), "companyname": name(k), "cik": F.lpad(k.cast("string"), 10, "0"), "status": F.lit("ACTV"), "industryid": F.concat(F.lit("I"), (k % 3).cast("string")), "sprating": rating(i), "foundingdate": F.when(k % 7 == 0, "19001399").otherwise("19700102"), "ceo": F.col("p_brand")}
-            lines.append(line(firms, CMP, own))
-        firm = k - k % 5
+            lines += [line(firms, CMP, own)] if kind == "CMP" else []
         ref = F.when(k % 2 == 0, F.lpad(firm.cast("string"), 20, "0")).otherwise(name(firm))
         for day, more in ((F.lit("1994-06-01").cast("date"), 0), (F.lit("1999-06-01").cast("date"), 7)):
             own = {"_prefix": prefix(day, "SEC"), "symbol": F.concat(F.lit("S"), k.cast("string")), "issue": F.lit("COMMON"), "status": F.lit("ACTV"), "name": F.col("p_name"), "exchangeid": F.lit("NYSE"), "sharesoutstanding": k * 100 + more, "firsttrade": F.lit("19900105"), "dividend": F.lit("0.25"), "conameorcik": ref}
-            lines.append(line(p, SEC, own))
+            lines += [line(p, SEC, own)] if kind == "SEC" else []
         day = F.col("l_shipdate")
         fin = self.read("lineitem").groupBy((F.col("l_partkey") - F.col("l_partkey") % 5).alias("firm"), F.year(day).alias("y"), F.quarter(day).alias("q")).agg(F.sum(F.round(F.col("l_extendedprice")).cast("long")).alias("revenue"))
         start = F.make_date("y", F.col("q") * 3 - 2, F.lit(1))
         own = {"_prefix": prefix(F.add_months(start, 3), "FIN"), "year": F.col("y"), "quarter": F.col("q"), "qtrstartdate": F.date_format(start, "yyyyMMdd"), "postingdate": F.date_format(F.add_months(start, 3), "yyyyMMdd"), "revenue": F.col("revenue"), "earnings": F.floor(F.col("revenue") / 4), "eps": F.floor(F.col("revenue") / 1000), "sharesout": F.lit(1000),
                "conameorcik": F.when(F.col("firm") % 2 == 0, F.lpad(F.col("firm").cast("string"), 20, "0")).otherwise(name(F.col("firm")))}
-        lines.append(line(fin, FIN, own))
-        path = tables.scratch_path(self.spark, "finwire")
+        lines += [line(fin, FIN, own)] if kind == "FIN" else []
+        path = tables.scratch_path(self.spark, f"finwire_{kind}")
         union(lines).write.text(path)
         return files.split_record_types(self.spark.read.text(path))

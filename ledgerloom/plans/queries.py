@@ -250,12 +250,12 @@ def trailing_4q_revenue(t):
     return W.trailing_sum(quarters(t), ["l_suppkey"], ["y", "q"], "revenue")
 
 
-@query(f"""WITH {_QUARTERS} SELECT o_orderkey, l_suppkey, round(CAST(round(l_extendedprice * 100) AS BIGINT) / nullif(tr.trailing, 0), 9) AS ratio
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN tr USING (l_suppkey) WHERE l_linenumber = 1 AND y = year(l_shipdate) AND q = quarter(l_shipdate)""")
+@query(f"""WITH {_QUARTERS} SELECT o_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_suppkey, round(CAST(round(l_extendedprice * 100) AS BIGINT) / nullif(tr.trailing, 0), 9) AS ratio
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN tr USING (l_suppkey) WHERE y = year(l_shipdate) AND q = quarter(l_shipdate)""")
 def pe_ratio_like(t):
     r = W.trailing_sum(quarters(t), ["l_suppkey"], ["y", "q"], "revenue").select("l_suppkey", "y", "q", "trailing")
-    rows = t.lineitem.filter("l_linenumber = 1").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumns({"y": F.year("l_shipdate"), "q": F.quarter("l_shipdate")})
-    return rows.join(r, ["l_suppkey", "y", "q"]).select("o_orderkey", "l_suppkey", F.round(C.safe_ratio(cents("l_extendedprice"), "trailing"), 9).alias("ratio"))
+    rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumns({"y": F.year("l_shipdate"), "q": F.quarter("l_shipdate")})
+    return rows.join(r, ["l_suppkey", "y", "q"]).select("o_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(C.safe_ratio(cents("l_extendedprice"), "trailing"), 9).alias("ratio"))
 
 
 @query("SELECT c_custkey, row_number() OVER (ORDER BY c_mktsegment, c_custkey) - 1 AS idx FROM customer")
@@ -357,14 +357,33 @@ def cdc_scd2(t):
     return K.apply_changes([e], ["user_id"], ["event_id"], scd=2).select("user_id", "event_id", "event_type", "end_at")
 
 
-@query("SELECT 'same versions' AS test, 'OK' AS result, 0::BIGINT AS failures FROM (SELECT count(*) FROM events)")
+_VERSIONS = """WITH day AS (SELECT user_id, event_type, event_id, CAST(ts AS DATE) AS s FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1),
+v AS (SELECT *, coalesce(lead(s) OVER (PARTITION BY user_id ORDER BY s), DATE '9999-12-31') AS e FROM day)
+SELECT user_id, event_id, event_type, CAST(s AS VARCHAR) AS effectivedate, CAST(e AS VARCHAR) AS enddate, e = DATE '9999-12-31' AS iscurrent FROM v"""
+
+
+@query(_VERSIONS)
 def scd2_merge_again(t):
-    """Merging events that the history already has changes nothing: versions that would differ are counted."""
+    """Merging events that the history already has changes nothing."""
     e = H.latest(t.events.select("user_id", "ts", "event_id", "event_type", F.to_date("ts").alias("day")), ["user_id", "day"], ["ts", "event_id"]).drop("day")
     held = H.scd2_build(e, ["user_id"], "ts", ["event_id"])
     again = K.scd2_merge(held, e.filter("event_id % 2 = 0"), ["user_id"], "ts", ["event_id"], ["event_type"])
-    both = again.select("event_id", F.col("enddate").alias("e")).join(held.select("event_id", "enddate"), "event_id", "full_outer")
-    return A.check("same versions", both, ~F.col("enddate").eqNullSafe(F.col("e")))
+    return again.select("user_id", "event_id", "event_type", "effectivedate", "enddate", "iscurrent")
+
+
+@query("""WITH e AS (SELECT user_id, event_id, ts, CASE WHEN event_id % 2 = 0 THEN event_type END AS kind, CASE WHEN event_id % 3 <> 1 THEN CAST(round(value * 100) AS BIGINT) END AS cents FROM events
+ QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1),
+f AS (SELECT user_id, event_id, CAST(ts AS DATE) AS s, last_value(kind IGNORE NULLS) OVER w AS kind, last_value(cents IGNORE NULLS) OVER w AS cents FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+v AS (SELECT *, coalesce(lead(s) OVER (PARTITION BY user_id ORDER BY s), DATE '9999-12-31') AS e FROM f)
+SELECT user_id, event_id, kind, cents, CAST(s AS VARCHAR) AS effectivedate, CAST(e AS VARCHAR) AS enddate, e = DATE '9999-12-31' AS iscurrent FROM v""")
+def scd2_merge_of_sparse_late_events(t):
+    """Sparse events in three batches, out of order and partly delivered twice, give the history of the whole log."""
+    e = H.latest(t.events.select("user_id", "ts", "event_id", F.when(F.col("event_id") % 2 == 0, F.col("event_type")).alias("kind"), F.when(F.col("event_id") % 3 != 1, cents("value")).alias("cents"), F.to_date("ts").alias("day")), ["user_id", "day"], ["ts", "event_id"]).drop("day")
+    cols, n = ["kind", "cents"], F.col("event_id") % 7
+    held = H.scd2_build(H.forward_fill(K.with_told(e.filter(n < 3), cols), ["user_id"], ["ts", "event_id"], cols), ["user_id"], "ts", ["event_id"])
+    for batch in (e.filter((n == 3) | (n == 0)), e.filter(n > 3)):
+        held = tables.scratch(K.scd2_merge(held, batch, ["user_id"], "ts", ["event_id"], cols), "versions")
+    return held.select("user_id", "event_id", "kind", "cents", "effectivedate", "enddate", "iscurrent")
 
 
 @query("""WITH day AS (SELECT user_id, event_type, event_id, CAST(ts AS DATE) AS s FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1),
@@ -412,10 +431,16 @@ def patched_current(t):
 # ---- streams (bounded): the result of a replay equals the one of a batch
 
 
-def _feed(t: Tables, df: DataFrame, name: str, parts: int = 4) -> tuple[DataFrame, str]:
+def fed(df: DataFrame, seq: str, home: str, batches: int = 4, rows_a_file: int = 250_000) -> DataFrame:
+    """``df`` as a stream of files, out of order by ``seq``: as many files as its rows need, read in ``batches`` micro-batches."""
+    parts = max(batches, -(-df.count() // rows_a_file))
+    df.repartition(parts, F.xxhash64(seq)).write.parquet(f"{home}/feed")
+    return files.stream_table(df.sparkSession, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema), f"{home}/feed", "parquet", files_per_trigger=-(-parts // batches))
+
+
+def _feed(t: Tables, df: DataFrame, name: str) -> tuple[DataFrame, str]:
     home = tables.scratch_path(t.spark, name)
-    df.repartition(parts, F.col("event_id") % parts).write.parquet(f"{home}/feed")
-    return files.stream_table(t.spark, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema), f"{home}/feed", "parquet"), home
+    return fed(df, "event_id", home), home
 
 
 @query("""WITH day AS (SELECT user_id, event_type, event_id, CAST(ts AS DATE) AS s FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1),
@@ -425,7 +450,7 @@ def cdc_scd2_merge_replay(t):
     e = H.latest(t.events.select("user_id", "ts", "event_id", "event_type", F.to_date("ts").alias("day")), ["user_id", "day"], ["ts", "event_id"]).drop("day")
     source, home = _feed(t, e, "scd2")
     seed = H.scd2_build(e.limit(0), ["user_id"], "ts", ["event_id"])
-    out = replay.fold(source, seed, lambda held, batch: K.scd2_merge(held, batch, ["user_id"], "ts", ["event_id"], ["event_type"]), home)
+    out = replay.fold(source, seed, lambda held, batch: K.scd2_merge(held, batch, ["user_id"], "ts", ["event_id"], ["event_type"]), home, ["user_id"])
     return out.select("user_id", "event_type", "effectivedate", "enddate", "iscurrent")
 
 
@@ -434,7 +459,7 @@ def balance_state_replay(t):
     e = t.events.select("event_id", "user_id", F.col("ts").cast("date").alias("day"), cents("value").alias("cents"))
     source, home = _feed(t, e, "balance")
     seed = e.limit(0).select("user_id", F.col("cents").alias("balance"), "day")
-    return replay.fold(source, seed, lambda held, batch: K.carry_forward(held, batch, ["user_id"], "day", "cents").drop("touched"), home)
+    return replay.fold(source, seed, lambda held, batch: K.carry_forward(held, batch, ["user_id"], "day", "cents").drop("touched"), home, ["user_id"])
 
 
 @query(f"SELECT user_id, CAST(day AS VARCHAR) AS day, total FROM ({_DAY})")
@@ -442,7 +467,7 @@ def daily_fact_replay(t):
     e = t.events.select("event_id", "user_id", F.col("ts").cast("date").alias("day"), cents("value").alias("cents"))
     home = tables.scratch_path(t.spark, "fact")
     # whole days a file, as feeds come
-    e.repartition(4, F.day("day")).write.parquet(f"{home}/feed")
+    e.repartition("day").write.parquet(f"{home}/feed")
     source = files.stream_table(t.spark, "event_id long, user_id long, day date, cents long", f"{home}/feed", "parquet")
     totals = lambda rows: rows.groupBy("user_id", "day").agg(F.sum("cents").alias("total"))
     replay.append_facts(source, totals, f"{home}/fact", "day", f"{home}/checkpoint")
@@ -638,16 +663,16 @@ def nations_in_use(t):
     return t.customer.select(F.col("c_nationkey").alias("nationkey")).union(t.supplier.select("s_nationkey")).distinct()
 
 
-@query("""WITH day AS (SELECT user_id, event_type, event_id, CAST(ts AS DATE) AS s FROM events WHERE ts < TIMESTAMP '2024-01-20' QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1),
+@query("""WITH day AS (SELECT user_id, event_type, event_id, CAST(ts AS DATE) AS s FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1),
 v AS (SELECT *, coalesce(lead(s) OVER (PARTITION BY user_id ORDER BY s), DATE '9999-12-31') AS e FROM day)
 SELECT user_id, event_type, CAST(s AS VARCHAR) AS effectivedate, CAST(e AS VARCHAR) AS enddate, e = DATE '9999-12-31' AS iscurrent FROM v""")
 def scd2_two_row_merge(t):
     """Days applied one after the other, each as closed copies and new versions upserted on (user, start)."""
-    e = H.latest(t.events.filter(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")).select("user_id", "ts", "event_id", "event_type", F.to_date("ts").alias("day")), ["user_id", "day"], ["ts", "event_id"])
-    first = F.lit("2024-01-18").cast("date")
+    e = H.latest(t.events.select("user_id", "ts", "event_id", "event_type", F.to_date("ts").alias("day")), ["user_id", "day"], ["ts", "event_id"])
+    first = F.lit("2024-01-22").cast("date")
     held = H.scd2_build(e.filter(F.col("day") < first), ["user_id"], "ts", ["event_id"]).select("user_id", "event_type", "effectivedate", "enddate", "iscurrent")
-    for d in ("2024-01-18", "2024-01-19"):
-        rows = K.scd2_rows(held, e.filter(F.col("day") == F.lit(d).cast("date")).select("user_id", "event_type", "day"), ["user_id"], "day", ["event_type"])
+    for d in sorted(r[0] for r in e.filter(F.col("day") >= first).select("day").distinct().collect()):  # a row for each day
+        rows = K.scd2_rows(held, e.filter(F.col("day") == F.lit(d)).select("user_id", "event_type", "day"), ["user_id"], "day", ["event_type"])
         held = tables.scratch(held.join(rows.select("user_id", "effectivedate"), ["user_id", "effectivedate"], "left_anti").unionByName(rows), "versions")
     return held
 
@@ -658,7 +683,7 @@ def batched_parquet(t):
     root = tables.scratch_path(t.spark, "raw_parquet")
     o = t.orders.select("o_orderkey", "o_custkey", cents("o_totalprice").alias("cents"))
     for b in (1, 2, 3):
-        o.filter(f"o_orderkey % 3 = {b - 1}").repartition(2).write.parquet(f"{root}/Batch{b}")
+        o.filter(f"o_orderkey % 3 = {b - 1}").write.parquet(f"{root}/Batch{b}")
     specs = [files.TableSpec("orders", "o_orderkey long, o_custkey long, cents long", "*.parquet", batches=(1, 2, 3))]
     return files.read_all(t.spark, specs, root, "parquet")["orders"]
 
@@ -676,7 +701,7 @@ def cascade_stream(t):
     """A stream of parents' changes gives change rows of their children, a partition for each day."""
     home = tables.scratch_path(t.spark, "moves")
     moves = t.nation.filter("n_nationkey % 3 = 0").select("n_nationkey", F.date_add(F.lit("2020-01-01").cast("date"), F.col("n_nationkey")).alias("changed"))
-    moves.repartition(3, "n_nationkey").write.parquet(f"{home}/feed")
+    moves.repartition("n_nationkey").write.parquet(f"{home}/feed")
     child = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
     source = files.stream_table(t.spark, "n_nationkey int, changed date", f"{home}/feed", "parquet")
     replay.append_facts(source, lambda batch: M.cascade(batch, child, "n_nationkey", "changed"), f"{home}/rows", "changed", f"{home}/checkpoint")
@@ -695,3 +720,70 @@ def newer_than_target(t):
     """Only rows of days that a target doesn't have yet."""
     e = t.events.withColumn("day", F.to_date("ts"))
     return replay.newer_than_target(e, "day", e.filter("day <= '2024-01-15'"), "day").select("event_id", "user_id")
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders")
+def appended_orders(t):
+    """A table written anew and added to."""
+    path, o = tables.scratch_path(t.spark, "orders"), t.orders.select("o_orderkey", "o_orderstatus")
+    tables.overwrite(o.filter("o_orderstatus = 'P'"), path)
+    tables.overwrite(o.filter("o_orderstatus = 'F'"), path)
+    tables.append(o.filter("o_orderstatus <> 'F'"), path)
+    return t.spark.read.schema(o.schema).parquet(path)
+
+
+@query("SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS events, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1")
+def files_by_date(t):
+    """A folder per date, read back by its own column."""
+    path = tables.scratch_path(t.spark, "dates")
+    tables.write_by_date(t.events.select("event_id", F.to_date("ts").alias("day")), path, "day")
+    return t.spark.read.schema("event_id long, day date, _pdate date").parquet(path).filter("day = _pdate").groupBy("day").agg(F.count("*").alias("events"), F.sum("event_id").alias("ids"))
+
+
+@query("SELECT l_shipdate::DATE::VARCHAR AS day, count(*) AS lines, sum(l_orderkey)::BIGINT AS keys FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1995-03-01' AND DATE '1995-03-31' GROUP BY 1")
+def clustered_month(t):
+    """A month out of files that lie clustered by day, after they were written in files of a given size."""
+    path = tables.scratch_path(t.spark, "lines")
+    lines = t.lineitem.select("l_orderkey", F.to_date("l_shipdate").alias("day"))
+    tables.sized(lines, f"{path}/sized", 16)
+    kept = tables.recode(t.spark, t.spark.read.schema("l_orderkey long, day date").parquet(f"{path}/sized"), f"{path}/recoded", 8)
+    tables.clustered(kept, f"{path}/clustered", "day", 8)
+    month = t.spark.read.schema("l_orderkey long, day date").parquet(f"{path}/clustered").filter("day BETWEEN '1995-03-01' AND '1995-03-31'")
+    return month.groupBy("day").agg(F.count("*").alias("lines"), F.sum("l_orderkey").alias("keys"))
+
+
+@query("SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+def current_versions(t):
+    e = t.events.select("user_id", "ts", "event_id", "event_type")
+    return H.current(H.scd2_build(e, ["user_id"], "ts", ["event_id"])).select("user_id", "event_id", "event_type")
+
+
+@query("""WITH d AS (SELECT l_partkey, CAST(l_shipdate AS DATE) AS day, min(CAST(round(l_extendedprice * 100) AS BIGINT)) AS low, max(CAST(round(l_extendedprice * 100) AS BIGINT)) AS high FROM lineitem GROUP BY ALL)
+SELECT l_partkey, CAST(day AS VARCHAR) AS day, low, high, min(low) OVER w AS low_value, max(high) OVER w AS high_value FROM d WINDOW w AS (PARTITION BY l_partkey ORDER BY day)""")
+def extremes_so_far(t):
+    d = t.lineitem.groupBy("l_partkey", F.to_date("l_shipdate").alias("day")).agg(F.min(cents("l_extendedprice")).alias("low"), F.max(cents("l_extendedprice")).alias("high"))
+    return W.rolling_extremes(d, ["l_partkey"], "day", "low", "high", rows=None).drop("low_day", "high_day")
+
+
+@query("SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, sum(CAST(round(value * 100) AS BIGINT))::BIGINT AS total FROM events GROUP BY ALL")
+def seeded_then_streamed(t):
+    """History seeds the table once; the stream has the history too and skips it."""
+    home, day = tables.scratch_path(t.spark, "seeded"), F.lit("2024-01-15").cast("date")
+    totals = lambda rows: rows.groupBy("user_id", "day").agg(F.sum("cents").alias("total"))
+    e = t.events.select("event_id", "user_id", F.to_date("ts").alias("day"), cents("value").alias("cents"))
+    for _ in range(2):  # a second start finds the seed
+        replay.seeded(totals(e.filter(F.col("day") <= day)), f"{home}/history")
+    e.repartition("day").write.parquet(f"{home}/feed")
+    source = files.stream_table(t.spark, "event_id long, user_id long, day date, cents long", f"{home}/feed", "parquet")
+    replay.append_facts(source, totals, f"{home}/fact", "day", f"{home}/checkpoint", after="2024-01-15")
+    both = [t.spark.read.schema("user_id long, total long, day date").parquet(p).select("user_id", "day", "total") for p in (f"{home}/history", f"{home}/fact")]
+    return both[0].union(both[1])
+
+
+@query("SELECT count(*) AS customers, count(*) AS told, count(*) AS same FROM customer")
+def dictionary_values(t):
+    """A value out of a list for each key, the same one whenever it is asked for."""
+    values = ["red", "green", "blue"]
+    pick = M.from_dictionary(F.col("c_custkey"), values)
+    c = t.customer.select("c_custkey", pick.alias("a")).join(t.customer.repartition(3).select("c_custkey", pick.alias("b")), "c_custkey")
+    return c.agg(F.count("*").alias("customers"), F.count(F.when(F.col("a").isin(*values), 1)).alias("told"), F.count(F.when(F.col("a") == F.col("b"), 1)).alias("same"))

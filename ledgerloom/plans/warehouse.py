@@ -34,6 +34,28 @@ class Warehouse:
         d = F.col("datevalue")
         return days.select(C.date_key(d).alias("sk_dateid"), "datevalue", F.year(d).alias("calendaryear"), F.quarter(d).alias("calendarqtr"), F.month(d).alias("calendarmonth"), F.weekofyear(d).alias("calendarweek"), F.dayofweek(d).alias("dayofweek"), (F.dayofweek(d).isin(1, 7)).alias("weekend"))
 
+    @cached_property
+    def trading_days(self) -> DataFrame:
+        """``dim_date`` for the days from the first to the last order."""
+        o = self.feed.read("orders").agg(F.min(F.to_date("o_orderdate")).alias("lo"), F.max(F.to_date("o_orderdate")).alias("hi"))  # one row
+        return self.dim_date.join(F.broadcast(o), F.col("datevalue").between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
+
+    @cached_property
+    def status_type(self) -> DataFrame:
+        """Codes that trades' logs use, with their names."""
+        s = self.feed.trade_history.select(F.col("status").alias("st_id")).distinct()
+        return s.select("st_id", C.map_codes("st_id", C.STATUS).alias("st_name"))
+
+    @cached_property
+    def trade_type(self) -> DataFrame:
+        s = self.feed.trades.select(F.col("type").alias("tt_id")).distinct()
+        return s.select("tt_id", C.map_codes("tt_id", C.TRADE_TYPE).alias("tt_name"), F.when(F.col("tt_id").like("%S"), 1).otherwise(0).alias("tt_is_sell"))
+
+    @cached_property
+    def batch_date(self) -> DataFrame:
+        """The last day that each yearly batch of orders knows."""
+        return self.feed.read("orders").groupBy(F.year("o_orderdate").alias("batchid")).agg(F.max(F.to_date("o_orderdate")).alias("batchdate"))
+
     @cached_property
     def dim_time(self) -> DataFrame:
         s = self.spark.range(86_400).withColumn("t", F.timestamp_seconds("id"))
@@ -58,12 +80,12 @@ class Warehouse:
         return b.crossJoin(F.broadcast(first)).withColumns({"enddate": H.open_end(), "iscurrent": F.lit(True)})
 
     @cached_property
-    def finwire(self) -> DataFrame:
-        return self.feed.finwire
+    def company_records(self) -> DataFrame:
+        return self.feed.finwire("CMP").filter("rectype = 'CMP'")
 
     @cached_property
     def dim_company(self) -> DataFrame:
-        rows = files.parse_fixed_width(self.finwire.filter("rectype = 'CMP'"), fd.CMP, keep=["pts"])
+        rows = files.parse_fixed_width(self.company_records, fd.CMP, keep=["pts"])
         rows = rows.withColumns({"cik": F.col("cik").cast("long"), "sprating": C.valid_rating("sprating"), "islowgrade": C.low_grade("sprating")})
         dated = H.scd2_build(rows, ["cik"], "pts")
         named = M.lookup(dated, self.industry, "industryid", "in_id", {"in_name": "industry"})
@@ -75,7 +97,7 @@ class Warehouse:
 
     @cached_property
     def dim_security(self) -> DataFrame:
-        rows = files.parse_fixed_width(self.finwire.filter("rectype = 'SEC'"), fd.SEC, keep=["pts"])
+        rows = files.parse_fixed_width(self.feed.finwire("SEC").filter("rectype = 'SEC'"), fd.SEC, keep=["pts"])
         dated = H.scd2_build(rows.withColumn("alt_key", C.id_or_name("conameorcik")), ["symbol"], "pts")
         both = H.overlap_join(dated.drop("iscurrent"), self._company_keys(), ["alt_key"])
         out = both.select(F.xxhash64("symbol", "effectivedate").alias("sk_securityid"), "symbol", F.col("issue"), C.map_codes("status", C.STATUS).alias("status"), "name", "exchangeid", "sk_companyid", "sharesoutstanding", "firsttrade", "dividend", "effectivedate", "enddate", (F.col("enddate") == H.open_end()).alias("iscurrent"))
@@ -83,7 +105,7 @@ class Warehouse:
 
     @cached_property
     def financial(self) -> DataFrame:
-        rows = files.parse_fixed_width(self.finwire.filter("rectype LIKE 'FIN%'"), fd.FIN, keep=["pts"])
+        rows = files.parse_fixed_width(self.feed.finwire("FIN").filter("rectype LIKE 'FIN%'"), fd.FIN, keep=["pts"])
         rows = rows.withColumn("alt_key", C.id_or_name("conameorcik"))
         joined = H.as_of_join(rows, self._company_keys(), ["alt_key"], "pts")
         return self._kept(joined.select("sk_companyid", "year", "quarter", "qtrstartdate", "revenue", "earnings", "eps"), "financial")
@@ -103,12 +125,15 @@ class Warehouse:
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        log = C.blank_to_null(self.feed.customer_log).withColumn("status", C.map_codes("action", C.ACTION_STATUS)).withColumn("first_city", F.when(F.col("action") == "NEW", F.col("city")))
+        return self._kept(self.customers_told(self.feed.customer_log), "dim_customer")
+
+    def customers_told(self, log: DataFrame) -> DataFrame:
+        """Versions from a log of actions."""
+        log = C.blank_to_null(log).withColumn("status", C.map_codes("action", C.ACTION_STATUS)).withColumn("first_city", F.when(F.col("action") == "NEW", F.col("city")))
         filled = H.forward_fill(log, ["customerid"], ["ts", "seq"], ["lastname", "tier", "gender", "city", "first_city", "nat_tx"])
         dated = H.scd2_build(filled, ["customerid"], "ts", ["seq"])
         taxed = M.lookup(dated, self.tax_rate, "nat_tx", "tx_id", {"tx_name": "tax_name", "tx_rate": "tax_rate"})
-        out = taxed.select(C.version_key("effectivedate", "customerid").alias("sk_customerid"), "customerid", "lastname", "tier", C.gender("gender").alias("gender"), "city", "first_city", "tax_name", "tax_rate", "status", "effectivedate", "enddate", "iscurrent")
-        return self._kept(out, "dim_customer")
+        return taxed.select(C.version_key("effectivedate", "customerid").alias("sk_customerid"), "customerid", "lastname", "tier", C.gender("gender").alias("gender"), "city", "first_city", "tax_name", "tax_rate", "status", "effectivedate", "enddate", "iscurrent")
 
     @cached_property
     def dim_account(self) -> DataFrame:
@@ -121,13 +146,15 @@ class Warehouse:
 
     @cached_property
     def dim_trade(self) -> DataFrame:
+        return self._kept(self.trades_told(), "dim_trade")
+
+    def trades_told(self) -> DataFrame:
         life = K.trade_lifecycle(self.feed.trade_history, ["t_id"], "th_dts", "status", ["SBMT"], ["CMPT", "CNCL"])
         rows = self.feed.trades.join(life, "t_id")
         rows = H.as_of_join(rows, self.dim_account.select("accountid", "sk_accountid", "sk_customerid", "effectivedate", "enddate"), ["accountid"], "create_ts").drop("effectivedate", "enddate")
         rows = H.as_of_join(rows, self.dim_security.select("symbol", "sk_securityid", "sk_companyid", "effectivedate", "enddate"), ["symbol"], "create_ts").drop("effectivedate", "enddate")
-        out = rows.select("t_id", C.date_key("create_ts").alias("sk_createdateid"), C.time_key("create_ts").alias("sk_createtimeid"), C.date_key("close_ts").alias("sk_closedateid"), C.map_codes("status", C.STATUS).alias("status"), C.map_codes("type", C.TRADE_TYPE).alias("type"),
+        return rows.select("t_id", C.date_key("create_ts").alias("sk_createdateid"), C.time_key("create_ts").alias("sk_createtimeid"), C.date_key("close_ts").alias("sk_closedateid"), C.map_codes("status", C.STATUS).alias("status"), C.map_codes("type", C.TRADE_TYPE).alias("type"),
                           "sk_accountid", "sk_customerid", "sk_securityid", "sk_companyid", "symbol", "quantity", "cents")
-        return self._kept(out, "dim_trade")
 
     # ---- facts
 
@@ -144,7 +171,10 @@ class Warehouse:
 
     @cached_property
     def fact_market(self) -> DataFrame:
-        w = W.rolling_extremes(self.feed.market, ["symbol"], "day", "low", "high")
+        return self.market_told(W.rolling_extremes(self.feed.market, ["symbol"], "day", "low", "high"))
+
+    def market_told(self, w: DataFrame) -> DataFrame:
+        """Days with their extremes, joined by the security and the earnings of their time."""
         s = H.as_of_join(w, self.dim_security.select("symbol", "sk_securityid", "sk_companyid", "dividend", "effectivedate", "enddate"), ["symbol"], "day").drop("effectivedate", "enddate")
         s = s.withColumns({"year": F.year("day"), "quarter": F.quarter("day")}).join(self.dim_company.select("sk_companyid", "companyid"), "sk_companyid")
         s = s.join(self.company_year_eps, ["companyid", "year", "quarter"], "left")
@@ -163,7 +193,7 @@ class Warehouse:
     @cached_property
     def alerts(self) -> DataFrame:
         tell = lambda label, c: F.concat(F.lit(label), F.col(c).cast("string"))
-        cmp = files.parse_fixed_width(self.finwire.filter("rectype = 'CMP'"), fd.CMP, keep=["pts"])
+        cmp = files.parse_fixed_width(self.company_records, fd.CMP, keep=["pts"])
         return A.alerts([
             ("DimCustomer", "Invalid customer tier", self.dim_customer, ~F.coalesce(F.col("tier").isin(1, 2, 3), F.lit(False)), tell("C_ID = ", "customerid")),
             ("DimTrade", "Large trade", self.dim_trade, F.col("cents") > 9_000_000, tell("T_ID = ", "t_id")),

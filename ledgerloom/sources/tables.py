@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -13,9 +14,11 @@ _own: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share (``spark.checkpoint.dir``; a folder of our own where it is unset)."""
+    """A new path in the folder that all executors share: ``spark.checkpoint.dir``; where it is unset, a folder of our own on one machine, an error on a cluster."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = _own.setdefault(spark.sparkContext.applicationId, "")
         if not root:
             root = _own[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
@@ -49,8 +52,11 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
 
 
 def replace_keys(df: DataFrame, path: str, key: str) -> None:
-    """Replace just the key values that ``df`` has; the key is the partition column, so other days' files aren't touched."""
-    df.repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    """Replace just the key values that ``df`` has; the key is the partition column, so other days' files aren't touched.
+
+    Rows are brought together by key, but a key with many rows (a daily batch has one key) is dealt over several tasks.
+    """
+    df.hint("rebalance", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
 
 
 def replace_where(df: DataFrame, path: str, key: str, value) -> None:
@@ -59,8 +65,8 @@ def replace_where(df: DataFrame, path: str, key: str, value) -> None:
 
 
 def write_by_date(df: DataFrame, path: str, date_col: str, fmt: str = "parquet") -> None:
-    """One folder and file per date; the date stays in the data, since the folder's column is a copy."""
-    df.withColumn("_pdate", F.col(date_col)).repartition("_pdate").write.mode("overwrite").partitionBy("_pdate").format(fmt).save(path)
+    """One folder per date, with one file unless the date has very many rows; the date stays in the data, since the folder's column is a copy."""
+    df.withColumn("_pdate", F.col(date_col)).hint("rebalance", "_pdate").write.mode("overwrite").partitionBy("_pdate").format(fmt).save(path)
 
 
 def split_at(df: DataFrame, ts: str, cutoff: Column) -> tuple[DataFrame, DataFrame]:

@@ -1,17 +1,18 @@
 """Incremental runs: every micro-batch computes the next version of its target from the one before.
 
 The version is the micro-batch's number, so a batch that runs again after a failure
-overwrites what it wrote before.
+overwrites what it wrote before. Targets lie in buckets by a hash of their keys; a
+micro-batch rewrites only the buckets that it touches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.tables import read_snapshot, replace_keys, write_snapshot
+from ledgerloom.sources.tables import replace_keys
 
 Step = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -22,32 +23,66 @@ def run_stream(source: DataFrame, each: Callable[[DataFrame, int], None], checkp
     run.awaitTermination()
 
 
-def fold(source: DataFrame, seed: DataFrame, step: Step, home: str) -> DataFrame:
+#: Buckets of a target; a table of 100 TB wants some ten thousand.
+BUCKETS = 16
+
+
+class Target:
+    """A table in buckets, each in numbered versions: ``home/table/bucket_=3/version_=7`` is bucket 3 as micro-batch 7 left it."""
+
+    def __init__(self, spark: SparkSession, home: str, seed: DataFrame, keys: Sequence[str] | None, buckets: int):
+        self.spark, self.path, self.schema = spark, f"{home}/table", seed.schema
+        self.number = F.pmod(F.xxhash64(*keys), F.lit(buckets)) if keys else F.lit(0)
+        if not self._fs(self.path)[0].exists(self._fs(self.path)[1]):
+            self.write(seed, [r[0] for r in seed.select(self.number).distinct().collect()], -1)
+
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _numbers(self, path: str, prefix: str) -> list[int]:
+        fs, p = self._fs(path)
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix))
+
+    def write(self, rows: DataFrame, buckets: list[int], version: int) -> None:
+        """Whole buckets as one version; a bucket left without rows is an empty folder. What only older runs could need is deleted."""
+        laid = rows.select(*self.schema.names).withColumns({"bucket_": self.number, "version_": F.lit(version)}).hint("rebalance", "bucket_")
+        laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket_", "version_").parquet(self.path)
+        for b in buckets:
+            fs, p = self._fs(f"{self.path}/bucket_={b}/version_={version}")
+            fs.mkdirs(p)
+            for old in [v for v in self._numbers(f"{self.path}/bucket_={b}", "version_=") if v < version][:-1]:
+                fs.delete(self._fs(f"{self.path}/bucket_={b}/version_={old}")[1], True)
+
+    def read(self, buckets: list[int] | None = None, before: int | None = None) -> DataFrame:
+        """The newest versions (older than ``before``) of these buckets, or of all."""
+        paths = []
+        for b in self._numbers(self.path, "bucket_=") if buckets is None else buckets:
+            had = [v for v in self._numbers(f"{self.path}/bucket_={b}", "version_=") if before is None or v < before]
+            paths += [f"{self.path}/bucket_={b}/version_={had[-1]}"] if had else []
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+
+
+def fold(source: DataFrame, seed: DataFrame, step: Step, home: str, keys: Sequence[str] | None = None, buckets: int = BUCKETS) -> DataFrame:
     """``step(table, batch) -> table`` over all micro-batches of ``source``; returns the last table.
 
-    Tables lie in ``home``; a later call goes on from there. ``seed`` is version -1.
+    ``step`` must work key by key: it is given the buckets of ``keys`` that the batch touches,
+    and only these are written again (without ``keys`` the whole table). A bucket's version
+    before the last is kept until the next one is written, for batches that run again; older
+    ones are deleted. Tables lie in ``home``; a later call goes on from there. ``seed`` is version -1.
     """
     spark = source.sparkSession
-    if not _exists(spark, f"{home}/table/v=-1"):
-        write_snapshot(seed, f"{home}/table", -1)
+    table = Target(spark, home, seed, keys, buckets)
 
     def each(batch: DataFrame, n: int) -> None:
-        held = read_snapshot(batch.sparkSession, f"{home}/table", n - 1)
-        write_snapshot(step(held, batch).select(*held.columns), f"{home}/table", n)
+        own = Target(batch.sparkSession, home, seed, keys, buckets)
+        touched = sorted(r[0] for r in batch.select(own.number).distinct().collect())  # at most ``buckets`` numbers
+        if touched:
+            own.write(step(own.read(touched, before=n), batch), touched, n)
 
     run_stream(source, each, f"{home}/checkpoint")
-    return read_snapshot(spark, f"{home}/table", newest(spark, home))
-
-
-def newest(spark: SparkSession, home: str) -> int:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{home}/table")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return max(int(s.getPath().getName()[2:]) for s in fs.listStatus(path) if s.getPath().getName().startswith("v="))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    return table.read()
 
 
 def append_facts(source: DataFrame, enrich: Callable[[DataFrame], DataFrame], path: str, key: str, checkpoint: str, after=None) -> None:

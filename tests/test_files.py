@@ -108,3 +108,28 @@ def test_expectations_and_counts(spark):
     assert [tuple(r) for r in A.expect(df, {"small": F.col("x") < 3}).collect()] == [("small", 1, 1, 1)]
     dim = spark.sql("SELECT * FROM VALUES (1, DATE'2020-01-01', DATE'2020-01-05', false), (1, DATE'2020-01-03', DATE'9999-12-31', true), (2, DATE'2020-01-03', DATE'2020-01-03', true) AS t(k, effectivedate, enddate, iscurrent)")
     assert {r.test.split(" ", 1)[1]: r.failures for r in A.check_scd2("d", dim, ["k"]).collect()} == {"aligned": 1, "overlap": 1, "end of time": 1, "empty version": 1, "iscurrent": 1}
+
+
+def test_fold_rewrites_touched_buckets_only(spark, tmp_path):
+    home, feed = f"file://{tmp_path}/target", f"file://{tmp_path}/feed"
+    seed = spark.range(40).selectExpr("id AS k", "0L AS v")
+    step = lambda held, b: held.unionByName(b).groupBy("k").agg(F.sum("v").alias("v"))
+    for i in range(4):
+        spark.createDataFrame([(1, i), (2, 10)], "k long, v long").coalesce(1).write.mode("append").parquet(feed)
+    got = replay.fold(files.stream_table(spark, "k long, v long", feed, "parquet"), seed, step, home, ["k"])
+    assert {tuple(r) for r in got.collect()} == {(1, 6), (2, 40), *((k, 0) for k in (0, *range(3, 40)))}
+    versions = {b.name: sorted(v.name for v in b.iterdir() if v.is_dir()) for b in (tmp_path / "target" / "table").iterdir() if b.is_dir()}
+    changed = [v for v in versions.values() if v != ["version_=-1"]]
+    assert 1 <= len(changed) <= 2 < len(versions) and all(v == ["version_=2", "version_=3"] for v in changed)
+
+
+def test_intermediates_need_a_shared_folder_on_a_cluster():
+    class Session:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:  # noqa: N801
+            master, applicationId = "yarn", "y"
+
+    with pytest.raises(RuntimeError):
+        tables.scratch_path(Session(), "x")
