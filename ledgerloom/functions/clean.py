@@ -66,19 +66,22 @@ def tags(rules: Sequence[tuple[str, Column]]) -> Column:
     return F.concat_ws("+", *[F.when(cond, F.lit(name)) for name, cond in rules])
 
 
-def marketing_tags() -> Column:
-    """The prospect tags (fixed names and limits); incomes that are no numbers count as unknown."""
+def marketing_rules() -> list[tuple[str, Column]]:
+    """The prospect tags and their rules (fixed names and limits); incomes that are no numbers count as unknown."""
     income = F.expr("try_cast(income AS long)")
-    return tags(
-        [
-            ("HighValue", (F.col("networth") > 1_000_000) | (income > 200_000)),
-            ("Expenses", (F.col("numberchildren") > 3) | (F.col("numbercreditcards") > 5)),
-            ("Boomer", F.col("age") > 45),
-            ("MoneyAlert", (income < 50_000) | (F.col("creditrating") < 600) | (F.col("networth") < 100_000)),
-            ("Spender", (F.col("numbercars") > 3) | (F.col("numbercreditcards") > 7)),
-            ("Inherited", (F.col("age") < 25) & (F.col("networth") > 1_000_000)),
-        ]
-    )
+    return [
+        ("HighValue", (F.col("networth") > 1_000_000) | (income > 200_000)),
+        ("Expenses", (F.col("numberchildren") > 3) | (F.col("numbercreditcards") > 5)),
+        ("Boomer", F.col("age") > 45),
+        ("MoneyAlert", (income < 50_000) | (F.col("creditrating") < 600) | (F.col("networth") < 100_000)),
+        ("Spender", (F.col("numbercars") > 3) | (F.col("numbercreditcards") > 7)),
+        ("Inherited", (F.col("age") < 25) & (F.col("networth") > 1_000_000)),
+    ]
+
+
+def marketing_tags() -> Column:
+    """The tags of ``marketing_rules`` that a prospect has."""
+    return tags(marketing_rules())
 
 
 def safe_ratio(a: Name, b: Name) -> Column:

@@ -133,3 +133,54 @@ def counters(df: DataFrame, dataset: str, rules: Mapping[str, Column], batch: st
 def cumulative(counts: DataFrame, keys: Sequence[str], batch: str, value: str, out: str = "expected") -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(batch).rowsBetween(Window.unboundedPreceding, 0)
     return counts.withColumn(out, F.sum(value).over(w))
+
+
+def completeness(groups: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """dataset, source_rows, target_rows of each (source, target): what joins or filters on the way have dropped or doubled."""
+    none = F.lit(None).cast("long")
+    one = lambda name, df, own: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("dataset"), *[(F.col("n") if c == own else none).alias(c) for c in ("source_rows", "target_rows")])
+    both = union([one(name, df, own) for name, pair in groups.items() for df, own in zip(pair, ("source_rows", "target_rows"), strict=True)])
+    return both.groupBy("dataset").agg(F.max("source_rows").alias("source_rows"), F.max("target_rows").alias("target_rows"))
+
+
+def null_sweep(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """dataset, attribute, rows, nulls of the named columns; each table is read once."""
+
+    def one(name: str, df: DataFrame, cols: Sequence[str]) -> DataFrame:
+        counts = df.agg(F.count("*").alias("n"), *[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(cols)])
+        each = F.array(*[F.struct(F.lit(c).alias("attribute"), F.col("n").alias("rows"), F.col(f"c{i}").alias("nulls")) for i, c in enumerate(cols)])
+        return counts.select(F.lit(name).alias("dataset"), F.inline(each))
+
+    return union([one(name, df, cols) for name, (df, cols) in tables.items()])
+
+
+def check_tags(df: DataFrame, told: str, rules: Sequence[tuple[str, Column]], sep: str = "+") -> DataFrame:
+    """tag, tagged, due, differ: rows that have each tag, rows that its rule gives it to, and rows where these differ."""
+    has = lambda n: F.array_contains(F.split(told, F.lit(f"[{sep}]")), n)
+    due = lambda c: F.coalesce(c, F.lit(False))
+    counts = df.agg(*[f for i, (n, c) in enumerate(rules) for f in (F.count_if(has(n)).alias(f"a{i}"), F.count_if(due(c)).alias(f"b{i}"), F.count_if(has(n) != due(c)).alias(f"c{i}"))])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(n).alias("tag"), F.col(f"a{i}").alias("tagged"), F.col(f"b{i}").alias("due"), F.col(f"c{i}").alias("differ")) for i, (n, _) in enumerate(rules)])))
+
+
+def alert_counts(alerts: DataFrame, expected: DataFrame) -> DataFrame:
+    """source, message, alerts, expected, result; a kind that either side lacks counts 0 there. ``expected`` has source, message, expected."""
+    n = alerts.groupBy("source", "message").agg(F.count("*").alias("alerts"))
+    both = n.join(expected, ["source", "message"], "full_outer").na.fill(0, ["alerts", "expected"])
+    return both.withColumn("result", F.when(F.col("alerts") == F.col("expected"), "OK").otherwise("Not OK"))
+
+
+def totals_before(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, n: int, out: str) -> DataFrame:
+    """keys, order, ``out``: the sum of the ``n`` rows before each, told from each row to the ``n`` after it; null for first rows.
+
+    A second way to what a sliding window gives, to check it by.
+    """
+    placed = df.select(*keys, *order, value, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).alias("_n"))
+    told = placed.select(*keys, F.explode(F.sequence(F.col("_n") + 1, F.col("_n") + n)).alias("_n"), value).groupBy(*keys, "_n").agg(F.sum(value).alias(out))
+    return placed.drop(value).join(told, [*keys, "_n"], "left").select(*keys, *order, out)
+
+
+def log_state(log: DataFrame, wanted: DataFrame, batch: str = "batchid") -> DataFrame:
+    """Per wanted batch: its messages, the wanted sources without one, and the rows that it counts. ``log`` has batch, source, data; ``wanted`` batch, source."""
+    counted = log.groupBy(batch, "source").agg(F.count("*").alias("_messages"), F.sum(F.col("data").try_cast("long")).alias("_rows"))
+    both = wanted.distinct().join(counted, [batch, "source"], "left")
+    return both.groupBy(batch).agg(F.coalesce(F.sum("_messages"), F.lit(0)).alias("messages"), F.count_if(F.col("_messages").isNull()).alias("missing"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"))

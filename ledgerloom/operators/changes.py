@@ -155,3 +155,10 @@ def trade_lifecycle(history: DataFrame, keys: Sequence[str], ts: str, status: st
     return history.groupBy(*keys).agg(
         F.coalesce(F.min(F.when(F.col(status).isin(*created), F.col(ts))), F.min(ts)).alias("create_ts"), last[status].alias("status"), F.when(last[status].isin(*closing), last[ts]).alias("close_ts"),
     )
+
+
+def lifecycle_totals(target: DataFrame, changes: DataFrame, keys: Sequence[str], created: str, ts: str, status: str) -> DataFrame:
+    """One row per key: its first ``created`` and its last (``ts``, ``status``) over what the table holds and what changed, in any order of batches."""
+    cols = [*keys, created, ts, status]
+    last = F.max(F.struct(ts, status))
+    return target.select(*cols).unionByName(changes.select(*cols)).groupBy(*keys).agg(F.min(created).alias(created), last[ts].alias(ts), last[status].alias(status))

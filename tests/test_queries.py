@@ -7,11 +7,11 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from ledgerloom.plans import queries, warehouse_queries
+from ledgerloom.plans import audit_queries, queries, replay_queries, warehouse_queries
 
 SF = "/root/testdata/sf0.001"
-ALL = queries.QUERIES | warehouse_queries.QUERIES
-SQL = queries.SQL | warehouse_queries.SQL
+ALL = queries.QUERIES | warehouse_queries.QUERIES | audit_queries.QUERIES | replay_queries.QUERIES
+SQL = queries.SQL | warehouse_queries.SQL | audit_queries.SQL | replay_queries.SQL
 
 
 @pytest.fixture(scope="session")
