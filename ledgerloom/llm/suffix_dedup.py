@@ -5,8 +5,9 @@ at equal places of phrases with the same trigger. The parse, one row per phrase,
 by trigger: a phrase seen earlier is repeated as a whole, and the first occurrence of each
 distinct phrase enters the dictionary. Only where a trigger has several distinct phrases
 is their text fetched and their suffixes sorted; neighbours that share 100 bytes are equal
-windows, and the parse tells which of them comes first in the corpus. Texts travel
-compressed; what is removed is told by byte ranges.
+windows, and the parse tells which of them comes first in the corpus. A trigger with very
+many distinct phrases is no group of its own: its windows are dealt by what they say. Texts
+travel compressed; what is removed is told by byte ranges.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import shared
 from ledgerloom.llm.phrases import WINDOW, parts, phrases
 
-#: Distinct phrases of one trigger that are sorted in one task; more are dealt by their windows' places.
+#: Distinct phrases of one trigger that are sorted in one task; the windows of more are dealt by their own bytes.
 TOGETHER = 4096
 #: Windows whose texts are sorted at a time.
 SORTED = 1 << 18
@@ -107,7 +108,7 @@ def _packed(docs: DataFrame) -> DataFrame:
     return docs.select("key", "text").mapInArrow(pack, "key long, packed binary")
 
 
-_CONTENT = {"trigger": pa.int64(), "key": pa.int64(), "first": pa.int32(), "place": pa.int32(), "content": pa.binary()}
+_CONTENT = {"trigger": pa.int64(), "key": pa.int64(), "first": pa.int32(), "hot": pa.bool_(), "content": pa.binary()}
 
 
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +117,7 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, packed, wanted in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
             text = zstandard.decompress(packed)
             for w in wanted:
-                for col, x in zip(out, (w["trigger"], key, w["first"], w["place"], text[w["first"] : w["last"] + WINDOW]), strict=True):
+                for col, x in zip(out, (w["trigger"], key, w["first"], w["hot"], text[w["first"] : w["last"] + WINDOW]), strict=True):
                     col.append(x)
         yield _table(_CONTENT, out)
 
@@ -124,7 +125,7 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _RANGE = {"key": pa.int64(), "first": pa.int32(), "last": pa.int32()}
 
 
-def _repeated(key, first, place, slices, part, content: list[bytes]) -> pa.RecordBatch:
+def _repeated(key, first, content: list[bytes]) -> pa.RecordBatch:
     """Windows of whole groups of phrases that also stand earlier, as ranges of first bytes."""
     data = np.frombuffer(b"".join(content), np.uint8)
     size = np.array([len(c) for c in content])
@@ -132,8 +133,6 @@ def _repeated(key, first, place, slices, part, content: list[bytes]) -> pa.Recor
     n = size - WINDOW + 1
     phrase = np.repeat(np.arange(len(n)), n)
     nth = np.arange(n.sum()) - np.repeat(np.concatenate(([0], np.cumsum(n)[:-1])), n)
-    own = (place[phrase] - nth) % slices[phrase] == part[phrase]
-    phrase, nth = phrase[own], nth[own]
     windows = np.lib.stride_tricks.sliding_window_view(data, WINDOW)[base[phrase] + nth]
     suffix = np.ascontiguousarray(windows).view(f"S{WINDOW}").ravel()
     order = np.lexsort((first[phrase] + nth, key[phrase]))  # corpus order, kept by the stable sort of the suffixes
@@ -149,13 +148,12 @@ def _repeated(key, first, place, slices, part, content: list[bytes]) -> pa.Recor
 
 
 def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by trigger and part; whole groups are sorted together, several small ones at a time."""
+    """Rows come sorted by trigger; whole groups are sorted together, several small ones at a time."""
     held: list[pa.RecordBatch] = []
     rows = 0
 
     def tell(t: pa.Table) -> pa.RecordBatch:
-        key, first, place, slices, part = (t.column(c).to_numpy() for c in ("key", "first", "place", "slices", "part"))
-        return _repeated(key, first.astype(np.int64), place, slices, part, t.column("content").to_pylist())
+        return _repeated(t.column("key").to_numpy(), t.column("first").to_numpy().astype(np.int64), t.column("content").to_pylist())
 
     for b in batches:
         if not b.num_rows:
@@ -165,8 +163,8 @@ def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         if rows * 40 < SORTED:
             continue
         t = pa.Table.from_batches(held)
-        group = np.stack([t.column("trigger").to_numpy(), t.column("part").to_numpy()])
-        edges = np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1
+        trigger = t.column("trigger").to_numpy()
+        edges = np.flatnonzero(trigger[1:] != trigger[:-1]) + 1
         at = 0
         for to in edges[np.searchsorted(edges, np.arange(SORTED // 40, t.num_rows, SORTED // 40)).clip(max=max(len(edges) - 1, 0))] if len(edges) else []:
             if to > at:
@@ -177,6 +175,19 @@ def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield tell(pa.Table.from_batches(held))
 
 
+def _repeated_anywhere(phrases: DataFrame) -> DataFrame:
+    """As ``_repeated``, for phrases whose trigger has very many: each window is a row and equal ones are aggregated.
+
+    The first of equal windows is told by a minimum that is combined before the shuffle; the
+    others are what is left without the first ones, joined on the place in the corpus, so that
+    no window's copies come together in one task.
+    """
+    nth = F.explode(F.sequence(F.lit(0), F.length("content") - WINDOW)).alias("nth")
+    windows = phrases.select("key", "first", "content", nth).select("key", (F.col("first") + F.col("nth")).alias("first"), F.unhex(F.sha2(F.expr(f"substring(content, nth + 1, {WINDOW})"), 256)).alias("window"))
+    firsts = windows.groupBy("window").agg(F.min(F.struct("key", "first")).alias("at")).select("at.*")
+    return windows.select("key", "first").join(firsts, ["key", "first"], "left_anti").select("key", "first", F.col("first").alias("last"))
+
+
 def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
     """key, doc_id, text, and whether the keys are numbers of their own: keys are the ids where these are unique and not null, else numbers in the ids' order, nulls last."""
     slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
@@ -196,17 +207,22 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     own. An empty table gives no rows. Columns other than doc_id and text are not looked at.
     """
     keyed, numbered = _keyed(docs)
-    ddl = lambda names: ", ".join(f"{n} {t}".replace("int64", "long").replace("int32", "int") for n, t in names.items())
+    ddl = lambda names: ", ".join(f"{n} {t}".replace("int64", "long").replace("int32", "int").replace("bool", "boolean") for n, t in names.items())
     parse = keyed.select("key", "text").mapInArrow(_parse, ddl(_KINDS))
     dealt = parse.repartition("route").sortWithinPartitions("trigger", "whole", "key", "first").drop("route")
     found = shared.materialize(dealt.mapInArrow(_dictionary, ddl(_FOUND)), "found")
 
     wanted = found.filter("place >= 0")
-    hot = wanted.groupBy("trigger").count().filter(F.col("count") > TOGETHER).select("trigger", F.least(F.lit(WINDOW), F.ceil(F.col("count") / TOGETHER)).cast("int").alias("slices"))
-    by_doc = wanted.groupBy("key").agg(F.collect_list(F.struct("trigger", "first", "last", "place")).alias("wanted"))
+    hot = wanted.groupBy("trigger").count().filter(F.col("count") > TOGETHER).select("trigger", F.lit(True).alias("hot"))
+    some_hot = not hot.isEmpty()
+    tagged = wanted.join(hot, "trigger", "left").withColumn("hot", F.coalesce("hot", F.lit(False))) if some_hot else wanted.withColumn("hot", F.lit(False))
+    by_doc = tagged.groupBy("key").agg(F.collect_list(F.struct("trigger", "first", "last", "hot")).alias("wanted"))
     texts = _packed(keyed).join(by_doc, "key").select("key", "packed", "wanted").mapInArrow(_contents, ddl(_CONTENT))
-    sliced = texts.join(hot, "trigger", "left").withColumn("slices", F.coalesce("slices", F.lit(1))).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-    partial = sliced.repartition("trigger", "part").sortWithinPartitions("trigger", "part").mapInArrow(_sort_suffixes, ddl(_RANGE))
+    if some_hot:  # read by both ways
+        texts = shared.materialize(texts, "texts")
+    partial = texts.filter("NOT hot").repartition("trigger").sortWithinPartitions("trigger").mapInArrow(_sort_suffixes, ddl(_RANGE))
+    if some_hot:
+        partial = partial.union(_repeated_anywhere(texts.filter("hot")))
     partial = shared.materialize(partial, "partial")
 
     ranges = found.filter("place < 0").select("key", "first", "last").union(partial)
