@@ -26,6 +26,8 @@ from ledgerloom.llm.phrases import WINDOW, parts, phrases
 
 #: Distinct phrases of one trigger that are sorted in one task; the windows of more are dealt by their own bytes.
 TOGETHER = 4096
+#: Hot triggers that are broadcast (some megabytes); more are joined, the rows of each dealt over SALTS tasks.
+FEW_HOT, SALTS = 200_000, 64
 #: Windows whose texts are sorted at a time.
 SORTED = 1 << 18
 #: Bytes of text whose parse is held at a time.
@@ -175,6 +177,18 @@ def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield tell(pa.Table.from_batches(held))
 
 
+def _tagged(wanted: DataFrame, hot: DataFrame, n_hot: int) -> DataFrame:
+    """``wanted`` with whether its trigger is hot; no trigger's rows come together in one task."""
+    if not n_hot:
+        return wanted.withColumn("hot", F.lit(False))
+    if n_hot <= FEW_HOT:
+        told = wanted.join(F.broadcast(hot), "trigger", "left")
+    else:
+        salted = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        told = wanted.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(salted, ["trigger", "salt"], "left")
+    return told.withColumn("hot", F.coalesce("hot", F.lit(False)))
+
+
 def _repeated_anywhere(phrases: DataFrame) -> DataFrame:
     """As ``_repeated``, for phrases whose trigger has very many: each window is a row and equal ones are aggregated.
 
@@ -213,15 +227,15 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     found = shared.materialize(dealt.mapInArrow(_dictionary, ddl(_FOUND)), "found")
 
     wanted = found.filter("place >= 0")
-    hot = wanted.groupBy("trigger").count().filter(F.col("count") > TOGETHER).select("trigger", F.lit(True).alias("hot"))
-    some_hot = not hot.isEmpty()
-    tagged = wanted.join(hot, "trigger", "left").withColumn("hot", F.coalesce("hot", F.lit(False))) if some_hot else wanted.withColumn("hot", F.lit(False))
+    hot = shared.materialize(wanted.groupBy("trigger").count().filter(F.col("count") > TOGETHER).select("trigger", F.lit(True).alias("hot")), "hot")
+    n_hot = hot.count()
+    tagged = _tagged(wanted, hot, n_hot)
     by_doc = tagged.groupBy("key").agg(F.collect_list(F.struct("trigger", "first", "last", "hot")).alias("wanted"))
     texts = _packed(keyed).join(by_doc, "key").select("key", "packed", "wanted").mapInArrow(_contents, ddl(_CONTENT))
-    if some_hot:  # read by both ways
+    if n_hot:  # read by both ways
         texts = shared.materialize(texts, "texts")
     partial = texts.filter("NOT hot").repartition("trigger").sortWithinPartitions("trigger").mapInArrow(_sort_suffixes, ddl(_RANGE))
-    if some_hot:
+    if n_hot:
         partial = partial.union(_repeated_anywhere(texts.filter("hot")))
     partial = shared.materialize(partial, "partial")
 

@@ -52,6 +52,8 @@ def test_hard_texts(table, monkeypatch):
     monkeypatch.setattr("ledgerloom.llm.phrases.PART", 3000)
     docs = table([(*r, "x") for r in rows], "doc_id long, text string, n_bytes string")
     assert found(suffix_dedup.remove_repeats(docs)) == brute(rows)
+    monkeypatch.setattr(suffix_dedup, "FEW_HOT", 0)
+    assert found(suffix_dedup.remove_repeats(docs)) == brute(rows)
     assert suffix_dedup.remove_repeats(docs.limit(0)).count() == 0
 
 
