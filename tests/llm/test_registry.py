@@ -10,7 +10,7 @@ from ledgerloom.llm import registry
 
 
 def test_one_query_for_each_operator():
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in registry.QUERIES] == sorted(int(re.match(r"op(\d+)_", n)[1]) for n in registry.QUERIES) == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in registry.QUERIES] == sorted(int(re.match(r"op(\d+)_", n)[1]) for n in registry.QUERIES) == list(range(1, 14))
     assert registry.SQL.keys() <= registry.QUERIES.keys()
 
 
