@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.history import open_end
@@ -19,6 +19,38 @@ def expect(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+class Observed:
+    """Counts that the job which writes (or otherwise reads whole) a frame gathers on its way, so that no check reads it again.
+
+    ``Observed(df, conditions)``: per expectation the rows that meet it, fail it, or can't
+    tell, as ``expect`` does; with ``batches`` (values of a column) each is told by value too, as
+    ``counters`` does. Use ``df`` of it in exactly one action, then ``expectations`` and ``counters``.
+    """
+
+    def __init__(self, df: DataFrame, conditions: Mapping[str, Column], batch: str | None = None, batches: Sequence = ()):
+        self.names, self.batches, self.seen = list(conditions), list(batches), Observation()
+        own = [F.count("*").alias("n")]
+        for i, name in enumerate(self.names):
+            own += [F.count_if(conditions[name]).alias(f"ok_{i}"), F.count_if(~conditions[name]).alias(f"bad_{i}")]
+            own += [F.count_if(conditions[name] & (F.col(batch) == F.lit(b))).alias(f"ok_{i}_{k}") for k, b in enumerate(self.batches)]
+        self.df = df.observe(self.seen, *own)
+        self._spark = df.sparkSession
+
+    def counts(self) -> list[tuple[str, int, int, int]]:
+        """(expectation, passed, failed, unknown), after the action."""
+        got = self.seen.get
+        return [(n, got[f"ok_{i}"], got[f"bad_{i}"], got["n"] - got[f"ok_{i}"] - got[f"bad_{i}"]) for i, n in enumerate(self.names)]
+
+    def expectations(self) -> DataFrame:
+        return self._spark.createDataFrame(self.counts(), "expectation string, passed long, failed long, unknown long")
+
+    def counters(self, dataset: str) -> DataFrame:
+        """dataset, batchid, attribute, value as of ``counters``; a row for each of the batches asked for."""
+        got = self.seen.get
+        rows = [(dataset, b, n, got[f"ok_{i}_{k}"]) for k, b in enumerate(self.batches) for i, n in enumerate(self.names)]
+        return self._spark.createDataFrame(rows, "dataset string, batchid long, attribute string, value long")
+
+
 def union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 

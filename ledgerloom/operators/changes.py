@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.history import forward_fill, latest, open_end, scd2_build
+from ledgerloom.operators.history import forward_fill, forward_fill_blocks, latest, open_end, scd2_build
 
 
 def all_of(*sources: DataFrame) -> DataFrame:
@@ -122,6 +122,43 @@ def scd2_merge(target: DataFrame, changes: DataFrame, keys: Sequence[str], ts: s
     return same.select(*target.columns).unionByName(again.select(*target.columns))
 
 
+def with_clocks(events: DataFrame, cols: Sequence[str], ts: str, seq: Sequence[str]) -> DataFrame:
+    """Sparse events with a clock for each column: (ts, seq) of the event where it tells the column, else null."""
+    return events.withColumn("clocks", F.struct(*[F.when(F.col(c).isNotNull(), F.struct(ts, *seq)).alias(c) for c in cols]))
+
+
+def clocked_history(events: DataFrame, keys: Sequence[str], ts: str, seq: Sequence[str], cols: Sequence[str], start: str = "effectivedate", end: str = "enddate", block: Column | None = None) -> DataFrame:
+    """The history that a log of sparse events gives, with its clocks, for ``clocked_merge`` to go on from: a version for each key and day with events."""
+    return _by_day(with_clocks(events, cols, ts, seq).withColumn("_new", F.lit(1)), keys, ts, seq, cols, start, end, block)
+
+
+def clocked_merge(target: DataFrame, changes: DataFrame, keys: Sequence[str], ts: str, seq: Sequence[str], cols: Sequence[str], start: str = "effectivedate", end: str = "enddate", block: Column | None = None) -> DataFrame:
+    """The history after more sparse events, however the events of a day are dealt over batches.
+
+    A version keeps, for each column, the clock of the event of its day that told it
+    (``clocks``; the value is carried where its clock is null). The columns of a day are
+    merged each by its own clock, so batches may come in any order, a day's events in
+    different ones, and again: of an event that is delivered again the later delivery counts.
+    Only keys that changed go through windows.
+    """
+    touched = changes.select(*keys).distinct()
+    same = target.join(touched, [*keys], "left_anti")
+    held = target.join(touched, [*keys], "left_semi").withColumns({c: F.when(F.col("clocks")[c].isNotNull(), F.col(c)) for c in cols})
+    need = [*keys, ts, *seq, *cols, "clocks"]
+    both = held.select(*need, F.lit(0).alias("_new")).unionByName(with_clocks(changes, cols, ts, seq).select(*need, F.lit(1).alias("_new")))
+    again = _by_day(both, keys, ts, seq, cols, start, end, block)
+    return same.select(*again.columns).unionByName(again)
+
+
+def _by_day(events: DataFrame, keys: Sequence[str], ts: str, seq: Sequence[str], cols: Sequence[str], start: str, end: str, block: Column | None) -> DataFrame:
+    last = F.max(F.struct(ts, *seq))
+    told = {c: F.max_by(F.struct(F.col(c).alias("v"), F.col("clocks")[c].alias("k")), F.when(F.col("clocks")[c].isNotNull(), F.struct(F.col("clocks")[c].alias("k"), "_new", F.col(c).alias("v")))) for c in cols}
+    days = events.groupBy(*keys, F.col(ts).cast("date").alias(start)).agg(last.alias("_last"), *[v.alias(f"_{c}") for c, v in told.items()])
+    rows = days.select(*keys, *[F.col("_last").getField(c).alias(c) for c in (ts, *seq)], *[F.col(f"_{c}.v").alias(c) for c in cols], F.struct(*[F.col(f"_{c}.k").alias(c) for c in cols]).alias("clocks"))
+    filled = forward_fill(rows, keys, [ts, *seq], cols) if block is None else forward_fill_blocks(rows, keys, [ts, *seq], cols, block)
+    return scd2_build(filled, keys, ts, seq, start, end, block)
+
+
 def scd2_rows(target: DataFrame, changes: DataFrame, keys: Sequence[str], day: str, cols: Sequence[str], start: str = "effectivedate", end: str = "enddate") -> DataFrame:
     """Changes of one day, at most one a key, as the rows to write: closed copies and new versions.
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.clean import OPEN_END
+from ledgerloom.operators.windows import lead_blocks
 
 Order = Sequence[str | Column]
 
@@ -42,26 +43,34 @@ def forward_fill_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str]
     return filled.select(*[F.coalesce(inner[c], before[f"_{c}"]).alias(c) if c in cols else inner[c] for c in df.columns])
 
 
-def scd2_build(df: DataFrame, keys: Sequence[str], ts: str, seq: Order = (), start: str = "effectivedate", end: str = "enddate") -> DataFrame:
+def scd2_build(df: DataFrame, keys: Sequence[str], ts: str, seq: Sequence[str] = (), start: str = "effectivedate", end: str = "enddate", block: Column | None = None) -> DataFrame:
     """Versions from an event log: half-open [start, end) in days, open end 9999-12-31, iscurrent.
 
     Events of one key on one day collapse to the last by (ts, *seq). Fill sparse events
-    first (``forward_fill``), so that what a collapsed event told is kept.
+    first (``forward_fill``), so that what a collapsed event told is kept. ``block`` (say, the
+    year of ``ts``) deals the events of keys that hold a great part of all rows over tasks.
     """
-    w = Window.partitionBy(*keys).orderBy(ts, *seq)
     day = F.col(ts).cast("date")
-    dated = df.withColumn(start, day).withColumn(end, F.coalesce(F.lead(day).over(w), open_end()))
+    if block is None:
+        led = df.withColumn("_next", F.lead(day).over(Window.partitionBy(*keys).orderBy(ts, *seq)))
+    else:
+        led = lead_blocks(df, keys, [ts, *seq], day, block, "_next")
+    dated = led.withColumn(start, day).withColumn(end, F.coalesce("_next", open_end())).drop("_next")
     return dated.filter(F.col(start) < F.col(end)).withColumn("iscurrent", F.col(end) == open_end())
 
 
-def scd2_last_of_day(df: DataFrame, keys: Sequence[str], ts: str, seq: Sequence[str] = (), start: str = "effectivedate", end: str = "enddate") -> DataFrame:
+def scd2_last_of_day(df: DataFrame, keys: Sequence[str], ts: str, seq: Sequence[str] = (), start: str = "effectivedate", end: str = "enddate", block: Column | None = None) -> DataFrame:
     """``scd2_build`` in the other order: the last event of a day is picked before validity is drawn.
 
     Picking is an aggregation, so that a key with very many events comes to the window as
     one row a day.
     """
     picked = latest(df.withColumn(start, F.col(ts).cast("date")), [*keys, start], [ts, *seq])
-    dated = picked.withColumn(end, F.coalesce(F.lead(start).over(Window.partitionBy(*keys).orderBy(start)), open_end()))
+    if block is None:
+        led = picked.withColumn("_next", F.lead(start).over(Window.partitionBy(*keys).orderBy(start)))
+    else:
+        led = lead_blocks(picked, keys, [start], F.col(start), block, "_next")
+    dated = led.withColumn(end, F.coalesce("_next", open_end())).drop("_next")
     return dated.withColumn("iscurrent", F.col(end) == open_end())
 
 
@@ -91,12 +100,16 @@ def current(dim: DataFrame) -> DataFrame:
     return dim.filter("iscurrent")
 
 
-def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], start: str = "effectivedate", end: str = "enddate", how: str = "inner") -> DataFrame:
+def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], start: str = "effectivedate", end: str = "enddate", how: str = "inner", bucket_days: int | None = None) -> DataFrame:
     """Pairs of versions of equal keys that overlap, clipped to what they share.
 
     With ``how='left'`` a version without any overlap stays, with its own bounds; right
-    columns other than the keys and bounds must not clash.
+    columns other than the keys and bounds must not clash. Where a key has very many versions,
+    ``bucket_days`` deals both sides to buckets of days: a version stands in each bucket that it
+    touches (up to the last start there is), and a pair is told only in the bucket of its later start.
     """
+    if bucket_days is not None:
+        return _overlap_by_bucket(left, right, keys, start, end, how, bucket_days)
     r = right.withColumnsRenamed({k: f"_{k}" for k in keys} | {start: "_start", end: "_end"})
     on = [left[k] == r[f"_{k}"] for k in keys]
     both = left.join(r, [*on, left[start] < F.col("_end"), F.col("_start") < left[end]], how)
@@ -104,6 +117,29 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], start:
     return clipped.drop("_start", "_end", *[f"_{k}" for k in keys])
 
 
+def _overlap_by_bucket(left: DataFrame, right: DataFrame, keys: Sequence[str], start: str, end: str, how: str, bucket_days: int) -> DataFrame:
+    number = lambda c: F.floor(F.datediff(c, F.lit("1970-01-01")) / bucket_days)
+    last = left.select(start).unionByName(right.select(start)).agg(F.max(number(F.col(start))).alias("_last"))  # one row
+
+    def dealt(df: DataFrame) -> DataFrame:
+        sound = df.filter(F.col(start) < F.col(end)).crossJoin(F.broadcast(last))
+        return sound.withColumn("_bucket", F.explode(F.sequence(number(F.col(start)), F.greatest(number(F.col(start)), F.least(number(F.date_sub(end, 1)), F.col("_last")))))).drop("_last")
+
+    r = dealt(right).withColumnsRenamed({k: f"_{k}" for k in keys} | {start: "_start", end: "_end", "_bucket": "_rbucket"})
+    own = dealt(left.withColumns({"_from": F.col(start), "_to": F.col(end)}))
+    on = [own[k] == r[f"_{k}"] for k in keys]
+    later = F.greatest(F.col("_from"), F.col("_start"))
+    both = own.join(r, [*on, own["_bucket"] == r["_rbucket"], F.col("_from") < F.col("_end"), F.col("_start") < F.col("_to"), own["_bucket"] == number(later)])
+    clipped = both.withColumns({start: later, end: F.least(F.col("_to"), F.col("_end"))})
+    rest = [c for c in right.columns if c not in {*keys, start, end}]
+    out = clipped.select(*left.columns, *rest)
+    if how == "inner":
+        return out
+    met = clipped.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_from").alias("_k_from"), F.col("_to").alias("_k_to")).distinct()
+    alone = left.join(met, [left[k] == met[f"_k_{k}"] for k in keys] + [left[start] == met["_k_from"], left[end] == met["_k_to"]], "left_anti")
+    return out.unionByName(alone, allowMissingColumns=True)
+
+
 def first_only(df: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
     """One row per key: the first by a total order."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -47,12 +47,12 @@ class Feeds:
         c, o, k = self.read("customer"), self.read("orders"), F.col("o_orderkey")
         new = c.select(
             F.col("c_custkey").alias("customerid"), F.date_add(F.lit("1994-01-01").cast("date"), (F.col("c_custkey") % 300).cast("int")).cast("timestamp_ntz").alias("ts"), F.lit(-1).cast("long").alias("seq"), F.lit("NEW").alias("action"), F.col("c_name").alias("lastname"),
-            (F.col("c_custkey") % 3 + 1).alias("tier"), F.when(F.col("c_custkey") % 3 == 0, "m").when(F.col("c_custkey") % 3 == 1, "F").otherwise("x").alias("gender"), F.col("c_mktsegment").alias("city"), F.col("c_nationkey").cast("long").alias("nat_tx"),
+            (F.col("c_custkey") % 3 + 1).alias("tier"), F.when(F.col("c_custkey") % 3 == 0, "m").when(F.col("c_custkey") % 3 == 1, "F").otherwise("x").alias("gender"), F.col("c_mktsegment").alias("city"), F.col("c_nationkey").cast("long").alias("nat_tx"), F.date_add(F.lit("1890-01-01").cast("date"), (F.col("c_custkey") * 37 % 45_000).cast("int")).alias("dob"),
         )
         null = F.lit(None)
         upd = o.select(
             F.col("o_custkey").alias("customerid"), F.col("o_orderdate").alias("ts"), k.alias("seq"), F.when(k % 50 == 9, "INACT").otherwise("UPDCUST").alias("action"), null.cast("string").alias("lastname"),
-            F.when(k % 2 == 0, k % 5).alias("tier"), null.cast("string").alias("gender"), F.when(k % 4 == 0, F.col("o_orderpriority")).otherwise("").alias("city"), null.cast("long").alias("nat_tx"),
+            F.when(k % 2 == 0, k % 5).alias("tier"), null.cast("string").alias("gender"), F.when(k % 4 == 0, F.col("o_orderpriority")).otherwise("").alias("city"), null.cast("long").alias("nat_tx"), null.cast("date").alias("dob"),
         )
         return new.unionByName(upd)
 
@@ -69,10 +69,13 @@ class Feeds:
         both = self.read("lineitem").join(self.read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         # the tables repeat some (order, line) pairs: a trade is such a pair with its part and supplier
         rows = both.groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").agg(
-            F.max("o_custkey").alias("cust"), F.max("o_orderdate").alias("placed"), F.max(F.greatest("l_shipdate", F.col("o_orderdate") + F.expr("interval 1 day"))).alias("shipped"), F.max("l_linestatus").alias("line"), F.max("l_returnflag").alias("flag"), F.max("l_quantity").alias("quantity"), F.max("l_extendedprice").alias("price")
+            F.max("o_custkey").alias("cust"), F.max("o_orderdate").alias("placed"), F.max(F.greatest("l_shipdate", F.col("o_orderdate") + F.expr("interval 1 day"))).alias("shipped"), F.max("l_linestatus").alias("line"), F.max("l_returnflag").alias("flag"), F.max("l_quantity").alias("quantity"), F.max("l_extendedprice").alias("price"),
+            F.max(F.round(F.col("l_discount") * 100).cast("long")).alias("discount"), F.max(F.round(F.col("l_tax") * 100).cast("long")).alias("tax"),
         ).select(
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("t_id"), (F.col("cust") * 10).alias("accountid"), F.concat(F.lit("S"), F.col("l_partkey").cast("string")).alias("symbol"), "placed", "shipped", "line", "flag",
             F.col("quantity").cast("long").alias("quantity"), F.round(F.col("price") * 100).cast("long").alias("cents"), F.when(F.col("l_linenumber") % 2 == 0, "TMB").otherwise("TMS").alias("type"),
+            # some commissions and fees are above what was traded
+            (F.round(F.col("price") * 100).cast("long") * F.col("discount") * 12).alias("commission"), (F.round(F.col("price") * 100).cast("long") * F.col("tax") * 13).alias("fee"),
         )
         return tables.scratch(rows, "trades")
 

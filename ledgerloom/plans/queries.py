@@ -19,7 +19,7 @@ from ledgerloom.operators import history as H
 from ledgerloom.operators import matching as M
 from ledgerloom.operators import windows as W
 from ledgerloom.sources import files, tables
-from ledgerloom.streaming import replay
+from ledgerloom.streaming import replay, state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -75,6 +75,7 @@ def versions(t: Tables) -> DataFrame:
 
 
 _COLS = ("user_id", "event_id", "cents", "kind", "effectivedate", "enddate", "iscurrent")
+_WHOLE_LOG = f"WITH {_VERSIONS} {_TOLD}"
 
 
 # ---- histories
@@ -104,6 +105,14 @@ def scd2_invariants(t):
     return A.check_scd2("user", versions(t), ["user_id"])
 
 
+@query(_WHOLE_LOG)
+def scd2_by_blocks(t):
+    """The same history with every user's events dealt over tasks by day: filled, led and dated block by block."""
+    day = F.to_date("ts")
+    filled = H.forward_fill_blocks(sparse(t), ["user_id"], ["ts", "event_id"], ["cents", "kind"], day)
+    return H.scd2_build(filled, ["user_id"], "ts", ["event_id"], block=day).select(*_COLS)
+
+
 @query("""WITH d AS (SELECT o_custkey, o_orderpriority AS held, CAST(o_orderdate AS DATE) AS s,
  coalesce(lead(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey), DATE '9999-12-31') AS e FROM orders),
 v AS (SELECT * FROM d WHERE s < e)
@@ -129,6 +138,15 @@ def overlap_clip(t):
     return H.overlap_join(one, two, ["user_id"]).select("user_id", "kind", "band", "effectivedate", "enddate")
 
 
+@query(SQL["overlap_clip"])
+def overlap_clip_by_bucket(t):
+    """The same pairs with each user's versions dealt to buckets of three days."""
+    e = t.events
+    one = H.scd2_build(e.filter("event_id % 2 = 0").select("user_id", "ts", "event_id", F.col("event_type").alias("kind")), ["user_id"], "ts", ["event_id"]).drop("ts", "event_id", "iscurrent")
+    two = H.scd2_build(e.filter("event_id % 2 = 1").select("user_id", "ts", "event_id", F.expr(_BAND).alias("band")), ["user_id"], "ts", ["event_id"]).drop("ts", "event_id", "iscurrent")
+    return H.overlap_join(one, two, ["user_id"], bucket_days=3).select("user_id", "kind", "band", "effectivedate", "enddate")
+
+
 @query("""SELECT o_custkey, o_orderkey, o_orderstatus, o_orderpriority, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""")
 def latest_order_state(t):
@@ -210,6 +228,13 @@ def daily_running_balance(t):
     return W.running_sum(W.daily_totals(t.events.withColumn("cents", cents("value")), ["user_id"], "ts", "cents"), ["user_id"], ["day"], "total")
 
 
+@query(SQL["daily_running_balance"])
+def daily_running_balance_by_blocks(t):
+    """The same balances with each user's days dealt over tasks by week."""
+    daily = W.daily_totals(t.events.withColumn("cents", cents("value")), ["user_id"], "ts", "cents")
+    return W.running_sum_blocks(daily, ["user_id"], ["day"], "total", F.trunc("day", "week"))
+
+
 def prices(t: Tables) -> DataFrame:
     unit = F.round(F.col("l_extendedprice") / F.col("l_quantity") * 100).cast("long")
     return t.lineitem.groupBy("l_partkey", F.col("l_shipdate").cast("date").alias("day")).agg(F.min(unit).alias("low"), F.max(unit).alias("high"))
@@ -291,12 +316,12 @@ def identity_match(t):
     return M.identity_match(a, b, ["c_name", "c_mktsegment"], ["line2"]).select("c_custkey", "matched")
 
 
-@query("""WITH v AS (SELECT user_id, event_id AS v_id, CAST(round(value * 100) AS BIGINT) AS cents FROM events WHERE event_type = 'view' AND user_id % 3 <> 0 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1),
-c AS (SELECT user_id, event_id AS c_id, CAST(round(value * 100) AS BIGINT) AS cents FROM events WHERE event_type = 'click' AND user_id % 5 <> 0 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
+@query("""WITH v AS (SELECT user_id, event_id AS v_id, CAST(round(value * 100) AS BIGINT) AS cents FROM events WHERE event_type = 'view' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1),
+c AS (SELECT user_id, event_id AS c_id, CAST(round(value * 100) AS BIGINT) AS cents FROM events WHERE event_type = 'click' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
 SELECT coalesce(v.user_id, c.user_id) AS user_id, v_id, coalesce(v.cents, c.cents) AS cents, c_id FROM v FULL OUTER JOIN c ON v.user_id = c.user_id""")
 def merged_feeds(t):
-    last = lambda kind, mod, name: H.latest(t.events.filter(f"event_type = '{kind}' AND user_id % {mod} <> 0").select("user_id", F.col("event_id").alias(name), cents("value").alias("cents")), ["user_id"], [name])
-    return M.merge_updates(last("view", 3, "v_id"), last("click", 5, "c_id"), "user_id")
+    last = lambda kind, name: H.latest(t.events.filter(f"event_type = '{kind}'").select("user_id", F.col("event_id").alias(name), cents("value").alias("cents")), ["user_id"], [name])
+    return M.merge_updates(last("view", "v_id"), last("click", "c_id"), "user_id")
 
 
 @query("""SELECT s_suppkey, s_name, n_nationkey::BIGINT AS s_nationkey, r_name AS moved_to, CAST(DATE '2020-01-01' + n_nationkey AS VARCHAR) AS changed FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 4 = 1""")
@@ -357,48 +382,33 @@ def cdc_scd2(t):
     return K.apply_changes([e], ["user_id"], ["event_id"], scd=2).select("user_id", "event_id", "event_type", "end_at")
 
 
-_VERSIONS = """WITH day AS (SELECT user_id, event_type, event_id, CAST(ts AS DATE) AS s FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1),
-v AS (SELECT *, coalesce(lead(s) OVER (PARTITION BY user_id ORDER BY s), DATE '9999-12-31') AS e FROM day)
-SELECT user_id, event_id, event_type, CAST(s AS VARCHAR) AS effectivedate, CAST(e AS VARCHAR) AS enddate, e = DATE '9999-12-31' AS iscurrent FROM v"""
+_KEYS, _ORDER, _SPARSE_COLS = ["user_id"], ["event_id"], ["cents", "kind"]
 
 
-@query(_VERSIONS)
+@query(_WHOLE_LOG)
 def scd2_merge_again(t):
-    """Merging events that the history already has changes nothing."""
-    e = H.latest(t.events.select("user_id", "ts", "event_id", "event_type", F.to_date("ts").alias("day")), ["user_id", "day"], ["ts", "event_id"]).drop("day")
-    held = H.scd2_build(e, ["user_id"], "ts", ["event_id"])
-    again = K.scd2_merge(held, e.filter("event_id % 2 = 0"), ["user_id"], "ts", ["event_id"], ["event_type"])
-    return again.select("user_id", "event_id", "event_type", "effectivedate", "enddate", "iscurrent")
-
-
-@query("""WITH e AS (SELECT user_id, event_id, ts, CASE WHEN event_id % 2 = 0 THEN event_type END AS kind, CASE WHEN event_id % 3 <> 1 THEN CAST(round(value * 100) AS BIGINT) END AS cents FROM events
- QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1),
-f AS (SELECT user_id, event_id, CAST(ts AS DATE) AS s, last_value(kind IGNORE NULLS) OVER w AS kind, last_value(cents IGNORE NULLS) OVER w AS cents FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-v AS (SELECT *, coalesce(lead(s) OVER (PARTITION BY user_id ORDER BY s), DATE '9999-12-31') AS e FROM f)
-SELECT user_id, event_id, kind, cents, CAST(s AS VARCHAR) AS effectivedate, CAST(e AS VARCHAR) AS enddate, e = DATE '9999-12-31' AS iscurrent FROM v""")
+    """Merging events that the history already has changes nothing, whichever of a day's events come again."""
+    held = K.clocked_history(sparse(t), _KEYS, "ts", _ORDER, _SPARSE_COLS)
+    return K.clocked_merge(held, sparse(t).filter("event_id % 2 = 0"), _KEYS, "ts", _ORDER, _SPARSE_COLS).select(*_COLS)
+
+
+@query(_WHOLE_LOG)
 def scd2_merge_of_sparse_late_events(t):
-    """Sparse events in three batches, out of order and partly delivered twice, give the history of the whole log."""
-    e = H.latest(t.events.select("user_id", "ts", "event_id", F.when(F.col("event_id") % 2 == 0, F.col("event_type")).alias("kind"), F.when(F.col("event_id") % 3 != 1, cents("value")).alias("cents"), F.to_date("ts").alias("day")), ["user_id", "day"], ["ts", "event_id"]).drop("day")
-    cols, n = ["kind", "cents"], F.col("event_id") % 7
-    held = H.scd2_build(H.forward_fill(K.with_told(e.filter(n < 3), cols), ["user_id"], ["ts", "event_id"], cols), ["user_id"], "ts", ["event_id"])
+    """All sparse events in three batches, out of order, the events of a day in different ones and partly delivered twice, give the history of the whole log."""
+    e, n = sparse(t), F.col("event_id") % 7
+    held = K.clocked_history(e.filter(n < 3), _KEYS, "ts", _ORDER, _SPARSE_COLS)
     for batch in (e.filter((n == 3) | (n == 0)), e.filter(n > 3)):
-        held = tables.scratch(K.scd2_merge(held, batch, ["user_id"], "ts", ["event_id"], cols), "versions")
-    return held.select("user_id", "event_id", "kind", "cents", "effectivedate", "enddate", "iscurrent")
+        held = tables.scratch(K.clocked_merge(held, batch, _KEYS, "ts", _ORDER, _SPARSE_COLS), "versions")
+    return held.select(*_COLS)
 
 
-@query("""WITH day AS (SELECT user_id, event_type, event_id, CAST(ts AS DATE) AS s FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1),
-v AS (SELECT *, coalesce(lead(s) OVER (PARTITION BY user_id ORDER BY s), DATE '9999-12-31') AS e FROM day)
-SELECT user_id, event_type, CAST(s AS VARCHAR) AS effectivedate, CAST(e AS VARCHAR) AS enddate, e = DATE '9999-12-31' AS iscurrent FROM v""")
+@query(_WHOLE_LOG)
 def scd2_merge_of_late_events(t):
-    """Complete events, merged in two batches that overlap and are out of order, give the history of all of them."""
-    e = t.events.select("user_id", "ts", "event_id", "event_type")
+    """A first load and one batch that overlaps it and has late events of days that it knows, in blocks of days, give the history of all of them."""
+    e, day = sparse(t), F.to_date("ts")
     late = (F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")) | (F.col("event_id") % 11 == 0)
-    # the last event of a user's day decides, so what a day holds must come from one batch or be its last
-    day = F.to_date("ts")
-    first = H.latest(e.withColumn("day", day), ["user_id", "day"], ["ts", "event_id"]).drop("day")
-    held = H.scd2_build(first.filter(~late), ["user_id"], "ts", ["event_id"])
-    out = K.scd2_merge(held, first.filter(late | (F.col("event_id") % 13 == 0)), ["user_id"], "ts", ["event_id"], ["event_type"])
-    return out.select("user_id", "event_type", "effectivedate", "enddate", "iscurrent")
+    held = K.clocked_history(e.filter(~late), _KEYS, "ts", _ORDER, _SPARSE_COLS, block=day)
+    return K.clocked_merge(held, e.filter(late | (F.col("event_id") % 13 == 0)), _KEYS, "ts", _ORDER, _SPARSE_COLS, block=day).select(*_COLS)
 
 
 @query("""WITH f AS (SELECT user_id, event_id, event_type FROM events WHERE event_id % 4 = 0 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1),
@@ -443,15 +453,12 @@ def _feed(t: Tables, df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return fed(df, "event_id", home), home
 
 
-@query("""WITH day AS (SELECT user_id, event_type, event_id, CAST(ts AS DATE) AS s FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1),
-v AS (SELECT *, coalesce(lead(s) OVER (PARTITION BY user_id ORDER BY s), DATE '9999-12-31') AS e FROM day)
-SELECT user_id, event_type, CAST(s AS VARCHAR) AS effectivedate, CAST(e AS VARCHAR) AS enddate, e = DATE '9999-12-31' AS iscurrent FROM v""")
+@query(_WHOLE_LOG)
 def cdc_scd2_merge_replay(t):
-    e = H.latest(t.events.select("user_id", "ts", "event_id", "event_type", F.to_date("ts").alias("day")), ["user_id", "day"], ["ts", "event_id"]).drop("day")
-    source, home = _feed(t, e, "scd2")
-    seed = H.scd2_build(e.limit(0), ["user_id"], "ts", ["event_id"])
-    out = replay.fold(source, seed, lambda held, batch: K.scd2_merge(held, batch, ["user_id"], "ts", ["event_id"], ["event_type"]), home, ["user_id"])
-    return out.select("user_id", "event_type", "effectivedate", "enddate", "iscurrent")
+    """The whole sparse log as a stream whose micro-batches mix the events of all days."""
+    source, home = _feed(t, sparse(t), "scd2")
+    seed = K.clocked_history(sparse(t).limit(0), _KEYS, "ts", _ORDER, _SPARSE_COLS)
+    return replay.fold(source, seed, lambda held, batch: K.clocked_merge(held, batch, _KEYS, "ts", _ORDER, _SPARSE_COLS), home, _KEYS).select(*_COLS)
 
 
 @query("SELECT user_id, sum(CAST(round(value * 100) AS BIGINT))::BIGINT AS balance, CAST(max(CAST(ts AS DATE)) AS VARCHAR) AS day FROM events GROUP BY 1")
@@ -462,17 +469,25 @@ def balance_state_replay(t):
     return replay.fold(source, seed, lambda held, batch: K.carry_forward(held, batch, ["user_id"], "day", "cents").drop("touched"), home, ["user_id"])
 
 
+@query("SELECT user_id, sum(CAST(round(value * 100) AS BIGINT))::BIGINT AS balance, CAST(max(CAST(ts AS DATE)) AS VARCHAR) AS day, count(*) AS events FROM events GROUP BY 1")
+def balance_kept_as_state(t):
+    """Balances as the disk-backed state of a streaming aggregation, read back out of its store: no table is rewritten."""
+    e = t.events.select("event_id", "user_id", F.col("ts").cast("date").alias("day"), cents("value").alias("cents"))
+    source, home = _feed(t, e, "state")
+    return state.keyed_state(source, ["user_id"], {"balance": F.sum("cents"), "day": F.max("day"), "events": F.count("*")}, f"{home}/checkpoint")
+
+
 @query(f"SELECT user_id, CAST(day AS VARCHAR) AS day, total FROM ({_DAY})")
 def daily_fact_replay(t):
+    """A date's events come in any of four micro-batches: their sums are parts of the date, put together when read and when compacted."""
     e = t.events.select("event_id", "user_id", F.col("ts").cast("date").alias("day"), cents("value").alias("cents"))
-    home = tables.scratch_path(t.spark, "fact")
-    # whole days a file, as feeds come
-    e.repartition("day").write.parquet(f"{home}/feed")
-    source = files.stream_table(t.spark, "event_id long, user_id long, day date, cents long", f"{home}/feed", "parquet")
+    source, home = _feed(t, e, "fact")
     totals = lambda rows: rows.groupBy("user_id", "day").agg(F.sum("cents").alias("total"))
-    replay.append_facts(source, totals, f"{home}/fact", "day", f"{home}/checkpoint")
-    replay.reprocess(e, "day", "2024-01-05", totals, f"{home}/fact", "day")
-    return t.spark.read.schema("user_id long, total long, day date").parquet(f"{home}/fact").select("user_id", "day", "total")
+    parts = replay.DailyParts(t.spark, f"{home}/fact", "day", lambda rows: rows.groupBy("user_id", "day").agg(F.sum("total").alias("total")))
+    replay.append_facts(source, totals, parts, f"{home}/checkpoint")
+    parts.compact("user_id long, total long, day date")
+    replay.reprocess(e, "2024-01-05", totals, parts)
+    return parts.read("user_id long, total long, day date")
 
 
 # ---- cleaning and files
@@ -649,6 +664,26 @@ def expectations(t):
     return A.expect(rows, {"price": F.col("l_extendedprice") > 1000, "tax": F.col("t") > 0.02})
 
 
+@query(SQL["expectations"])
+def expectations_observed(t):
+    """The same counts, gathered by the job that writes the table."""
+    rows = t.lineitem.withColumn("t", F.when(F.col("l_linenumber") != 3, F.col("l_tax")))
+    seen = A.Observed(rows, {"price": F.col("l_extendedprice") > 1000, "tax": F.col("t") > 0.02})
+    tables.overwrite(seen.df, tables.scratch_path(t.spark, "lines"))
+    return seen.expectations()
+
+
+@query(SQL["expectations"])
+def expectations_of_a_stream(t):
+    """The same counts, gathered by the micro-batches of a stream as they write their parts."""
+    rows = t.lineitem.select("l_orderkey", F.to_date("l_shipdate").alias("day"), "l_extendedprice", F.when(F.col("l_linenumber") != 3, F.col("l_tax")).alias("t"))
+    home = tables.scratch_path(t.spark, "lines")
+    parts = replay.DailyParts(t.spark, f"{home}/fact", "month")
+    told = lambda batch: batch.withColumn("month", F.trunc("day", "month"))
+    replay.append_facts(fed(rows, "l_orderkey", home), told, parts, f"{home}/checkpoint", expectations={"price": F.col("l_extendedprice") > 1000, "tax": F.col("t") > 0.02})
+    return replay.expected(parts)
+
+
 @query("""WITH c AS (SELECT year(o_orderdate)::BIGINT AS batchid, a, count(*) FILTER (CASE a WHEN 'records' THEN true WHEN 'open' THEN o_orderstatus = 'O' ELSE o_orderpriority = '1-URGENT' END) AS value
 FROM orders, (VALUES ('records'), ('open'), ('urgent')) x(a) GROUP BY ALL)
 SELECT 'orders' AS dataset, batchid, a AS attribute, value, (sum(value) OVER (PARTITION BY a ORDER BY batchid))::BIGINT AS expected FROM c""")
@@ -658,21 +693,30 @@ def audit_counters(t):
     return A.cumulative(counts, ["dataset", "attribute"], "batchid", "value")
 
 
+@query(SQL["audit_counters"])
+def audit_counters_observed(t):
+    """The same counters by batch, gathered by the job that writes the table; the batches are the years that its statistics tell."""
+    rules = {"records": F.lit(True), "open": F.col("o_orderstatus") == "O", "urgent": F.col("o_orderpriority") == "1-URGENT"}
+    lo, hi = t.orders.agg(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))).first()
+    seen = A.Observed(t.orders.withColumn("batchid", F.year("o_orderdate")), rules, "batchid", range(lo, hi + 1))
+    tables.overwrite(seen.df, tables.scratch_path(t.spark, "orders"))
+    return A.cumulative(seen.counters("orders"), ["dataset", "attribute"], "batchid", "value")
+
+
 @query("SELECT DISTINCT c_nationkey::BIGINT AS nationkey FROM customer UNION SELECT s_nationkey FROM supplier")
 def nations_in_use(t):
     return t.customer.select(F.col("c_nationkey").alias("nationkey")).union(t.supplier.select("s_nationkey")).distinct()
 
 
-@query("""WITH day AS (SELECT user_id, event_type, event_id, CAST(ts AS DATE) AS s FROM events QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1),
-v AS (SELECT *, coalesce(lead(s) OVER (PARTITION BY user_id ORDER BY s), DATE '9999-12-31') AS e FROM day)
-SELECT user_id, event_type, CAST(s AS VARCHAR) AS effectivedate, CAST(e AS VARCHAR) AS enddate, e = DATE '9999-12-31' AS iscurrent FROM v""")
+@query(f"WITH {_FILLED} SELECT user_id, cents, kind, CAST(s AS VARCHAR) AS effectivedate, CAST(e AS VARCHAR) AS enddate, e = DATE '9999-12-31' AS iscurrent FROM (SELECT *, CAST(ts AS DATE) AS s, coalesce(lead(CAST(ts AS DATE)) OVER (PARTITION BY user_id ORDER BY ts, event_id), DATE '9999-12-31') AS e FROM filled) WHERE s < e")
 def scd2_two_row_merge(t):
-    """Days applied one after the other, each as closed copies and new versions upserted on (user, start)."""
-    e = H.latest(t.events.select("user_id", "ts", "event_id", "event_type", F.to_date("ts").alias("day")), ["user_id", "day"], ["ts", "event_id"])
+    """Days applied one after the other, each as closed copies and new versions upserted on (user, start); what any event of a day told counts."""
     first = F.lit("2024-01-22").cast("date")
-    held = H.scd2_build(e.filter(F.col("day") < first), ["user_id"], "ts", ["event_id"]).select("user_id", "event_type", "effectivedate", "enddate", "iscurrent")
-    for d in sorted(r[0] for r in e.filter(F.col("day") >= first).select("day").distinct().collect()):  # a row for each day
-        rows = K.scd2_rows(held, e.filter(F.col("day") == F.lit(d)).select("user_id", "event_type", "day"), ["user_id"], "day", ["event_type"])
+    held = K.clocked_history(sparse(t).filter(F.to_date("ts") < first), _KEYS, "ts", _ORDER, _SPARSE_COLS).select("user_id", *_SPARSE_COLS, "effectivedate", "enddate", "iscurrent")
+    told = K.apply_changes([sparse(t).withColumn("day", F.to_date("ts")).filter(F.col("day") >= first)], ["user_id", "day"], ["ts", "event_id"], ignore_nulls=True)
+    told = tables.scratch(told.select("user_id", "day", *_SPARSE_COLS), "told")
+    for d in sorted(r[0] for r in told.select("day").distinct().collect()):  # a row for each day
+        rows = K.scd2_rows(held, told.filter(F.col("day") == F.lit(d)), ["user_id"], "day", _SPARSE_COLS)
         held = tables.scratch(held.join(rows.select("user_id", "effectivedate"), ["user_id", "effectivedate"], "left_anti").unionByName(rows), "versions")
     return held
 
@@ -701,11 +745,10 @@ def cascade_stream(t):
     """A stream of parents' changes gives change rows of their children, a partition for each day."""
     home = tables.scratch_path(t.spark, "moves")
     moves = t.nation.filter("n_nationkey % 3 = 0").select("n_nationkey", F.date_add(F.lit("2020-01-01").cast("date"), F.col("n_nationkey")).alias("changed"))
-    moves.repartition("n_nationkey").write.parquet(f"{home}/feed")
     child = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
-    source = files.stream_table(t.spark, "n_nationkey int, changed date", f"{home}/feed", "parquet")
-    replay.append_facts(source, lambda batch: M.cascade(batch, child, "n_nationkey", "changed"), f"{home}/rows", "changed", f"{home}/checkpoint")
-    return t.spark.read.schema("s_suppkey long, n_nationkey int, changed date").parquet(f"{home}/rows").withColumnRenamed("n_nationkey", "s_nationkey")
+    parts = replay.DailyParts(t.spark, f"{home}/rows", "changed")
+    replay.append_facts(fed(moves, "n_nationkey", home), lambda batch: M.cascade(batch, child, "n_nationkey", "changed"), parts, f"{home}/checkpoint")
+    return parts.read("s_suppkey long, n_nationkey int, changed date").withColumnRenamed("n_nationkey", "s_nationkey")
 
 
 @query("""SELECT source, 'Visibility' AS kind, 'Row count' AS message, CAST(n AS VARCHAR) AS data FROM (SELECT 'orders' AS source, count(*) AS n FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' UNION ALL SELECT 'lineitem', count(*) FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01')""")
@@ -767,17 +810,16 @@ def extremes_so_far(t):
 
 @query("SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, sum(CAST(round(value * 100) AS BIGINT))::BIGINT AS total FROM events GROUP BY ALL")
 def seeded_then_streamed(t):
-    """History seeds the table once; the stream has the history too and skips it."""
-    home, day = tables.scratch_path(t.spark, "seeded"), F.lit("2024-01-15").cast("date")
+    """History seeds the table once; the stream, in which every date is dealt over four micro-batches, has the history too and skips it."""
+    day, schema = F.lit("2024-01-15").cast("date"), "user_id long, total long, day date"
     totals = lambda rows: rows.groupBy("user_id", "day").agg(F.sum("cents").alias("total"))
     e = t.events.select("event_id", "user_id", F.to_date("ts").alias("day"), cents("value").alias("cents"))
+    source, home = _feed(t, e, "seeded")
+    parts = replay.DailyParts(t.spark, f"{home}/fact", "day", lambda rows: rows.groupBy("user_id", "day").agg(F.sum("total").alias("total")))
     for _ in range(2):  # a second start finds the seed
-        replay.seeded(totals(e.filter(F.col("day") <= day)), f"{home}/history")
-    e.repartition("day").write.parquet(f"{home}/feed")
-    source = files.stream_table(t.spark, "event_id long, user_id long, day date, cents long", f"{home}/feed", "parquet")
-    replay.append_facts(source, totals, f"{home}/fact", "day", f"{home}/checkpoint", after="2024-01-15")
-    both = [t.spark.read.schema("user_id long, total long, day date").parquet(p).select("user_id", "day", "total") for p in (f"{home}/history", f"{home}/fact")]
-    return both[0].union(both[1])
+        replay.seeded(totals(e.filter(F.col("day") <= day)), parts)
+    replay.append_facts(source, totals, parts, f"{home}/checkpoint", after="2024-01-15")
+    return parts.read(schema)
 
 
 @query("SELECT count(*) AS customers, count(*) AS told, count(*) AS same FROM customer")

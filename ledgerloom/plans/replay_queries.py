@@ -11,11 +11,13 @@ from ledgerloom.functions import clean as C
 from ledgerloom.operators import audit as A
 from ledgerloom.operators import changes as K
 from ledgerloom.operators import history as H
+from ledgerloom.operators import windows as W
 from ledgerloom.plans import warehouse_queries as loaded
 from ledgerloom.plans.queries import dated, fed
 from ledgerloom.plans.warehouse import Warehouse
 from ledgerloom.sources import files, tables
 from ledgerloom.streaming import replay
+from ledgerloom.streaming.extremes import DailyExtremes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -55,17 +57,74 @@ def wh_watch_stream(w):
 
 @query(loaded.SQL["wh_fact_holdings"].removeprefix(loaded._CTES))
 def wh_holdings_stream(w):
-    """Holdings by month: history is loaded once, then a stream of whole months looks its trades up, passes over what history has, and replaces its own months."""
+    """Holdings by month: history is loaded once, then a stream in which months come in pieces looks its trades up, passes over what history has, and adds its parts."""
     home, last = tables.scratch_path(w.spark, "holdings"), "1996-12-01"
     t = w.dim_trade.select(F.col("t_id").alias("hh_t_id"), "sk_accountid", "sk_customerid", F.col("sk_closedateid").alias("sk_dateid"), F.col("cents").alias("currentprice"))
     rows = w.feed.holdings.join(w.feed.trades.select(F.col("t_id").alias("hh_t_id"), F.trunc("shipped", "month").alias("month")), "hh_t_id")
-    rows.repartition("month").write.option("maxRecordsPerFile", 0).parquet(f"{home}/feed")
-    n = len(rows.sparkSession.read.parquet(f"{home}/feed").inputFiles())
-    source = files.stream_table(w.spark, "hh_t_id string, change long, month date", f"{home}/feed", "parquet", files_per_trigger=-(-n // 4))
     told = lambda x: x.join(t, "hh_t_id")
-    tables.replace_keys(told(rows.filter(F.col("month") <= F.lit(last).cast("date"))), f"{home}/fact", "month")
-    replay.append_facts(source, told, f"{home}/fact", "month", f"{home}/checkpoint", after=last)
-    return w.spark.read.parquet(f"{home}/fact").select("hh_t_id", "change", "sk_accountid", "sk_customerid", "sk_dateid", "currentprice")
+    parts = replay.DailyParts(w.spark, f"{home}/fact", "month")
+    source = fed(rows, "hh_t_id", home)
+    first = told(rows.filter(F.col("month") <= F.lit(last).cast("date")))
+    replay.seeded(first, parts)
+    replay.append_facts(source, told, parts, f"{home}/checkpoint", after=last)
+    return parts.read(first.schema).select("hh_t_id", "change", "sk_accountid", "sk_customerid", "sk_dateid", "currentprice")
+
+
+@query(loaded.SQL["wh_account_replay"].removeprefix(loaded._CTES))
+def wh_account_chained(w):
+    """Customers and accounts each from a stream of their own; what these change is a stream again, by which the accounts' versions are cut anew."""
+    home = tables.scratch_path(w.spark, "chained")
+    c_cols, a_cols = ["lastname", "tier", "gender", "city", "nat_tx"], ["customerid", "status", "brokerid"]
+    c_log, a_log = C.blank_to_null(w.feed.customer_log), w.feed.account_log
+
+    def kept(name: str, log: DataFrame, key: str, cols: list[str]) -> tuple[str, DataFrame]:
+        at = f"{home}/{name}"
+        seed = K.clocked_history(log.limit(0), [key], "ts", ["seq"], cols)
+        step = lambda held, batch: K.clocked_merge(held, batch, [key], "ts", ["seq"], cols)
+        replay.fold(fed(log.select(key, "ts", "seq", *cols), "seq", at), seed, step, at, [key], changes=[key, "effectivedate", "enddate"])
+        return at, seed
+
+    c_at, c_seed = kept("customers", c_log, "customerid", c_cols)
+    a_at, a_seed = kept("accounts", a_log, "accountid", a_cols)
+    owners = lambda: replay.Target(w.spark, c_at, c_seed, ["customerid"], replay.BUCKETS)
+    accounts = lambda: replay.Target(w.spark, a_at, a_seed, ["accountid"], replay.BUCKETS)
+
+    def touched(batch: DataFrame) -> DataFrame:
+        """Accounts that changed themselves, and those of owners that did."""
+        own = batch.filter("kind = 'A'").select(F.col("id").alias("accountid"))
+        of = batch.filter("kind = 'C'").select(F.col("id").alias("customerid")).distinct()
+        return own.union(accounts().read().select("accountid", "customerid").join(of, "customerid", "left_semi").select("accountid")).distinct()
+
+    def step(held: DataFrame, ids: DataFrame) -> DataFrame:
+        told = accounts()
+        rows = told.read(sorted(r[0] for r in ids.select(told.number).distinct().collect())).join(ids, "accountid", "left_semi").drop("ts", "seq", "clocks", "iscurrent")
+        people = owners()
+        own = people.read(sorted(r[0] for r in rows.select(people.number).distinct().collect())).select("customerid", "effectivedate", "enddate", C.version_key("effectivedate", "customerid").alias("sk_customerid"))
+        both = H.overlap_join(rows, own, ["customerid"], how="left").select(*held.columns)
+        return held.join(ids, "accountid", "left_anti").unionByName(both)
+
+    stream = replay.changes_of(w.spark, c_at, "customerid long").select(F.col("customerid").alias("id"), F.lit("C").alias("kind")).union(replay.changes_of(w.spark, a_at, "accountid long").select(F.col("accountid").alias("id"), F.lit("A").alias("kind")))
+    dim = replay.fold(stream, w.spark.createDataFrame([], "accountid long, sk_customerid long, status string, brokerid long, effectivedate date, enddate date"), step, f"{home}/dim", ["accountid"], prepare=touched)
+    return dim.select(C.version_key("effectivedate", "accountid").alias("sk_accountid"), "accountid", "sk_customerid", "brokerid", C.map_codes("status", C.STATUS).alias("status"), "effectivedate", "enddate", (F.col("enddate") == H.open_end()).alias("iscurrent"))
+
+
+_RANGE = loaded.SQL["wh_fact_market_history"].removeprefix(loaded._CTES).replace("ROWS BETWEEN 364 PRECEDING AND CURRENT ROW", "RANGE BETWEEN INTERVAL 364 DAYS PRECEDING AND CURRENT ROW")
+
+
+@query(_RANGE)
+def wh_market_by_days(w):
+    """The market fact over the last 365 days (not rows), in one batch."""
+    return w.market_told(W.rolling_extremes(w.feed.market, ["symbol"], "day", "low", "high", days=365))
+
+
+@query(_RANGE)
+def wh_market_daily(w):
+    """The same fact by a stream of market days, each reading the months at the edges of its year and one row a month between."""
+    home, market = tables.scratch_path(w.spark, "market"), w.feed.market
+    source = fed(market, "day", home)
+    kept = DailyExtremes(w.spark, home, market.schema, ["symbol"], "day", "low", "high")
+    kept.run(source, f"{home}/checkpoint")
+    return w.market_told(market.select("symbol", "day", "low", "high").join(kept.read(), ["symbol", "day"]))
 
 
 _DAILY = {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import clean as C
@@ -130,17 +130,17 @@ class Warehouse:
     def customers_told(self, log: DataFrame) -> DataFrame:
         """Versions from a log of actions."""
         log = C.blank_to_null(log).withColumn("status", C.map_codes("action", C.ACTION_STATUS)).withColumn("first_city", F.when(F.col("action") == "NEW", F.col("city")))
-        filled = H.forward_fill(log, ["customerid"], ["ts", "seq"], ["lastname", "tier", "gender", "city", "first_city", "nat_tx"])
-        dated = H.scd2_build(filled, ["customerid"], "ts", ["seq"])
+        filled = H.forward_fill_blocks(log, ["customerid"], ["ts", "seq"], ["lastname", "tier", "gender", "city", "first_city", "nat_tx", "dob"], F.year("ts"))
+        dated = H.scd2_build(filled, ["customerid"], "ts", ["seq"], block=F.year("ts"))
         taxed = M.lookup(dated, self.tax_rate, "nat_tx", "tx_id", {"tx_name": "tax_name", "tx_rate": "tax_rate"})
-        return taxed.select(C.version_key("effectivedate", "customerid").alias("sk_customerid"), "customerid", "lastname", "tier", C.gender("gender").alias("gender"), "city", "first_city", "tax_name", "tax_rate", "status", "effectivedate", "enddate", "iscurrent")
+        return taxed.select(C.version_key("effectivedate", "customerid").alias("sk_customerid"), "customerid", "lastname", "tier", C.gender("gender").alias("gender"), "dob", "city", "first_city", "tax_name", "tax_rate", "status", "effectivedate", "enddate", "iscurrent")
 
     @cached_property
     def dim_account(self) -> DataFrame:
-        filled = H.forward_fill(self.feed.account_log, ["accountid"], ["ts", "seq"], ["status", "brokerid"])
-        dated = H.scd2_build(filled, ["accountid"], "ts", ["seq"]).drop("iscurrent", "ts", "seq")
+        filled = H.forward_fill_blocks(self.feed.account_log, ["accountid"], ["ts", "seq"], ["status", "brokerid"], F.year("ts"))
+        dated = H.scd2_build(filled, ["accountid"], "ts", ["seq"], block=F.year("ts")).drop("iscurrent", "ts", "seq")
         owners = self.dim_customer.select("customerid", "sk_customerid", "effectivedate", "enddate")
-        both = H.overlap_join(dated, owners, ["customerid"], how="left")
+        both = H.overlap_join(dated, owners, ["customerid"], how="left", bucket_days=3653)
         out = both.select(C.version_key("effectivedate", "accountid").alias("sk_accountid"), "accountid", "sk_customerid", "brokerid", C.map_codes("status", C.STATUS).alias("status"), "effectivedate", "enddate", (F.col("enddate") == H.open_end()).alias("iscurrent"))
         return self._kept(out, "dim_account")
 
@@ -154,7 +154,7 @@ class Warehouse:
         rows = H.as_of_join(rows, self.dim_account.select("accountid", "sk_accountid", "sk_customerid", "effectivedate", "enddate"), ["accountid"], "create_ts").drop("effectivedate", "enddate")
         rows = H.as_of_join(rows, self.dim_security.select("symbol", "sk_securityid", "sk_companyid", "effectivedate", "enddate"), ["symbol"], "create_ts").drop("effectivedate", "enddate")
         return rows.select("t_id", C.date_key("create_ts").alias("sk_createdateid"), C.time_key("create_ts").alias("sk_createtimeid"), C.date_key("close_ts").alias("sk_closedateid"), C.map_codes("status", C.STATUS).alias("status"), C.map_codes("type", C.TRADE_TYPE).alias("type"),
-                          "sk_accountid", "sk_customerid", "sk_securityid", "sk_companyid", "symbol", "quantity", "cents")
+                          "sk_accountid", "sk_customerid", "sk_securityid", "sk_companyid", "symbol", "quantity", "cents", "commission", "fee")
 
     # ---- facts
 
@@ -165,7 +165,7 @@ class Warehouse:
 
     @cached_property
     def fact_cash(self) -> DataFrame:
-        daily = W.running_sum(W.daily_totals(self.feed.cash, ["accountid"], "ct_dts", "cents"), ["accountid"], ["day"], "total", "cash")
+        daily = W.running_sum_blocks(W.daily_totals(self.feed.cash, ["accountid"], "ct_dts", "cents"), ["accountid"], ["day"], "total", F.year("day"), "cash")
         rows = H.as_of_join(daily, self.dim_account.select("accountid", "sk_accountid", "sk_customerid", "effectivedate", "enddate"), ["accountid"], "day")
         return rows.select("accountid", "sk_accountid", "sk_customerid", C.date_key("day").alias("sk_dateid"), "cash")
 
@@ -190,12 +190,21 @@ class Warehouse:
 
     # ---- validation
 
+    @property
+    def batch_day(self) -> Column:
+        """The day of the batch, by which birth dates are judged."""
+        return F.lit("2001-01-01").cast("date")
+
     @cached_property
     def alerts(self) -> DataFrame:
         tell = lambda label, c: F.concat(F.lit(label), F.col(c).cast("string"))
         cmp = files.parse_fixed_width(self.company_records, fd.CMP, keep=["pts"])
         return A.alerts([
             ("DimCustomer", "Invalid customer tier", self.dim_customer, ~F.coalesce(F.col("tier").isin(1, 2, 3), F.lit(False)), tell("C_ID = ", "customerid")),
+            ("DimCustomer", "DOB out of range", self.dim_customer.select("customerid", "dob").distinct(), (F.col("dob") <= F.add_months(self.batch_day, -1200)) | (F.col("dob") > self.batch_day), F.concat(tell("C_ID = ", "customerid"), tell(", C_DOB = ", "dob"))),
+            # commission and fee are told in hundredths of cents
+            ("DimTrade", "Invalid trade commission", self.dim_trade, F.col("commission") > 100 * F.col("cents"), F.concat(tell("T_ID = ", "t_id"), tell(", T_COMM = ", "commission"))),
+            ("DimTrade", "Invalid trade fee", self.dim_trade, F.col("fee") > 100 * F.col("cents"), F.concat(tell("T_ID = ", "t_id"), tell(", T_CHRG = ", "fee"))),
             ("DimTrade", "Large trade", self.dim_trade, F.col("cents") > 9_000_000, tell("T_ID = ", "t_id")),
             ("FactMarketHistory", "No earnings for company", self.fact_market, F.col("peratio").isNull(), tell("SYMBOL = ", "symbol")),
             ("DimCompany", "Invalid SPRating", cmp, ~F.coalesce(F.col("sprating").isin(*C.RATINGS), F.lit(False)), tell("CO_ID = ", "cik")),

@@ -91,7 +91,7 @@ def wh_company_year_eps(w):
 @query("""SELECT sk_customerid, customerid, lastname, tier, CASE WHEN upper(gender) IN ('M', 'F') THEN upper(gender) ELSE 'U' END AS gender, city, n_name AS tax_name, n_nationkey % 10 / 100 AS tax_rate, CASE action WHEN 'INACT' THEN 'Inactive' ELSE 'Active' END AS status,
 CAST(s AS VARCHAR) AS effectivedate, CAST(e AS VARCHAR) AS enddate, e = DATE '9999-12-31' AS iscurrent FROM cust LEFT JOIN nation ON nat_tx = n_nationkey""")
 def wh_dim_customer(w):
-    return w.dim_customer.drop("first_city")
+    return w.dim_customer.drop("first_city", "dob")
 
 
 @query("SELECT sk_accountid, accountid, sk_customerid, brokerid, status, CAST(s AS VARCHAR) AS effectivedate, CAST(e AS VARCHAR) AS enddate, e = DATE '9999-12-31' AS iscurrent FROM acct")
@@ -102,7 +102,7 @@ def wh_dim_account(w):
 @query("""SELECT t_id, CAST(strftime(placed, '%Y%m%d') AS BIGINT) AS sk_createdateid, CAST(strftime(placed, '%H%M%S') AS BIGINT) AS sk_createtimeid, CAST(strftime(closed, '%Y%m%d') AS BIGINT) AS sk_closedateid, status, CASE WHEN l_linenumber % 2 = 0 THEN 'Market Buy' ELSE 'Market Sell' END AS type,
 sk_accountid, sk_customerid, sk_companyid, symbol, quantity, cents FROM dtrade""")
 def wh_dim_trade(w):
-    return w.trades_told().drop("sk_securityid")
+    return w.trades_told().drop("sk_securityid", "commission", "fee")
 
 
 @query("SELECT t_id AS hh_t_id, CASE WHEN l_linenumber % 2 = 0 THEN quantity ELSE -quantity END AS change, sk_accountid, sk_customerid, CAST(strftime(closed, '%Y%m%d') AS BIGINT) AS sk_dateid, cents AS currentprice FROM dtrade WHERE line = 'F'")
@@ -165,6 +165,9 @@ def wh_prospect(w):
 
 @query("""SELECT source, message, count(*) AS n FROM (SELECT 'DimCustomer' AS source, 'Invalid customer tier' AS message FROM cust WHERE NOT coalesce(tier IN (1, 2, 3), false) UNION ALL SELECT 'DimTrade', 'Large trade' FROM dtrade WHERE cents > 9000000
 UNION ALL SELECT 'DimCompany', 'Invalid SPRating' FROM compk WHERE sprating IS NULL
+UNION ALL SELECT 'DimCustomer', 'DOB out of range' FROM (SELECT DATE '1890-01-01' + CAST(c_custkey * 37 % 45000 AS INTEGER) AS dob FROM customer) WHERE dob <= DATE '1901-01-01' OR dob > DATE '2001-01-01'
+UNION ALL SELECT 'DimTrade', unnest(CASE WHEN 12 * discount > 100 THEN ['Invalid trade commission'] ELSE [] END || CASE WHEN 13 * tax > 100 THEN ['Invalid trade fee'] ELSE [] END) FROM dtrade JOIN
+  (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS t_id, CAST(max(round(l_discount * 100)) AS BIGINT) AS discount, CAST(max(round(l_tax * 100)) AS BIGINT) AS tax FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL) USING (t_id)
 UNION ALL SELECT 'FactMarketHistory', 'No earnings for company' FROM (SELECT l_partkey, CAST(l_shipdate AS DATE) AS day, min(CAST(round(l_extendedprice / l_quantity * 100) AS BIGINT)) AS low FROM lineitem GROUP BY ALL) p
   JOIN sec x ON x.symbol = 'S' || l_partkey AND x.s <= day AND day < x.e LEFT JOIN eps ON firm = companyid AND y = year(day) AND q = quarter(day) WHERE low / nullif(prev, 0) IS NULL) GROUP BY ALL""")
 def wh_alerts(w):
@@ -180,15 +183,10 @@ def wh_audits(w):
 def wh_account_replay(w):
     """Accounts from a stream of change files, merged file by file in any order, then cut by their owners' versions."""
     log = w.feed.account_log
-    home = tables.scratch_path(w.spark, "accounts")
-    source = fed(log, "seq", home)
-    cols = ["customerid", "status", "brokerid"]
-
-    def step(held: DataFrame, batch: DataFrame) -> DataFrame:
-        return held.unionByName(batch.select(*held.columns)).dropDuplicates(["accountid", "ts", "seq"])
-
-    events = replay.fold(source, log.limit(0), step, home, ["accountid"])
-    dated_rows = H.scd2_build(H.forward_fill(events, ["accountid"], ["ts", "seq"], cols), ["accountid"], "ts", ["seq"]).drop("iscurrent", "ts", "seq")
+    home, cols = tables.scratch_path(w.spark, "accounts"), ["customerid", "status", "brokerid"]
+    seed = K.clocked_history(log.limit(0), ["accountid"], "ts", ["seq"], cols)
+    held = replay.fold(fed(log, "seq", home), seed, lambda held, batch: K.clocked_merge(held, batch, ["accountid"], "ts", ["seq"], cols), home, ["accountid"])
+    dated_rows = held.drop("iscurrent", "ts", "seq", "clocks")
     both = H.overlap_join(dated_rows, w.dim_customer.select("customerid", "sk_customerid", "effectivedate", "enddate"), ["customerid"], how="left")
     return both.select(C.version_key("effectivedate", "accountid").alias("sk_accountid"), "accountid", "sk_customerid", "brokerid", C.map_codes("status", C.STATUS).alias("status"), "effectivedate", "enddate", (F.col("enddate") == H.open_end()).alias("iscurrent"))
 
@@ -198,7 +196,7 @@ def wh_customer_incremental(w):
     """The customers' versions by a first load and two batches of sparse changes: each batch reads only its own log."""
     log, cols = C.blank_to_null(w.feed.customer_log), ["lastname", "tier", "gender", "city", "nat_tx"]
     first, rest = tables.split_at(log, "ts", F.lit("1996-06-01").cast("timestamp_ntz"))
-    held = H.scd2_build(H.forward_fill(first, ["customerid"], ["ts", "seq"], cols), ["customerid"], "ts", ["seq"]).drop("action")
+    held = H.scd2_build(H.forward_fill(first, ["customerid"], ["ts", "seq"], cols), ["customerid"], "ts", ["seq"]).drop("action", "dob")
     for batch in tables.split_at(rest, "ts", F.lit("1999-01-01").cast("timestamp_ntz")):
         held = tables.scratch(K.scd2_merge(held, batch, ["customerid"], "ts", ["seq"], cols), "customers")
     return held.select("customerid", *cols, "effectivedate", "enddate", "iscurrent")
@@ -322,7 +320,7 @@ def wh_customer_from_files(w):
         own = own if b == 1 else own.select(F.lit("U").alias("cdc_flag"), F.col("seq").alias("cdc_dsn"), "*")
         own.write.parquet(f"{root}/Batch{b}")
     spec = files.TableSpec("customer", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in log.schema), "*.parquet", batches=(1, 2, 3), cdc_from=2)
-    return w.customers_told(files.read_table(w.spark, spec, root, "parquet").drop("batchid")).drop("first_city")
+    return w.customers_told(files.read_table(w.spark, spec, root, "parquet").drop("batchid")).drop("first_city", "dob")
 
 
 @query("""SELECT n::BIGINT AS batchid, 'P' || c_custkey AS agencyid, min(b)::BIGINT AS first_batch, max(b)::BIGINT AS last_batch FROM (SELECT *, (c_custkey + b) % 5 AS kids FROM customer, (VALUES (1), (2), (3)) x(b) WHERE (c_custkey + b) % 4 <> 0), (VALUES (1), (2), (3)) y(n)

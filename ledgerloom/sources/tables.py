@@ -79,6 +79,49 @@ def clustered(df: DataFrame, path: str, by: str, n: int) -> None:
     df.repartitionByRange(n, by).sortWithinPartitions(by).write.mode("overwrite").parquet(path)
 
 
+def bucketed(df: DataFrame, keys: Sequence[str], n: int, name: str | None = None) -> DataFrame:
+    """A catalog table in ``n`` buckets by ``keys``, sorted by them: joins and aggregations on the keys of tables with as many buckets need no exchange.
+
+    Its files lie in the shared folder. Without a ``name`` the table has one of its own.
+    """
+    spark = df.sparkSession
+    name = name or f"ledgerloom_{uuid.uuid4().hex}"
+    df.repartition(n, *keys).write.mode("overwrite").bucketBy(n, *keys).sortBy(*keys).option("path", scratch_path(spark, "bucketed")).saveAsTable(name)
+    return spark.table(name)
+
+
+#: Bits of each column in a space-filling key.
+KEY_BITS = 16
+
+
+def space_filling(cols: Sequence[Column]) -> Column:
+    """One number out of several from 0 to 2 ** KEY_BITS - 1: their bits in turn, so that rows that are close by it are close by all of them."""
+    return sum((F.shiftleft(F.shiftright(c.cast("long"), b).bitwiseAND(1), b * len(cols) + i) for i, c in enumerate(cols) for b in range(KEY_BITS)), F.lit(0).cast("long"))
+
+
+def _spread(value: Column, edges: list[float], top: int) -> Column:
+    """Numbers from 0 to ``top``, as many between each two edges as between any others; null is 0."""
+    if len(edges) < 2:
+        return F.lit(0)
+    passed = F.size(F.filter(F.array(*[F.lit(x) for x in edges[1:-1]]), lambda x: x <= value)) if len(edges) > 2 else F.lit(0)
+    low, high = (F.element_at(F.array(*[F.lit(x) for x in own]), passed + 1) for own in (edges[:-1], edges[1:]))
+    inside = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (value - low) / (high - low)))
+    return F.coalesce(F.floor((passed + inside) / (len(edges) - 1) * top), F.lit(0))
+
+
+def clustered_by_all(df: DataFrame, path: str, by: Sequence[str], n: int) -> None:
+    """Files whose rows lie close by each of several columns (numbers, dates or times), so that a predicate on any of them prunes files.
+
+    Columns are spread evenly between their quantiles, so that a skewed one prunes too; nulls come first.
+    """
+    number = {c: (F.unix_date(c) if df.schema[c].dataType.simpleString() == "date" else F.col(c).cast("timestamp") if df.schema[c].dataType.simpleString().startswith("timestamp") else F.col(c)).cast("double") for c in by}
+    told = df.select(*[v.alias(c) for c, v in number.items()])
+    cuts = told.stat.approxQuantile(list(by), [i / 256 for i in range(257)], 0.002)  # 257 numbers a column
+    top = (1 << KEY_BITS) - 1
+    place = [_spread(number[c], sorted({*cut}), top) for c, cut in zip(by, cuts, strict=True)]
+    df.withColumn("_z", space_filling(place)).repartitionByRange(n, "_z").sortWithinPartitions("_z").drop("_z").write.mode("overwrite").parquet(path)
+
+
 def sized(df: DataFrame, path: str, bytes_per_row: int, file_bytes: int = 128 << 20, fmt: str = "parquet") -> None:
     """Files of about a given size, by rows."""
     df.write.mode("overwrite").option("maxRecordsPerFile", max(1, file_bytes // bytes_per_row)).format(fmt).save(path)

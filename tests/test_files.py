@@ -55,9 +55,10 @@ def test_layouts(spark, tmp_path):
     assert (old.count(), new.count()) == (10, 10)
     tables.clustered(df, f"{home}/c", "id", 3)
     assert tables.recode(spark, df, f"{home}/r", 2).count() == 20
-    replay.seeded(df, f"{home}/seed")
-    replay.seeded(df.limit(1), f"{home}/seed")
-    assert spark.read.parquet(f"{home}/seed").count() == 20
+    parts = replay.DailyParts(spark, f"{home}/seed", "d")
+    replay.seeded(df, parts)
+    replay.seeded(df.limit(1), parts)
+    assert parts.read(df.schema).count() == 20
 
 
 def test_a_replayed_batch_overwrites_itself(spark, tmp_path):
@@ -118,7 +119,10 @@ def test_fold_rewrites_touched_buckets_only(spark, tmp_path):
         spark.createDataFrame([(1, i), (2, 10)], "k long, v long").coalesce(1).write.mode("append").parquet(feed)
     got = replay.fold(files.stream_table(spark, "k long, v long", feed, "parquet"), seed, step, home, ["k"])
     assert {tuple(r) for r in got.collect()} == {(1, 6), (2, 40), *((k, 0) for k in (0, *range(3, 40)))}
-    versions = {b.name: sorted(v.name for v in b.iterdir() if v.is_dir()) for b in (tmp_path / "target" / "table").iterdir() if b.is_dir()}
+    versions: dict[str, list[str]] = {}
+    for v in sorted((tmp_path / "target" / "table").glob("version_=*")):
+        for b in v.glob("bucket_=*"):
+            versions.setdefault(b.name, []).append(v.name)
     changed = [v for v in versions.values() if v != ["version_=-1"]]
     assert 1 <= len(changed) <= 2 < len(versions) and all(v == ["version_=2", "version_=3"] for v in changed)
 
