@@ -106,9 +106,13 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(s + np.log(THRESHOLD / (1 - THRESHOLD)), -40, 40)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model:
-    """Weights from a bounded sample of the labelled rows that aren't held out (see ``PER_LABEL``), the cut from all of them."""
-    known = labels.filter(labels["quality"].isin(0, 1) & labels["doc_id"].isNotNull() & ~held_out(labels["doc_id"])).select(labels["doc_id"].cast("long").alias("doc_id"), labels["quality"].cast("int").alias("quality"))
+def _known(labels: DataFrame) -> DataFrame:
+    """doc_id, quality of the labelled rows that aren't held out."""
+    return labels.filter(labels["quality"].isin(0, 1) & labels["doc_id"].isNotNull() & ~held_out(labels["doc_id"])).select(labels["doc_id"].cast("long").alias("doc_id"), labels["quality"].cast("int").alias("quality"))
+
+
+def _weights(docs: DataFrame, known: DataFrame, per_label: int = PER_LABEL) -> Model:
+    """Weights from a bounded sample of ``known`` (see ``PER_LABEL``); its cut is the sample's."""
     counts = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     if not counts:
         return Model.fit(np.zeros((0, 1)), np.zeros(0))
@@ -124,34 +128,58 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model
     got = sorted(rows.select("doc_id", "text", "quality").mapInArrow(rate, "doc_id long, quality int, x array<double>").collect())
     if not got:
         return Model.fit(np.zeros((0, 1)), np.zeros(0))
-    model = Model.fit(np.array([r["x"] for r in got]), np.array([r["quality"] for r in got]))
-    return model if model.constant is not None else replace(model, cut=_cut(docs, known, model))
+    return Model.fit(np.array([r["x"] for r in got]), np.array([r["quality"] for r in got]))
 
 
-def _cut(docs: DataFrame, known: DataFrame, model: Model) -> float:
+def _linear(docs: DataFrame, model: Model, keep: tuple[str, ...] | None) -> DataFrame:
+    """``row`` (struct of ``keep``), id, and the linear score of every row, written once."""
+    shipped = docs.sparkSession.sparkContext.broadcast(model)  # three numbers a feature
+    told = docs.withColumn("_row", F.struct("*") if keep is None else F.struct(*[docs[c] for c in keep])).withColumn("_id", docs["doc_id"].cast("long"))
+    return shared.materialize(bw.annotate(told, lambda texts: [shipped.value.linear(texts)], "s double", ("_row", "_id")).select(F.col("row._row").alias("row"), F.col("row._id").alias("id"), "s"), "linear")
+
+
+def _cut(linear: DataFrame, known: DataFrame) -> float:
     """Between the scores at the rank of the number of bad texts and above, over all rows of ``known`` with a text."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
-    slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    scores = bw.annotate(slim, lambda texts: [shipped.value.linear(texts)], "s double", ("doc_id",)).select("row.doc_id", "s")
-    scores = shared.materialize(scores.join(known, "doc_id").select("s", "quality"), "scores")
+    scores = shared.materialize(linear.select(F.col("id").alias("doc_id"), "s").join(known, "doc_id").select("s", "quality"), "scores")
     n, bad = scores.agg(F.count("*"), F.count(F.when(F.col("quality") == 0, 1))).first()
     low = scores.agg(F.percentile_approx("s", (bad - 0.5) / n, ACCURACY)).first()[0]
     high = scores.filter(F.col("s") > low).agg(F.min("s")).first()[0]
     return low if high is None else (low + high) / 2
 
 
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model:
+    """Weights from a bounded sample of the labelled rows that aren't held out, the cut from all of them; for ``score`` on other documents."""
+    known = _known(labels)
+    model = _weights(docs, known, per_label)
+    if model.constant is not None:
+        return model
+    told = docs.join(known.select(F.col("doc_id").alias("_known")).distinct(), docs["doc_id"].cast("long") == F.col("_known"), "left_semi")
+    return replace(model, cut=_cut(_linear(told, model, ("doc_id",)), known))
+
+
+def fit_and_score(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] | None = None, per_label: int = PER_LABEL) -> DataFrame:
+    """``score`` by what ``fit`` learns from the same documents: each text's features are computed once for the cut and the scores."""
+    known = _known(labels)
+    model = _weights(docs, known, per_label)
+    if model.constant is not None:
+        return score(docs, model, keep)
+    linear = _linear(docs, model, keep)
+    far = F.greatest(F.lit(-40.0), F.least(F.lit(40.0), F.col("s") - F.lit(_cut(linear, known)) + F.lit(float(np.log(THRESHOLD / (1 - THRESHOLD))))))
+    return linear.select("row", (1 / (1 + F.exp(-far))).alias("score"))
+
+
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] | None = None) -> DataFrame:
     """``row`` (struct of the columns ``keep``, all where None) and score of every row.
 
     Null texts count as empty; an empty text has a score like any other. If the labels show
     only one class, or none, every score is the share of good ones (0.5 without labels).
-    Repeated rows are scored alike; an empty table gives no rows.
+    Repeated rows are scored alike, and texts that tie have one score; very long texts are
+    read whole, some megabytes at a time; an empty table gives no rows.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # three numbers a feature
     return bw.annotate(docs, lambda texts: [shipped.value(texts)], "score double", keep)
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = shared.read(spark, sf_dir, "documents")
-    scored = score(docs, fit(docs, shared.read(spark, sf_dir, "labels")), keep=("doc_id",))
+    scored = fit_and_score(shared.read(spark, sf_dir, "documents"), shared.read(spark, sf_dir, "labels"), keep=("doc_id",))
     return scored.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
