@@ -182,21 +182,21 @@ def _block_links(key, table, percent):
     return pa.table({"a": flat(a_out), "b": flat(b_out)})
 
 
-def _likely(rest: DataFrame, candidates: DataFrame, bounds: DataFrame, percent: int) -> DataFrame:
+def _likely(rest: DataFrame, candidates: DataFrame, bounds: DataFrame, percent: int, levels: int = LEVELS) -> DataFrame:
     """Likely links (a, b) within the buckets of ``rest`` (key, id, component).
 
     A bucket of more than BLOCK members is parted again by runs of further coordinates, so
-    that rows grow with its members and not with their square; what is as large after LEVELS
+    that rows grow with its members and not with their square; what is as large after ``levels``
     partings is compared block against block.
     """
     rest = rest.select("key", F.col("key").alias("group"), F.array().cast("array<int>").alias("path"), "id", "component")
     done = []
-    for level in range(LEVELS + 1):
+    for level in range(levels + 1):
         rest = shared.materialize(rest, "rest")
         sizes = rest.groupBy("group").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("n > 1 AND lo <> hi").select("group", "n")
         sizes = shared.materialize(sizes, "sizes")
         rest = shared.salted_join(rest, sizes, ["group"], shared.hot_keys(sizes, ["group"], "n"), F.col("id"))
-        if level == LEVELS or sizes.filter(F.col("n") > BLOCK).isEmpty():
+        if level == levels or sizes.filter(F.col("n") > BLOCK).isEmpty():
             done.append(rest)
             break
         done.append(rest.filter(F.col("n") <= BLOCK))
@@ -213,7 +213,7 @@ def _likely(rest: DataFrame, candidates: DataFrame, bounds: DataFrame, percent:
     return rest.groupBy("group", "low", "high").applyInArrow(lambda key, table: _block_links(key, table, percent), _LINK).distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, levels: int = LEVELS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Texts are linked at a similarity of ``percent`` or more; the bands are made for 80 at least.
@@ -221,7 +221,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     empty text has none and is linked with nothing. Rows that repeat an id are one node:
     a link of any of them holds for all. A null id is never linked; its component is null
     and it is kept. Very long texts are read whole, in one chunk each. An empty table gives no rows. Columns other than doc_id and text are
-    not looked at.
+    not looked at. With ``levels=0`` large buckets aren't parted but compared block by block,
+    exactly, at the square of their size.
     """
     if not 80 <= percent <= 100:
         raise ValueError(f"percent is {percent}, not between 80 and 100")
@@ -258,7 +259,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     here = sets.join(rest.select("id").distinct(), "id").select("id", F.size("hashes").alias("size"), "hashes")
     single = here.select("id", F.explode("hashes").alias("h")).groupBy("h").agg(F.count("*").alias("df"), F.min("id").alias("id")).filter("df = 1").groupBy("id").agg(F.count("*").alias("alone"))
     bounds = here.select("id", "size").join(single, "id", "left").withColumn("alone", F.coalesce("alone", F.lit(0)).cast("int")).filter(100 * (F.col("size") - F.col("alone")) >= percent * F.col("size"))
-    likely = _likely(rest.join(bounds.select("id"), "id").select("key", "id", "component"), candidates, bounds, percent)
+    likely = _likely(rest.join(bounds.select("id"), "id").select("key", "id", "component"), candidates, bounds, percent, levels)
     tried = star.select("a", "b").union(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
     more = shared.materialize(likely.join(tried, ["a", "b"], "left_anti"), "likely")
     links = links.union(_confirmed(more, sets, percent))
