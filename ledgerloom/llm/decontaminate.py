@@ -24,8 +24,10 @@ from ledgerloom.llm import bytewise as bw
 from ledgerloom.llm import shared
 
 WINDOW = 10
+#: Megabytes that a worker's tables may take; they take some 14 bytes for each byte of item text.
+MATCHER_MB = 160
 #: Bytes of item text per block of the query set; each block is a pass of its own over the texts.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = (MATCHER_MB << 20) // 14
 #: Words of an item that a slice of it begins; slices share WINDOW - 1 words.
 SLICE = 4096
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -226,6 +228,7 @@ def _matchers(benchmark: DataFrame):
             return _made[name]
 
         yield matcher, k + 1 == blocks
+        shipped.unpersist()  # asked for the next one: this one's findings are written
 
 
 _FIELDS = "n_words long, spans array<long>, items array<string>"

@@ -2,9 +2,9 @@
 
 Texts are folded to words, so that a rule is a regular expression over words parted by
 single spaces. A keyword automaton passes over the text once; a rule's expression is run
-only where its keyword occurs. Rules have priorities; a detection that lies within a kept
-one of the same or higher priority is suppressed. The three base phrases are counted
-apart and are never suppressed.
+over a text only if its keyword occurs in it; many rules are plain phrases. Rules have
+priorities; a detection that lies within a kept one of the same or higher priority is
+suppressed. The three base phrases are counted apart and are never suppressed.
 """
 
 from __future__ import annotations
