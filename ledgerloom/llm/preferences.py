@@ -20,7 +20,11 @@ def _turn(x: Column) -> Column:
 
 
 def conversations(turns: DataFrame) -> DataFrame:
-    """``conv_id, turns`` (array of role and text in order); null roles and texts become empty, null ids go."""
+    """``conv_id, turns`` (array of role and text in order); null roles and texts become empty, null ids go.
+
+    Turns that tie are ordered by role and text; a row given twice is two turns. Very long
+    turns are kept whole. An empty table gives no rows; other columns are not looked at.
+    """
     rows = turns.filter(turns["conv_id"].isNotNull()).select(
         turns["conv_id"].cast("long").alias("conv_id"),
         F.struct(turns["turn"].alias("turn"), F.coalesce(turns["role"], F.lit("")).alias("role"), F.coalesce(turns["text"], F.lit("")).alias("text")).alias("t"),

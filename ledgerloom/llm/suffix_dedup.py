@@ -216,7 +216,8 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
 def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and spans, kept bytes).
 
-    Null and empty texts have no bytes. Texts shorter than 100 bytes lose nothing. Rows that
+    Null and empty texts have no bytes. Texts shorter than 100 bytes lose nothing; very long
+    ones are parsed in parts that share their windows' ends. Rows that
     repeat an id, and null ids, which come last, are separate documents in an order of their
     own. An empty table gives no rows. Columns other than doc_id and text are not looked at.
     """

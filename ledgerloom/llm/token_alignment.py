@@ -71,11 +71,11 @@ def byte_level(path: str):
     for t in spec["added_tokens"]:
         ranks.pop(t["content"].encode(), None)
     quick = Encoding("ranks", pat_str=_CUTS, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: quick.encode_ordinary(text) if len(text) < 1 << 20 or not _LONG.search(text) else plain(text), ranks
+    return lambda text: plain(text) if len(text) >= _LONG and any(m.end() - m.start() >= _LONG for m in _RUNS.finditer(text)) else quick.encode_ordinary(text), ranks
 
 
-#: Runs of one kind this long are left to the library that takes them in steady time.
-_LONG = re.compile(r"\s{65536}|\S{65536}")
+#: Runs with or without white space from this length on are left to the library that takes them in steady time.
+_LONG, _RUNS = 1 << 16, re.compile(r"\s+|\S+")
 
 
 class Aligner:

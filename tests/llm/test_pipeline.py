@@ -39,3 +39,30 @@ def test_stages_equal_brute_force(spark, sf):
     rows = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
     test_packing.check([*kept.items()], rows, 4096)
     assert len(rows) == len(corpus_pipeline.run(spark, sf).collect())
+
+
+def test_edges(spark, tmp_path):
+    """Nulls in every column, empty and very long texts, repeated rows and ids, columns with names that stages use themselves, an empty table."""
+    real = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(120)
+    long = real.filter("length(text) BETWEEN 500 AND 2000").orderBy("doc_id").first()
+    odd = [
+        (None, None, None, None, None), (90_001, None, "en", None, None), (90_002, "", None, "s", 0), (90_003, " \t\n", "xx", None, 3), (None, long.text, None, None, None), (90_004, long.text * 300, long.lang, "s", None),
+        (90_005, long.text, None, "s", 1), (90_005, long.text, None, "s", 1), (90_005, "12345 67890 " * 50, None, None, 2),
+    ]
+    docs = real.union(spark.createDataFrame(odd, real.schema)).selectExpr("*", "'c' AS kept", "1L AS component_id", "2 AS norm", "3 AS piece", "map('a', 1) AS digest")
+    docs = corpus_pipeline.shared.materialize(docs.coalesce(1), "documents")
+    columns, n = docs.columns, docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = corpus_pipeline.shared.materialize(stage(spark, docs, "/root/testdata/sf0.001"), name)
+        assert kept.columns == columns
+        if name == "language_id":
+            assert {r.doc_id for r in kept.filter("text IS NULL OR trim(text) = ''").collect()} == set()
+        if name == "exact_dedup":
+            assert kept.filter(kept.text == long.text).count() == 1
+        docs = kept
+    assert 0 < docs.count() < n
+    packed = corpus_pipeline.packed(spark, docs, "/root/testdata/sf0.001").collect()
+    assert len({(r.sequence_id, r.offset) for r in packed}) == len(packed)
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, corpus_pipeline.shared.materialize(empty, name), "/root/testdata/sf0.001").count() == 0
