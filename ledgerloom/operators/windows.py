@@ -50,6 +50,12 @@ def carried(df: DataFrame, keys: Sequence[str], block: str, aggs: dict[str, Colu
     return df.join(told, same(df, told, [*keys, block]), "left").drop(*[f"_k_{c}" for c in (*keys, block)])
 
 
+def over_key(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
+    """``df`` with aggregates over all rows of its keys, as a window without an order tells them: summed up before the shuffle and joined, so that no key is a group of one task."""
+    told = df.groupBy(*keys).agg(*[v.alias(c) for c, v in aggs.items()]).withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    return df.join(told, same(df, told, keys), "left").drop(*[f"_k_{k}" for k in keys])
+
+
 def running_sum_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str, block: Column, out: str = "balance") -> DataFrame:
     """``running_sum`` for keys that hold a great part of all rows; ``block`` cuts a key's rows into consecutive pieces (say, months of its first order column)."""
     rows = df.withColumn("_block", block)

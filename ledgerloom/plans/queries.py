@@ -124,6 +124,15 @@ def asof_orders_segment(t):
     return H.as_of_join(fact, dim.select("o_custkey", "held", "effectivedate", "enddate"), ["o_custkey"], "at").groupBy("held", "own").agg(F.count("*").alias("n"), F.sum("cents").alias("cents"))
 
 
+@query(SQL["asof_orders_segment"])
+def asof_of_bucketed_tables(t):
+    """The same join of two tables that lie in buckets of the customer: neither side is exchanged."""
+    dim = H.scd2_build(t.orders.select("o_custkey", "o_orderkey", "o_orderdate", F.col("o_orderpriority").alias("held")), ["o_custkey"], "o_orderdate", ["o_orderkey"])
+    fact = t.orders.select("o_custkey", F.col("o_orderdate").alias("at"), F.col("o_orderpriority").alias("own"), cents("o_totalprice").alias("cents"))
+    kept = [tables.bucketed(df, ["o_custkey"], 8) for df in (fact, dim.select("o_custkey", "held", "effectivedate", "enddate"))]
+    return H.as_of_join(*kept, ["o_custkey"], "at").groupBy("held", "own").agg(F.count("*").alias("n"), F.sum("cents").alias("cents"))
+
+
 _BAND = "CASE WHEN value < 20 THEN 'low' WHEN value < 60 THEN 'mid' ELSE 'high' END"
 
 
@@ -350,6 +359,19 @@ def days_since_first(t):
     return t.orders.crossJoin(first).select("o_orderkey", F.date_diff("o_orderdate", "first").alias("age"))  # one row on the right
 
 
+@query("""SELECT o_orderkey, o_custkey, CAST(CAST(min(o_orderdate) OVER w AS DATE) AS VARCHAR) AS first_day, CAST(DATEDIFF('day', CAST(min(o_orderdate) OVER w AS DATE), CAST(o_orderdate AS DATE)) AS BIGINT) AS age, count(*) OVER w AS orders FROM orders WINDOW w AS (PARTITION BY o_custkey)""")
+def days_since_own_first(t):
+    o = t.orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
+    told = W.over_key(o, ["o_custkey"], {"first_day": F.min("day"), "orders": F.count("*")})
+    return told.select("o_orderkey", "o_custkey", "first_day", F.date_diff("day", "first_day").alias("age"), "orders")
+
+
+@query("SELECT CAST(day AS VARCHAR) AS day, row_number() OVER (ORDER BY day) - 1 AS nth FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem)")
+def list_of_days(t):
+    """The days on which something was shipped, numbered in order."""
+    return W.dense_index(t.lineitem.select(F.to_date("l_shipdate").alias("day")).distinct(), ["day"], "nth")
+
+
 @query("SELECT count(*) AS n, count(DISTINCT k) AS pairs, min(k) AS lo, max(k) AS hi FROM (SELECT (7919 * o_orderkey + 13) % (SELECT max(o_orderkey) + 1 FROM orders) AS k FROM orders)")
 def bijection_pairs(t):
     m = t.orders.agg(F.max("o_orderkey") + 1).first()[0]
@@ -795,6 +817,17 @@ def clustered_month(t):
     return month.groupBy("day").agg(F.count("*").alias("lines"), F.sum("l_orderkey").alias("keys"))
 
 
+@query("""SELECT 'month' AS asked, count(*) AS lines, sum(l_orderkey)::BIGINT AS keys FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1995-03-01' AND DATE '1995-03-31'
+UNION ALL SELECT 'parts', count(*), sum(l_orderkey)::BIGINT FROM lineitem WHERE l_partkey BETWEEN 20 AND 40""")
+def clustered_by_day_and_part(t):
+    """One set of files, clustered by day and part together, asked by either."""
+    path = tables.scratch_path(t.spark, "lines")
+    tables.clustered_by_all(t.lineitem.select("l_orderkey", "l_partkey", F.to_date("l_shipdate").alias("day")), path, ["day", "l_partkey"], 16)
+    kept = t.spark.read.schema("l_orderkey long, l_partkey long, day date").parquet(path)
+    told = lambda name, df: df.agg(F.count("*").alias("lines"), F.sum("l_orderkey").alias("keys")).select(F.lit(name).alias("asked"), "lines", "keys")
+    return told("month", kept.filter("day BETWEEN '1995-03-01' AND '1995-03-31'")).union(told("parts", kept.filter("l_partkey BETWEEN 20 AND 40")))
+
+
 @query("SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
 def current_versions(t):
     e = t.events.select("user_id", "ts", "event_id", "event_type")

@@ -280,7 +280,7 @@ def wh_holdings_incremental(w):
 
 @query(SQL["wh_fact_market_history"].removeprefix(_CTES))
 def wh_market_incremental(w):
-    """Prices by two periods: the second one reads each symbol's last 364 days before it and not the rest of the history."""
+    """Prices by two periods: the second one's frames are made of its own rows and the last 364 of each symbol before it, which are picked out of the whole history (``wh_market_daily`` reads a year only)."""
     cut, feed = F.lit("1998-01-01").cast("date"), w.feed.market
     old, new = tables.split_at(feed, "day", cut)
     first = W.rolling_extremes(old, ["symbol"], "day", "low", "high")

@@ -69,6 +69,22 @@ def write_by_date(df: DataFrame, path: str, date_col: str, fmt: str = "parquet")
     df.withColumn("_pdate", F.col(date_col)).hint("rebalance", "_pdate").write.mode("overwrite").partitionBy("_pdate").format(fmt).save(path)
 
 
+def write_change_files(df: DataFrame, path: str, date_col: str, rows_a_file: int = 1_000_000, sep: str = "|") -> None:
+    """Change files as they come by day: a folder for each date with text files of its rows, the last column being the date.
+
+    Dates are dealt over all tasks, since with few rows a day the cost is in the number of
+    files; a date with more than ``rows_a_file`` rows is dealt over several. Tasks move their
+    files to their place themselves, so the folder is complete only once it has its marker.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = df.groupBy(F.col(date_col).alias("_d")).count().filter(F.col("count") > rows_a_file)
+    files = many.select("_d", F.ceil(F.col("count") / rows_a_file).alias("_files"))  # no more dates than the rows have days
+    dealt = df.withColumn("_pdate", F.col(date_col)).join(F.broadcast(files), F.col("_pdate") == F.col("_d"), "left")
+    salt = F.pmod(F.xxhash64(*[c for c in df.columns if df.schema[c].dataType.simpleString() != "map"]), F.coalesce("_files", F.lit(1)))
+    laid = dealt.withColumn("_salt", salt).repartition(n, "_pdate", "_salt").select(*df.columns, "_pdate")
+    laid.write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("_pdate").option("sep", sep).option("quote", "\u0000").option("emptyValue", "").option("nullValue", "").csv(path)
+
+
 def split_at(df: DataFrame, ts: str, cutoff: Column) -> tuple[DataFrame, DataFrame]:
     """(history up to the cut-off, what comes by stream after it)."""
     return df.filter(F.col(ts) < cutoff), df.filter(F.col(ts) >= cutoff)

@@ -8,7 +8,7 @@ those between, whatever the length of the history.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,20 +50,25 @@ class DailyExtremes:
         extremes = self._marked(rows).groupBy(*self.keys, "month_").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
         self.monthly.write(extremes, n)
         if months:
-            self.facts.write(self._told(rows, _months(months[0], -self._span, months[-1], self._span), n), n)
+            self.facts.write(self._told(rows, months[0], months[-1], n), n)
 
     @property
     def _span(self) -> int:
         """Months that a frame can reach back."""
         return -(-self.days // 28)
 
-    def _told(self, rows: DataFrame, months: list[str], n: int) -> DataFrame:
+    def _told(self, rows: DataFrame, first: date, last: date, n: int) -> DataFrame:
+        """Facts of the rows whose frames hold a day of ``rows``; daily rows are read of their own months and of those in which their frames begin."""
         schema = rows.schema
-        history = self.daily.read(schema, months)
+        had = self.daily.live()
+        own_months = [m for m in _months(first, 0, last, self._span) if m in had]
+        begin = [d - timedelta(self.days - 1) for m in own_months for d in (date.fromisoformat(m), date.fromisoformat(m) + timedelta(30))]
+        edge_months = {*own_months, *(d.replace(day=1).isoformat() for d in begin)}
         own = rows.groupBy(*self.keys).agg(F.min(self.day).alias("_from"), F.date_add(F.max(self.day), self.days - 1).alias("_to")).withColumnsRenamed({k: f"_k_{k}" for k in self.keys})
-        asked = history.join(own, [*W.same(history, own, self.keys), history[self.day] >= own["_from"], history[self.day] <= own["_to"]], "left_semi")
-        edges = self._marked(history)
-        whole = self.monthly.read(edges.select(*self.keys, "_lo", "_hi", "month_").schema, months)
+        near = self.daily.read(schema, own_months)
+        asked = near.join(own, [*W.same(near, own, self.keys), near[self.day] >= own["_from"], near[self.day] <= own["_to"]], "left_semi")
+        edges = self._marked(self.daily.read(schema, [*edge_months]))
+        whole = self.monthly.read(edges.select(*self.keys, "_lo", "_hi", "month_").schema, _months(first, -self._span, last, self._span))
         told = W.rolling_extremes_by_month(asked.select(*self.keys, self.day).distinct(), edges, whole, self.keys, self.day, self.days)
         return told.withColumns({"month_": F.trunc(self.day, "month"), "batch_": F.lit(n)})
 

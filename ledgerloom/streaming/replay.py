@@ -63,11 +63,12 @@ class Target:
     written last, so that all buckets of a micro-batch count at once or none.
     """
 
-    def __init__(self, spark: SparkSession, home: str, seed: DataFrame, keys: Sequence[str] | None, buckets: int):
+    def __init__(self, spark: SparkSession, home: str, seed: DataFrame, keys: Sequence[str] | None, buckets: int, before: Target | None = None):
         self.spark, self.home, self.schema, self.files = spark, home, seed.schema, _Files(spark)
         self.number = F.pmod(F.xxhash64(*keys), F.lit(buckets)) if keys else F.lit(0)
-        self._known: dict[int, dict[int, int]] = {}
-        if not self.commits():
+        #: Commits that have been read or written, by this or by the same table in the session before.
+        self._known: dict[int, dict[int, int]] = before._known if before else {}
+        if before is None and not self.commits():
             self.write(seed, [], -1)
 
     def commits(self) -> list[int]:
@@ -128,10 +129,10 @@ def fold(
     that runs again writes them again, so what reads them must take rows twice without harm.
     """
     spark = source.sparkSession
-    Target(spark, home, seed, keys, buckets)  # the seed, where there is no table yet
+    first = Target(spark, home, seed, keys, buckets)
 
     def each(batch: DataFrame, n: int) -> None:
-        own = Target(batch.sparkSession, home, seed, keys, buckets)
+        own = Target(batch.sparkSession, home, seed, keys, buckets, first)
         rows = scratch(prepare(batch), "prepared") if prepare else batch
         touched = sorted(r[0] for r in rows.select(own.number).distinct().collect())  # at most ``buckets`` numbers
         if touched:
