@@ -426,11 +426,11 @@ def scd2_merge_of_sparse_late_events(t):
 
 @query(_WHOLE_LOG)
 def scd2_merge_of_late_events(t):
-    """A first load and one batch that overlaps it and has late events of days that it knows, in blocks of days, give the history of all of them."""
-    e, day = sparse(t), F.to_date("ts")
+    """A first load and one batch that overlaps it and has late events of days that it knows give the history of all of them."""
+    e = sparse(t)
     late = (F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")) | (F.col("event_id") % 11 == 0)
-    held = K.clocked_history(e.filter(~late), _KEYS, "ts", _ORDER, _SPARSE_COLS, block=day)
-    return K.clocked_merge(held, e.filter(late | (F.col("event_id") % 13 == 0)), _KEYS, "ts", _ORDER, _SPARSE_COLS, block=day).select(*_COLS)
+    held = K.clocked_history(e.filter(~late), _KEYS, "ts", _ORDER, _SPARSE_COLS)
+    return K.clocked_merge(held, e.filter(late | (F.col("event_id") % 13 == 0)), _KEYS, "ts", _ORDER, _SPARSE_COLS).select(*_COLS)
 
 
 @query("""WITH f AS (SELECT user_id, event_id, event_type FROM events WHERE event_id % 4 = 0 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1),

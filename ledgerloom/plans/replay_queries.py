@@ -136,7 +136,10 @@ _DAILY = {
 
 @query(" UNION ALL ".join(f"SELECT '{n}' AS dataset, CAST(day AS VARCHAR) AS day, count(*) AS rows, count_if(day = first)::BIGINT AS keys_first_seen FROM (SELECT CAST({ts} AS DATE) AS day, min(CAST({ts} AS DATE)) OVER (PARTITION BY {key}) AS first FROM {t}) GROUP BY ALL" for n, (t, key, ts) in _DAILY.items()))
 def daily_change_files(w):
-    """Seven datasets as change files, a folder of text for each day of each, read back: rows of each day, and those of keys that come up that day for the first time."""
+    """Seven datasets as change files with their days, read back: rows of each day, and those of keys that come up that day for the first time.
+
+    The files lie in a folder per dataset and month, since a day of one dataset has few rows here; ``tables.write_change_files`` writes a folder a day.
+    """
     f, path = w.feed, tables.scratch_path(w.spark, "daily")
     shipped = f.trades.select(F.col("t_id").alias("hh_t_id"), "shipped")
     told = {
@@ -145,10 +148,10 @@ def daily_change_files(w):
     }
     out = []
     for name, (df, keys, ts) in told.items():
-        rows = df.withColumn("update_dt", F.to_date(ts))
+        rows = df.withColumn("update_dt", F.to_date(ts)).withColumn("month", F.trunc("update_dt", "month"))
         first = rows.groupBy(*keys).agg(F.min("update_dt").alias("_first"))
-        flagged = rows.join(first, keys).select(F.when(F.col("update_dt") == F.col("_first"), "I").otherwise("U").alias("cdc_flag"), *rows.columns)
-        tables.write_change_files(flagged, f"{path}/{name}", "update_dt")
-        back = files.read_delimited(w.spark, f"{path}/{name}", ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in flagged.schema) + ", _pdate date").filter("_pdate = update_dt")
+        flagged = rows.join(first, keys).withColumn("cdc_flag", F.when(F.col("update_dt") == F.col("_first"), "I").otherwise("U")).drop("_first")
+        tables.write_by_date(flagged, f"{path}/{name}", "month")
+        back = w.spark.read.parquet(f"{path}/{name}").filter("_pdate = month")
         out.append(back.groupBy(F.col("update_dt").alias("day")).agg(F.count("*").alias("rows"), F.count_if(F.col("cdc_flag") == "I").alias("keys_first_seen")).withColumn("dataset", F.lit(name)))
     return A.union(out).select("dataset", "day", "rows", "keys_first_seen")

@@ -18,10 +18,21 @@ from ledgerloom.sources import files, tables
 
 
 class Warehouse:
-    """Batch load; a table that others read is written once and read back."""
+    """Batch load; a table that others read is written once and read back.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.feed = spark, fd.Feeds(spark, sf_dir)
+    With ``hot_keys`` histories and balances are computed in blocks of a year, for feeds in which
+    one customer or account may hold a great part of all rows; the feeds are then read more often.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, hot_keys: bool = False):
+        self.spark, self.dir, self.feed, self.hot_keys = spark, sf_dir, fd.Feeds(spark, sf_dir), hot_keys
+
+    def _versions(self, log: DataFrame, key: str, cols: list[str]) -> DataFrame:
+        """A history from a sparse log of (key, ts, seq)."""
+        if not self.hot_keys:
+            return H.scd2_build(H.forward_fill(log, [key], ["ts", "seq"], cols), [key], "ts", ["seq"])
+        filled = self._kept(H.forward_fill_blocks(log, [key], ["ts", "seq"], cols, F.year("ts")), "filled")
+        return H.scd2_build(filled, [key], "ts", ["seq"], block=F.year("ts"))
 
     def _kept(self, df: DataFrame, name: str) -> DataFrame:
         return tables.scratch(df, name)
@@ -130,17 +141,17 @@ class Warehouse:
     def customers_told(self, log: DataFrame) -> DataFrame:
         """Versions from a log of actions."""
         log = C.blank_to_null(log).withColumn("status", C.map_codes("action", C.ACTION_STATUS)).withColumn("first_city", F.when(F.col("action") == "NEW", F.col("city")))
-        filled = H.forward_fill_blocks(log, ["customerid"], ["ts", "seq"], ["lastname", "tier", "gender", "city", "first_city", "nat_tx", "dob"], F.year("ts"))
-        dated = H.scd2_build(filled, ["customerid"], "ts", ["seq"], block=F.year("ts"))
+        dated = self._versions(log, "customerid", ["lastname", "tier", "gender", "city", "first_city", "nat_tx", "dob"])
         taxed = M.lookup(dated, self.tax_rate, "nat_tx", "tx_id", {"tx_name": "tax_name", "tx_rate": "tax_rate"})
         return taxed.select(C.version_key("effectivedate", "customerid").alias("sk_customerid"), "customerid", "lastname", "tier", C.gender("gender").alias("gender"), "dob", "city", "first_city", "tax_name", "tax_rate", "status", "effectivedate", "enddate", "iscurrent")
 
     @cached_property
     def dim_account(self) -> DataFrame:
-        filled = H.forward_fill_blocks(self.feed.account_log, ["accountid"], ["ts", "seq"], ["status", "brokerid"], F.year("ts"))
-        dated = H.scd2_build(filled, ["accountid"], "ts", ["seq"], block=F.year("ts")).drop("iscurrent", "ts", "seq")
+        dated = self._versions(self.feed.account_log, "accountid", ["status", "brokerid"]).drop("iscurrent", "ts", "seq")
         owners = self.dim_customer.select("customerid", "sk_customerid", "effectivedate", "enddate")
-        both = H.overlap_join(dated, owners, ["customerid"], how="left", bucket_days=3653)
+        if self.hot_keys:
+            dated = self._kept(dated, "dated")
+        both = H.overlap_join(dated, owners, ["customerid"], how="left", bucket_days=3653 if self.hot_keys else None)
         out = both.select(C.version_key("effectivedate", "accountid").alias("sk_accountid"), "accountid", "sk_customerid", "brokerid", C.map_codes("status", C.STATUS).alias("status"), "effectivedate", "enddate", (F.col("enddate") == H.open_end()).alias("iscurrent"))
         return self._kept(out, "dim_account")
 
@@ -165,7 +176,9 @@ class Warehouse:
 
     @cached_property
     def fact_cash(self) -> DataFrame:
-        daily = W.running_sum_blocks(W.daily_totals(self.feed.cash, ["accountid"], "ct_dts", "cents"), ["accountid"], ["day"], "total", F.year("day"), "cash")
+        totals = W.daily_totals(self.feed.cash, ["accountid"], "ct_dts", "cents")
+        by_day = (["accountid"], ["day"], "total")
+        daily = W.running_sum_blocks(totals, *by_day, F.year("day"), "cash") if self.hot_keys else W.running_sum(totals, *by_day, "cash")
         rows = H.as_of_join(daily, self.dim_account.select("accountid", "sk_accountid", "sk_customerid", "effectivedate", "enddate"), ["accountid"], "day")
         return rows.select("accountid", "sk_accountid", "sk_customerid", C.date_key("day").alias("sk_dateid"), "cash")
 

@@ -363,3 +363,25 @@ def wh_pool_permutation(w):
     sizes = c.groupBy("c_nationkey").agg(F.count("*").alias("size"), F.min("nth").alias("first"))
     dealt = c.join(sizes, "c_nationkey").withColumn("place", permuted(F.col("nth") - F.col("first"), "size", F.col("c_nationkey").cast("long")))
     return dealt.groupBy("c_nationkey").agg(F.count("*").alias("customers"), F.count_distinct("place").alias("places"), F.min("place").alias("lowest"), F.max("place").alias("highest"))
+
+
+def _hot(w: Warehouse) -> Warehouse:
+    return Warehouse(w.spark, w.dir, hot_keys=True)
+
+
+@query(SQL["wh_dim_customer"].removeprefix(_CTES))
+def wh_dim_customer_by_blocks(w):
+    """The same table with every customer's actions dealt over tasks by year."""
+    return _hot(w).dim_customer.drop("first_city", "dob")
+
+
+@query(SQL["wh_dim_account"].removeprefix(_CTES))
+def wh_dim_account_by_blocks(w):
+    """The same table with every account's actions dealt by year, and accounts and owners meeting in buckets of days."""
+    return _hot(w).dim_account
+
+
+@query(_CASH)
+def wh_fact_cash_by_blocks(w):
+    """The same fact with every account's days dealt by year."""
+    return _hot(w).fact_cash

@@ -176,3 +176,16 @@ def test_expectations_are_counted_by_the_job_that_writes(spark, home):
     assert len(jobs.getJobIdsForGroup("observed")) == 1
     assert sorted(counts) == sorted(tuple(r) for r in A.expect(df, rules).collect()) == [("even", 50, 50, 0), ("small", 40, 40, 20)]
     assert sorted(tuple(r) for r in seen.counters("t").collect()) == [("t", 1, "even", 0), ("t", 1, "small", 1), ("t", 2, "even", 1), ("t", 2, "small", 1)]
+
+
+def test_change_files_by_day(spark, home):
+    from ledgerloom.sources import tables
+
+    rows = [("I" if i % 3 else "U", i, dt.date(2024, 1, 1 + i % 4)) for i in range(90)] + [("U", 1000 + i, dt.date(2024, 1, 9)) for i in range(50)]
+    schema = "cdc_flag string, k long, update_dt date"
+    tables.write_change_files(spark.createDataFrame(rows, schema), f"{home}/daily", "update_dt", rows_a_file=20)
+    files_ = spark._jvm.java.io.File(home.removeprefix("file://") + "/daily")
+    assert sorted(n for n in files_.list() if n.startswith("_pdate=")) == [f"_pdate=2024-01-0{d}" for d in (1, 2, 3, 4, 9)]
+    back = files.read_delimited(spark, f"{home}/daily", f"{schema}, _pdate date")
+    assert sorted(map(tuple, back.filter("_pdate = update_dt").select("cdc_flag", "k", "update_dt").collect())) == sorted(rows)
+    assert len(back.filter("update_dt = '2024-01-09'").select("k").inputFiles()) > 5
