@@ -3,17 +3,16 @@
 Two permutations of the 32-bit universe suffice: the first scatters the shingles, the
 second, shifted circularly by k, gives coordinate k of the signature. Texts with equal
 word sequences are one class; only one document of a class goes on. Bands of equal
-coordinates make buckets. Large buckets are not paired out: each first links its members
-to its most central one (a star), and only where a bucket still holds several components
-are its members compared on the signatures, in groups of bounded size that share further
-coordinates, so that only likely links between different components become rows. Every
-link is confirmed on whole sets.
+coordinates make buckets. Buckets are not paired out: each first links its members to its
+most central one, its pivot. Buckets of one pivot are one group, so that a member stands in
+a group once however many buckets it shares. Where a group still holds several components its
+members are compared on whole sets, and a task tells no more links than it has members. Large groups
+are parted before that by what sets differ in from their pivot (``_parted``), without loss.
+Every link is confirmed on whole sets.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,11 +34,9 @@ _STRIDED = np.arange(COORDINATES).reshape(ROWS, BANDS).T.ravel()
 #: Coordinates that must agree before sets are compared. At similarity 0.8 about 51 of 64 agree
 #: (standard deviation 3.2); a pair at 0.8 falls below this with a probability of 5e-7, one at 0.85 of 3e-10.
 AGREE = 34
-#: Members of a bucket that are compared with each other in one task; larger buckets are parted
-#: by runs of TRIPLE further coordinates, LEVELS times at most. A pair at 0.8 that shares a bucket
-#: shares fewer than LEVELS of the runs with a probability of 1e-5, one at 0.85 of 4e-7.
-BLOCK, TRIPLE, LEVELS = 1024, 3, 2
-RUNS = COORDINATES // TRIPLE
+#: Members of a group, and shingles of these, that make a block; a task compares two blocks. Groups
+#: of more than PARTED blocks of members are parted, LEVELS times at most.
+BLOCK, VOLUME, PARTED, LEVELS = 128, 1 << 21, 8, 1
 _M32 = np.uint32
 
 
@@ -149,68 +146,117 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 _LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
-def _block_links(key, table, percent):
-    """Likely links between different components within one group, or one pair of blocks of a group.
+class _Common:
+    """Numbers of common values of one row of a list column with later rows."""
+
+    def __init__(self, lists: pa.ChunkedArray):
+        lists = lists.combine_chunks()
+        self.first = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
+        self.codes = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True)[1]
+        self.mark = np.zeros(len(self.codes), np.uint8)
+
+    def __call__(self, i: int, later: int) -> np.ndarray:
+        own = self.codes[self.first[i] : self.first[i + 1]]
+        self.mark[own] = 1
+        common = np.add.reduceat(self.mark[self.codes[self.first[later] :]], self.first[later:-1] - self.first[later], dtype=np.int64)
+        self.mark[own] = 0
+        return common
 
-    What a set shares with any other is at most what it doesn't have alone (``alone``
-    shingles occur in no other set here); pairs that can't reach the threshold by that bound
-    are left out, without loss. A pair is told in the first band and runs that it shares, not in every one.
+
+def _joining(table: pa.Table, left: int, each: bool, lists: str, linked) -> pa.Table:
+    """Links that join components: of each of the first ``left`` rows with all rows behind it (``each``) or behind the first ``left``.
+
+    ``linked(i, later, common)`` tells which rows from ``later`` on are linked with row i. No list is empty.
     """
+    ids, comp = table.column("id").to_numpy(), table.column("component").to_numpy().copy()
+    count, a, b = _Common(table.column(lists)), [], []
+    for i in range(left):
+        later = i + 1 if each else left
+        if later < len(ids) and (comp[later:] != comp[i]).any():
+            for j in later + np.flatnonzero(linked(i, later, count(i, later)) & (comp[later:] != comp[i])):
+                if comp[i] != comp[j]:
+                    a.append(ids[i])
+                    b.append(ids[j])
+                    comp[comp == comp[j]] = comp[i]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _block_links(key, table, percent):
+    """Links between different components within one block, or between two."""
     low, high = key[1].as_py(), key[2].as_py()
-    bucket, path = table.column("key")[0].as_py(), table.column("path")[0].as_py()
-    ids, comp, block, size, alone = (table.column(c).to_numpy() for c in ("id", "component", "block", "size", "alone"))
-    most = size - alone
-    sig = np.array(table.column("sig").combine_chunks().flatten()).reshape(len(ids), COORDINATES)
-    keys = np.array(table.column("keys").combine_chunks().flatten()).reshape(len(ids), -1)
-    band = int(np.flatnonzero(keys[0] == bucket)[0])
-    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-    a_out, b_out = [], []
-    for i in left:
-        common = np.minimum(most[right], most[i])
-        can = 100 * common >= percent * (size[right] + size[i] - common)
-        j = right[can & (comp[right] != comp[i]) & ((low != high) | (ids[right] > ids[i]))]
-        if len(j):
-            same = sig[j] == sig[i]
-            told = (same.sum(axis=1) >= AGREE) & ~(keys[j, :band] == keys[i, :band]).any(axis=1)
-            if path:
-                runs = same[:, : RUNS * TRIPLE].reshape(len(j), RUNS, TRIPLE).all(axis=2)
-                told &= runs[:, : path[-1] + 1].sum(axis=1) == len(path)
-            j = j[told]
-            a_out.append(np.full(len(j), ids[i]))
-            b_out.append(ids[j])
-    flat = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
-    return pa.table({"a": flat(a_out), "b": flat(b_out)})
-
-
-def _likely(rest: DataFrame, candidates: DataFrame, bounds: DataFrame, percent: int, levels: int = LEVELS) -> DataFrame:
-    """Likely links (a, b) within the buckets of ``rest`` (key, id, component).
-
-    A bucket of more than BLOCK members is parted again by runs of further coordinates, so
-    that rows grow with its members and not with their square; what is as large after ``levels``
-    partings is compared block against block.
-    """
-    rest = rest.select("key", F.col("key").alias("group"), F.array().cast("array<int>").alias("path"), "id", "component")
-    done = []
-    for level in range(levels + 1):
-        rest = shared.materialize(rest, "rest")
-        sizes = rest.groupBy("group").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("n > 1 AND lo <> hi").select("group", "n")
-        sizes = shared.materialize(sizes, "sizes")
-        rest = shared.salted_join(rest, sizes, ["group"], shared.hot_keys(sizes, ["group"], "n"), F.col("id"))
-        if level == levels or sizes.filter(F.col("n") > BLOCK).isEmpty():
-            done.append(rest)
-            break
-        done.append(rest.filter(F.col("n") <= BLOCK))
-        run = lambda t: F.struct(t.alias("t"), F.xxhash64("group", t, *[F.element_at("sig", TRIPLE * t + k + 1) for k in range(TRIPLE)]).alias("group"))
-        split = rest.filter((F.col("n") > BLOCK) & (F.coalesce(F.try_element_at("path", F.lit(-1)), F.lit(-1)) < RUNS - 1)).join(candidates.select("id", "sig"), "id")
-        later = F.sequence(F.coalesce(F.try_element_at("path", F.lit(-1)) + 1, F.lit(0)), F.lit(RUNS - 1))
-        split = split.withColumn("run", F.explode(F.transform(later, run)))
-        rest = split.select("key", F.col("run.group").alias("group"), F.concat("path", F.array("run.t")).alias("path"), "id", "component")
-    rest = done[0] if len(done) == 1 else shared.materialize(reduce(DataFrame.union, done), "rest")
-    rest = rest.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    table = table.sort_by([("block", "ascending"), ("id", "ascending")])
+    size = table.column("hashes").combine_chunks().value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    linked = lambda i, later, common: 100 * common >= percent * (size[later:] + size[i] - common)
+    left = len(size) if low == high else int((table.column("block").to_numpy() == low).sum())
+    return _joining(table, left, low == high, "hashes", linked)
+
+
+def _in_blocks(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) within the groups of ``rest`` (group, id, component, size; n, volume of the group), block by block."""
+    rest = rest.withColumn("blocks", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("volume") / VOLUME)).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.select("key", "group", "path", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id", "component", "block")
-    rest = rest.join(bounds, "id").join(candidates.select("id", "sig", "keys"), "id")
-    return rest.groupBy("group", "low", "high").applyInArrow(lambda key, table: _block_links(key, table, percent), _LINK).distinct()
+    rest = rest.select("group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id", "component", "block")
+    return rest.join(sets, "id").groupBy("group", "low", "high").applyInArrow(lambda key, table: _block_links(key, table, percent), _LINK)
+
+
+def _part_links(key, table, percent):
+    """Links between probes and targets of one part, or of one block of either."""
+    table = table.sort_by([("probe", "descending"), ("id", "ascending")])
+    excess = table.column("excess").to_numpy()
+    linked = lambda i, later, common: 2 * (100 + percent) * common >= excess[later:] + excess[i]
+    return _joining(table, int(table.column("probe").to_numpy(zero_copy_only=False).sum()), False, "own", linked)
+
+
+def _parted(rest: DataFrame, hot: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) within large groups of ``rest`` (group, id, component), from what sets differ in from their pivot.
+
+    Let d(i) be the shingles that only one of the set i and the pivot p has, and K, L = 100 +
+    percent, 100 - percent. Sets i and j differ in |d(i)| + |d(j)| - 2 |d(i) & d(j)| shingles
+    and are linked where K times that is at most L (|i| + |j|), that is where 2 K |d(i) & d(j)| is at
+    least their excesses' sum; the excess of i is K |d(i)| - L |i|. It is more than L |p| for sets that
+    aren't linked with the pivot and at least -L |p| for all. Members linked with the pivot are
+    in one component, so one of a pair, the probe, may be taken as not linked with it. Either side
+    therefore knows how many shingles of d it must share at least, and the first one that
+    both share, the rarest of the group first, stands no later in either d than that leaves
+    room for. A part is made of the probes and targets that have a shingle so early. All of it is exact.
+    """
+    k, l = 100 + percent, 100 - percent  # noqa: E741
+    pivots = sets.withColumnRenamed("id", "group").join(rest.select("group").distinct(), "group", "left_semi").groupBy("group").agg(F.min("hashes").alias("pivot"))  # one, of ids that repeat too
+    both = shared.salted_join(rest.select("group", "id", "component"), pivots, ["group"], hot, F.col("id")).join(sets, "id")
+    told = both.select("group", "set", "id", "component", F.concat(F.array_except("hashes", "pivot"), F.array_except("pivot", "hashes")).alias("d"), F.size("hashes").cast("long").alias("size"), (l * F.size("pivot")).cast("long").alias("edge"))
+    told = shared.materialize(told.withColumn("excess", k * F.size("d") - l * F.col("size")).drop("size"), "differences")
+    at_pivot = told.filter("excess <= edge").select(F.col("id").alias("a"), F.col("group").alias("b"))
+    every = told.select("group", "set", F.explode("d").alias("h"))
+    usual = shared.materialize(every.groupBy("group", "h").agg(F.count("*").alias("n")).filter("n > 1"), "usual")
+    ordered = shared.salted_join(every, usual, ["group", "h"], shared.hot_keys(usual, ["group", "h"], "n"), F.col("set")).groupBy("group", "set").agg(F.array_sort(F.collect_list(F.struct("n", "h"))).alias("own"))
+    own = shared.materialize(told.drop("d").join(ordered.withColumn("own", F.col("own.h")), ["group", "set"]), "own")
+    early = lambda least: F.explode(F.slice("own", F.lit(1), F.greatest(F.lit(0), F.size("own") + 1 - F.greatest(F.lit(1), F.ceil(least / (2 * k)))).cast("int"))).alias("h")
+    targets = own.select("group", "set", "component", F.lit(False).alias("probe"), early(F.col("excess") + F.col("edge") + 1))
+    probes = own.filter("excess > edge").select("group", "set", "component", F.lit(True).alias("probe"), early(F.col("excess") - F.col("edge")))
+    rows = shared.materialize(targets.union(probes), "parts")
+    parts = rows.groupBy("group", "h").agg(F.count_if("probe").alias("probes"), F.count_if(~F.col("probe")).alias("targets"), F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    parts = shared.materialize(parts.filter("probes > 0 AND targets > 0 AND lo <> hi").select("group", "h", "probes", "targets", "n"), "sizes")
+    rows = shared.salted_join(rows.drop("component"), parts, ["group", "h"], shared.hot_keys(parts, ["group", "h"], "n"), F.col("set"))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("set"), F.when(F.col("probe"), blocks("probes")).otherwise(blocks("targets"))).cast("int")
+    rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("probe"), blocks("targets")).otherwise(blocks("probes")) - 1)))
+    at = lambda own, other: F.when(F.col("probe"), F.col(own)).otherwise(F.col(other))
+    rows = rows.select("group", "h", at("block", "other").alias("low"), at("other", "block").alias("high"), "set", "probe").join(own.select("group", "set", "id", "component", "excess", "own"), ["group", "set"])
+    return rows.groupBy("group", "h", "low", "high").applyInArrow(lambda key, table: _part_links(key, table, percent), _LINK).union(at_pivot)
+
+
+def _joined(rest: DataFrame, sets: DataFrame, percent: int, levels: int = LEVELS) -> DataFrame:
+    """Links (u, v) between different components within the groups of ``rest`` (group, id, component, size)."""
+    rest = shared.materialize(rest, "rest")
+    sizes = rest.groupBy("group").agg(F.count("*").alias("n"), F.sum("size").alias("volume"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("n > 1 AND lo <> hi").select("group", "n", "volume")
+    sizes = shared.materialize(sizes, "sizes")
+    hot = shared.hot_keys(sizes, ["group"], "n")
+    large = F.col("n") > BLOCK * PARTED
+    few, many = (sizes, sizes.limit(0)) if levels < 1 else (sizes.filter(~large), sizes.filter(large))
+    links = _in_blocks(shared.salted_join(rest, few, ["group"], hot, F.col("id")), sets, percent)
+    if not many.isEmpty():
+        links = links.union(_parted(shared.salted_join(rest, many, ["group"], hot, F.col("id")), hot, sets, percent))
+    return shared.materialize(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "joined")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, levels: int = LEVELS) -> DataFrame:
@@ -221,8 +267,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, levels: int = LEVEL
     empty text has none and is linked with nothing. Rows that repeat an id are one node:
     a link of any of them holds for all. A null id is never linked; its component is null
     and it is kept. Very long texts are read whole, in one chunk each. An empty table gives no rows. Columns other than doc_id and text are
-    not looked at. With ``levels=0`` large buckets aren't parted but compared block by block,
-    exactly, at the square of their size.
+    not looked at. With ``levels=0`` large groups aren't parted but compared block by block,
+    exactly as well, at the square of their size.
     """
     if not 80 <= percent <= 100:
         raise ValueError(f"percent is {percent}, not between 80 and 100")
@@ -245,24 +291,24 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, levels: int = LEVEL
     # a star in each bucket, around the member that shares most
     weighed = members.join(central, "id")
     pivots = weighed.groupBy("key").agg((-F.max(F.struct("weight", -F.col("id")))["col2"]).alias("b"))
-    star = shared.salted_join(members, pivots, ["key"], hot, F.col("id")).filter("id <> b").select(F.col("id").alias("a"), "b").distinct()
-    star = shared.materialize(_close(star, candidates), "star")
+    groups = shared.salted_join(members, pivots, ["key"], hot, F.col("id")).select(F.col("b").alias("group"), "id").distinct()
+    groups = shared.materialize(groups, "groups")
+    star = _close(groups.filter("id <> group").select(F.col("id").alias("a"), F.col("group").alias("b")), candidates)
     wanted = slim.join(candidates.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    sets = shared.materialize(bw.annotate(wanted, _sets, "hashes array<long>", ("doc_id",)).select(F.col("row.doc_id").alias("id"), "hashes"), "sets")
+    sets = shared.materialize(bw.annotate(wanted, _sets, "hashes array<long>", ("doc_id",)).select(F.col("row.doc_id").alias("id"), F.monotonically_increasing_id().alias("set"), "hashes"), "sets")
     links = shared.materialize(_confirmed(star, sets, percent), "links")
     first = components(links)
 
-    # buckets that still hold several components
-    labelled = members.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
-    rest = shared.salted_join(labelled, mixed, ["key"], hot, F.col("id"))
+    # groups that still hold several components
+    labelled = groups.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = labelled.groupBy("group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).filter("lo <> hi").select("group", "n")
+    mixed = shared.materialize(mixed, "mixed")
+    rest = shared.salted_join(labelled, mixed.select("group"), ["group"], shared.hot_keys(mixed, ["group"], "n"), F.col("id"))
     here = sets.join(rest.select("id").distinct(), "id").select("id", F.size("hashes").alias("size"), "hashes")
     single = here.select("id", F.explode("hashes").alias("h")).groupBy("h").agg(F.count("*").alias("df"), F.min("id").alias("id")).filter("df = 1").groupBy("id").agg(F.count("*").alias("alone"))
-    bounds = here.select("id", "size").join(single, "id", "left").withColumn("alone", F.coalesce("alone", F.lit(0)).cast("int")).filter(100 * (F.col("size") - F.col("alone")) >= percent * F.col("size"))
-    likely = _likely(rest.join(bounds.select("id"), "id").select("key", "id", "component"), candidates, bounds, percent, levels)
-    tried = star.select("a", "b").union(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = shared.materialize(likely.join(tried, ["a", "b"], "left_anti"), "likely")
-    links = links.union(_confirmed(more, sets, percent))
+    bounds = here.groupBy("id").agg(F.sum("size").alias("size"), F.count("*").alias("texts")).join(single, "id", "left")
+    bounds = bounds.filter((F.col("texts") > 1) | (100 * (F.col("size") - F.coalesce("alone", F.lit(0))) >= percent * F.col("size")))  # a set that shares too little with all others is linked with none
+    links = links.union(_joined(rest.join(bounds.select("id", "size"), "id").select("group", "id", "component", "size"), sets, percent, levels))
     labels = components(links)
 
     placed = of_doc.join(labels, of_doc["rep"] == labels["id"], "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
