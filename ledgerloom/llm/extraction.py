@@ -32,8 +32,6 @@ from ledgerloom.llm import shared
 
 #: A text is template where it stands in this share of the different pages that have its node, of at least so many.
 CONSTANT, SUPPORT = 0.9, 5
-#: Usual layouts that a host has references for; pages of others are aligned with the most usual one.
-LAYOUTS = 8
 #: A sibling is cut if more of its text is in links than this, or if it has no paragraph of its own and holds less running text than that part of the article's branch.
 LINKED, SMALL = 0.5, 0.25
 #: Variance of a node's number of blocks, by its mean, up to which the number counts as the same everywhere.
@@ -271,24 +269,23 @@ def host_of(url) -> F.Column:
 
 
 def _outlines(pages: DataFrame) -> DataFrame:
-    """host, layout, texts, digest, outline of the different pages of each host: copies count once."""
+    """host, layout, bare, texts, digest, outline of the different pages of each host: copies count once."""
 
     def tell(html: pa.Array) -> list:
         read = [Page(x.as_py()) for x in html]
-        return [[p.layout for p in read], [len(p.texts) for p in read], [p.told() for p in read]]
+        return [[p.layout for p in read], [p.bare for p in read], [len(p.texts) for p in read], [p.told() for p in read]]
 
-    told = pages.select("host", F.sha2(F.coalesce("html", F.lit("")), 256).alias("digest"), bw.told_by(tell, "layout string, texts long, outline string", F.col("html")).alias("told"))
+    told = pages.select("host", F.sha2(F.coalesce("html", F.lit("")), 256).alias("digest"), bw.told_by(tell, "layout string, bare boolean, texts long, outline string", F.col("html")).alias("told"))
     return told.select("host", "digest", "told.*").dropDuplicates(["host", "digest"])
 
 
 def _references(outlines: DataFrame) -> DataFrame:
-    """host, layout, rank, pages, outline of the reference page, for the usual layouts of each host.
+    """host, layout, pages, outline of the reference page, for every layout of a host that SUPPORT different pages have.
 
     Of a layout's pages the one with most texts (then the greatest digest) is the reference.
     """
     layouts = outlines.groupBy("host", "layout").agg(F.count("*").alias("pages"), F.max(F.struct("texts", "digest", "outline")).alias("first")).filter(F.col("pages") >= SUPPORT)
-    ranked = layouts.withColumn("rank", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("pages"), "layout"))).filter(F.col("rank") <= LAYOUTS)
-    return ranked.select("host", "layout", "rank", "pages", F.col("first.outline").alias("outline"))
+    return layouts.select("host", "layout", "pages", F.col("first.outline").alias("outline"))
 
 
 _STATS = "host string, layout string, path string, hash string, chars long, links long, blocks long"
@@ -322,12 +319,21 @@ def _statistics(outlines: DataFrame, references: DataFrame) -> DataFrame:
     return counted.groupBy("host", "layout", "path", "hash").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ("chars", "links", "blocks")], F.sum(F.col("blocks") * F.col("blocks")).alias("squares"))
 
 
-def _with_wrappers(pages: DataFrame, wrappers: DataFrame, fields: list[str]) -> DataFrame:
-    """``pages`` with the wrappers of their host's usual layouts (LAYOUTS at most), the most usual one first; hosts with very many pages are dealt over salts."""
-    of_host = wrappers.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("rank", *fields))).alias("wrappers"), F.sum("pages").alias("pages"))
-    hot = shared.hot_keys(of_host, ["host"], "pages")
-    both = shared.salted_join(pages, of_host.select("host", "wrappers"), ["host"], hot, F.col("html"), "left")
-    return both.withColumn("wrappers", F.coalesce("wrappers", F.array().cast(of_host.schema["wrappers"].dataType)))
+def _with_wrappers(pages: DataFrame, outlines: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """``pages`` with outline and template of their layout's wrapper, bare pages of unusual layouts with those of the host's most usual one; nulls where there is none.
+
+    A layout's pages, and a host's layouts, are dealt over salts where they are very many.
+    """
+    layouts = outlines.groupBy("host", "layout").agg(F.first("bare").alias("bare"), F.count("*").alias("n"))  # a layout tells whether it is bare
+    layouts = shared.materialize(layouts.join(wrappers.select("host", "layout", "pages"), ["host", "layout"], "left"), "layouts")
+    first = wrappers.groupBy("host").agg(F.min(F.struct(-F.col("pages"), F.col("layout")))["layout"].alias("layout")).join(wrappers, ["host", "layout"]).select("host", "outline", "template")
+    rare = layouts.filter("pages IS NULL AND bare").select("host", "layout")
+    fewest = shared.materialize(rare.groupBy("host").agg(F.count("*").alias("n")), "rare")
+    lent = shared.salted_join(rare, first, ["host"], shared.hot_keys(fewest, ["host"], "n"), F.col("layout"))
+    every = wrappers.select("host", "layout", "outline", "template").union(lent.select("host", "layout", "outline", "template"))
+    shared.bounded_batches(pages.sparkSession)
+    told = pages.withColumn("layout", bw.told_by(lambda html: [[Page(x.as_py()).layout for x in html]], "layout string", F.col("html"))["layout"])
+    return shared.salted_join(told, every, ["host", "layout"], shared.hot_keys(layouts, ["host", "layout"], "n"), F.col("html"), "left")
 
 
 #: Kinds of blocks that a sibling with words of its own has, however few these are.
@@ -370,20 +376,20 @@ def _template(reference: list, at: dict[str, dict], same: dict[tuple[str, str],
 
 
 def _wrappers(references: DataFrame, statistics: DataFrame) -> DataFrame:
-    """host, layout, rank, pages, outline and template (JSON) of each usual layout."""
+    """host, layout, pages, outline and template (JSON) of each usual layout."""
     seen = statistics.groupBy("host", "layout").agg(F.collect_list(F.struct("path", "hash", "n", "chars", "links", "blocks", "squares")).alias("seen"))  # nodes and texts of one page
 
     def tell(batches):
         for b in batches:
             made = []
-            for outline, rows in zip(*(b.column(i).to_pylist() for i in (4, 5)), strict=True):
+            for outline, rows in zip(*(b.column(i).to_pylist() for i in (3, 4)), strict=True):
                 at = {r["path"]: r for r in rows or () if r["hash"] is None}
                 same = {(r["path"], r["hash"]): r["n"] for r in rows or () if r["hash"] is not None}
                 made.append(json.dumps(_template(json.loads(outline), at, same)))
-            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(made, pa.string())], names=["host", "layout", "rank", "pages", "outline", "template"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(made, pa.string())], names=["host", "layout", "pages", "outline", "template"])
 
-    joined = references.join(seen, ["host", "layout"], "left").select("host", "layout", "rank", "pages", "outline", "seen")
-    return joined.mapInArrow(tell, "host string, layout string, rank int, pages long, outline string, template string")
+    joined = references.join(seen, ["host", "layout"], "left").select("host", "layout", "pages", "outline", "seen")
+    return joined.mapInArrow(tell, "host string, layout string, pages long, outline string, template string")
 
 
 def extract(pages: DataFrame, induce: bool = True) -> DataFrame:
@@ -401,30 +407,29 @@ def extract(pages: DataFrame, induce: bool = True) -> DataFrame:
         outlines = shared.materialize(_outlines(slim), "outlines")
         references = shared.materialize(_references(outlines), "references")
         wrappers = shared.materialize(_wrappers(references, _statistics(outlines, references)), "wrappers")
-        slim = _with_wrappers(slim, wrappers, ["layout", "outline", "template"])
+        slim = _with_wrappers(slim, outlines, wrappers)
     else:
-        slim = slim.withColumn("wrappers", F.array().cast("array<struct<rank:int,layout:string,outline:string,template:string>>"))
+        slim = slim.withColumns({"outline": F.lit(None).cast("string"), "template": F.lit(None).cast("string")})
 
     def tell(batches):
         for b in batches:
             read, said = {}, []
-            for host, html, wrappers_ in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-                if host not in read:
-                    read[host] = {w["layout"]: (json.loads(w["outline"]), json.loads(w["template"])) for w in wrappers_}
-                said.append(_said(Page(html), read[host]))
+            for html, outline, template in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+                if outline is not None and (outline, template) not in read:
+                    read[outline, template] = json.loads(outline), json.loads(template)
+                said.append(_said(Page(html), read.get((outline, template))))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([t for t, _ in said], pa.string()), pa.array([len(t) for t, _ in said], pa.int64()), pa.array([n for _, n in said], pa.int64())], names=["page_id", "url", "text", "n_chars", "n_template"])
 
     schema = f"page_id {slim.schema['page_id'].dataType.simpleString()}, url {slim.schema['url'].dataType.simpleString()}, text string, n_chars long, n_template long"
-    return slim.select("page_id", "url", "host", "html", "wrappers").mapInArrow(tell, schema)
+    return slim.select("page_id", "url", "html", "outline", "template").mapInArrow(tell, schema)
 
 
-def _said(page: Page, wrappers: dict[str, tuple[list, dict]]) -> tuple[str, int]:
+def _said(page: Page, wrapper: tuple[list, dict] | None) -> tuple[str, int]:
     """The page's text without its wrapper, and the number of texts that are the wrapper's.
 
     A page of an unusual layout is aligned with the host's most usual one, but what it tells
     itself goes before that: of a told article the wrapper takes nothing.
     """
-    wrapper = wrappers.get(page.layout) or (next(iter(wrappers.values()), None) if page.bare else None)
     gone: set[int] = set()
     if wrapper:
         reference, template = wrapper
@@ -444,7 +449,7 @@ def _said(page: Page, wrappers: dict[str, tuple[list, dict]]) -> tuple[str, int]
 
 def _text(html: str | None) -> str:
     """The text of a page of an unknown host."""
-    return _said(Page(html), {})[0]
+    return _said(Page(html), None)[0]
 
 
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
