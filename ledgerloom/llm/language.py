@@ -9,6 +9,8 @@ haven't seen and from mixes of them.
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,6 +30,8 @@ PER_LANGUAGE = 600
 UNUSUAL = 0.01
 #: Texts of two languages, half and half, that the training looks at for each pair of languages.
 MIXES = 50
+#: Training rows that are taken to 64 bits at a time.
+FITTED_TOGETHER = 256
 UNKNOWN = "und"
 #: ASCII letters in lower case and bytes of other alphabets stay; all else is a gap.
 _FOLD = np.where(bw.ALNUM, bw.LOWER, 32).astype(np.uint8)
@@ -70,6 +74,15 @@ def codewords(n: int) -> np.ndarray:
     return (best if best is not None else code).astype(np.float32)
 
 
+def _wide(x: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Which rows, and these with a constant 1 behind them in 64 bits, some at a time."""
+    for at in range(0, len(x), FITTED_TOGETHER):
+        part = slice(at, at + FITTED_TOGETHER)
+        own = np.ones((len(x[part]), x.shape[1] + 1))
+        own[:, :-1] = x[part]
+        yield part, own
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -86,11 +99,18 @@ class Model:
             return cls([])
         code = codewords(len(names))
         bits = code[[names.index(v) for v in languages]]
-        own = np.hstack([x, np.ones((len(x), 1), np.float32)]).astype(np.float64)
         # each language counts alike
-        each = np.array([1 / languages.count(v) for v in languages])[:, None] * len(languages) / len(names)
-        w = np.linalg.solve(own.T @ (own * each) + 0.02 * np.eye(own.shape[1]), own.T @ (bits * each))
-        right = np.clip(((own @ w) * bits > 0).mean(0), 0.5, 0.999)
+        count = {v: languages.count(v) for v in names}
+        each = np.array([1 / count[v] for v in languages])[:, None] * len(languages) / len(names)
+        n = x.shape[1] + 1
+        square, told = np.zeros((n, n)), np.zeros((n, code.shape[1]))
+        for part, own in _wide(x):
+            square += own.T @ (own * each[part])
+            told += own.T @ (bits[part] * each[part])
+        square[np.diag_indices(n)] += 0.02
+        w = np.linalg.solve(square, told)
+        del square
+        right = np.clip(sum(((own @ w) * bits[part] > 0).sum(0) for part, own in _wide(x)) / len(x), 0.5, 0.999)
         trust = np.log(right / (1 - right))
         trust = trust / trust.sum() if trust.sum() > 0 else np.full(len(trust), 1 / len(trust))
         return cls(names, code, w.astype(np.float32), trust.astype(np.float32))
@@ -130,11 +150,10 @@ def train(x: np.ndarray, languages: list[str]) -> Model:
     that languages far apart flag nothing without need.
     """
     model, clean, mixed = Model.fit(x, languages), [], []
-    halves = [np.arange(len(x)) % 2 == k for k in (0, 1)]
+    halves = [slice(k, None, 2) for k in (0, 1)]  # views, not copies
     rng = np.random.default_rng(8)
     for own, other in (halves, halves[::-1]):
-        names = [v for v, o in zip(languages, own, strict=True) if o]
-        half = Model.fit(x[own], names)
+        half = Model.fit(x[own], languages[own])
         if half.languages != model.languages or len(half.languages) < 2:
             return model
         away = np.array(languages)[other]
@@ -155,26 +174,40 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Learn from a bounded sample of the labelled rows that aren't held out (see ``PER_LANGUAGE``)."""
+def examples(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame | None:
+    """doc_id, lang, x (packed trigrams) of a bounded sample of the labelled rows that aren't held out (see ``PER_LANGUAGE``); None where there are none.
+
+    Most of a row's trigrams are zeros; packed, it takes the driver, in each of the forms it has there, a fraction of its numbers.
+    """
     rows = docs.filter(docs["lang"].isNotNull() & docs["text"].isNotNull() & docs["doc_id"].isNotNull() & ~held_out(docs["doc_id"]))
     rows = rows.select(docs["doc_id"], docs["text"].cast("string").alias("text"), docs["lang"].cast("string").alias("lang"))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
-        return Model([])
+        return None
     share = F.create_map(*[F.lit(x) for v, n in counts.items() for x in (v, min(1.0, per_language / n))])
     sample = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
 
     def features(batches):
         for b in batches:
             x = trigrams(b.column(1))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "lang", "x"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([zlib.compress(r, 1) for r in x], pa.binary())], names=["doc_id", "lang", "x"])
 
-    # in a fixed order, so that a run gives the same model
-    got = sorted(sample.select(F.col("doc_id").cast("string"), "text", "lang").mapInArrow(features, "doc_id string, lang string, x binary").collect())
-    if not got:
-        return Model([])
-    return train(np.stack([np.frombuffer(r["x"], np.float32) for r in got]), [r["lang"] for r in got])
+    return sample.select(F.col("doc_id").cast("string"), "text", "lang").mapInArrow(features, "doc_id string, lang string, x binary")
+
+
+def unpacked(rows: list[bytes]) -> np.ndarray:
+    """The trigrams that ``examples`` packs."""
+    x = np.empty((len(rows), BUCKETS), np.float32)
+    for i, r in enumerate(rows):
+        x[i] = np.frombuffer(zlib.decompress(r), np.float32)
+    return x
+
+
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
+    """Learn from ``examples``."""
+    sample = examples(docs, per_language)
+    got = sorted(sample.collect()) if sample is not None else []  # in a fixed order, so that a run gives the same model
+    return train(unpacked([r["x"] for r in got]), [r["lang"] for r in got]) if got else Model([])
 
 
 def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] | None = None) -> DataFrame:
