@@ -21,6 +21,7 @@ import hashlib
 import json
 import re
 from collections import defaultdict
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -78,7 +79,7 @@ def _own_words(n: ht.Node) -> bool:
 
 
 def _is_part(n: ht.Node) -> bool:
-    return n.tag in ("article", "main") or " main " in f" {n.marks} "
+    return n.tag in ("article", "main") or "main" in n.marks and " main " in f" {n.marks} "
 
 
 def noise(n: ht.Node) -> bool:
@@ -132,7 +133,7 @@ _UNSEEN = frozenset("script style noscript template head title iframe svg canvas
 
 
 class Page:
-    """A page's texts in page order and its outline: nodes [kind, numbers of own texts, children, kinds of blocks below]."""
+    """A page's texts in page order and, where it is asked for, its outline: nodes [kind, numbers of own texts, children, kinds of blocks below]."""
 
     def __init__(self, html: str | None):
         page = ht.parse(html or "", lambda n: _is_part(n) and not _marked(n), _NOISE - {"form"})
@@ -141,25 +142,35 @@ class Page:
         # inline noise isn't told apart from the text around it, so it goes at once
         said, found = ht.blocks(page, lambda n: n.tag in _UNSEEN or n.tag not in ht.BLOCK and id(n) not in parts and noise(n), lambda n: id(n) in parts)
         inside, noisy = [False] * len(found), [False] * len(found)
-        place, depth = [0] * len(found), [0] * len(found)
-        kids, own, below = [[] for _ in found], [[] for _ in found], [0] * len(found)
         for i, (parent, n) in enumerate(found[1:], 1):
             inside[i] = inside[parent] or id(n) in parts
             header = n.tag == "header" if self.bare else skip(n)  # where no article is told a header is the site's
             noisy[i] = noisy[parent] or (noise(n) or header) and not (inside[parent] and _own_words(n))
+        #: Of each text whether it is the article's as far as the page itself tells.
+        self.article = [inside[h] and not noisy[h] for h, _, _ in said]
+        self.noise = [noisy[h] for h, _, _ in said]
+        self.texts, self.links = [t for _, t, _ in said], [n for _, _, n in said]
+        self._holders, self._found = [h for h, _, _ in said], found
+
+    @cached_property
+    def hashes(self) -> list[str]:
+        return [_hash(t) for t in self.texts]
+
+    @cached_property
+    def outline(self) -> list:
+        found = self._found
+        place, depth = [0] * len(found), [0] * len(found)
+        kids, own, below = [[] for _ in found], [[] for _ in found], [0] * len(found)
+        for i, (parent, _) in enumerate(found[1:], 1):
             up = place[parent]
             if depth[up] < DEPTH:
                 place[i], depth[i] = i, depth[up] + 1
                 kids[up].append(i)
             else:  # deeper blocks belong to the last node that is told apart
                 place[i] = up
-        #: Of each text whether it is the article's as far as the page itself tells.
-        self.article = [inside[h] and not noisy[h] for h, _, _ in said]
-        self.noise = [noisy[h] for h, _, _ in said]
-        self.texts, self.links, self.hashes = [t for _, t, _ in said], [n for _, _, n in said], [_hash(t) for _, t, _ in said]
         for i in range(len(found) - 1, 0, -1):
             below[found[i][0]] |= below[i] | _BIT.get(found[i][1].tag, 0)
-        for t, (holder, _, _) in enumerate(said):
+        for t, holder in enumerate(self._holders):
             own[place[holder]].append(t)
         kind = [f"{n.tag} {n.marks}" for _, n in found]
 
@@ -180,20 +191,27 @@ class Page:
                         runs.append([c])
             return [kind[members[0]], [t for m in members for t in own[m]], [build(r) for r in runs], below[members[0]]]
 
-        self.outline = build([0])
+        return build([0])
+
+    @property
+    def layout(self) -> str:
         wide = self.outline  # the first node with several children
         while len(wide[2]) == 1:
             wide = wide[2][0]
-        self.layout = _hash(f"{self.bare} {wide[0]}>{' '.join(c[0] for c in wide[2])}")
+        return _hash(f"{self.bare} {wide[0]}>{' '.join(c[0] for c in wide[2])}")
 
     def told(self) -> str:
-        """The outline without the page: hash, length and length in links instead of numbers of texts."""
+        """The outline without the page: hash, length, length in links and number of texts, the number being -1 where the page tells the text as its article's."""
 
         def name(n: list) -> list:
-            return [n[0], [[self.hashes[t], len(self.texts[t]), self.links[t]] for t in n[1]], [name(c) for c in n[2]], n[3]]
+            return [n[0], [[self.hashes[t], len(self.texts[t]), self.links[t], -1 if self.article[t] else t] for t in n[1]], [name(c) for c in n[2]], n[3]]
 
         return json.dumps(name(self.outline), separators=(",", ":"))
 
+    def sayable(self) -> list[str | None]:
+        """Its texts, without those that aren't the article's as far as the page itself tells."""
+        return [t if (not noisy if self.bare else told) else None for t, noisy, told in zip(self.texts, self.noise, self.article, strict=True)]
+
 
 def match(a: list, b: list, cells: list[int] | None = None) -> tuple[int, list[tuple[list, list]]]:
     """Simple tree matching: the size of the largest order-preserving match of two trees with like roots, and its pairs.
@@ -269,14 +287,14 @@ def host_of(url) -> F.Column:
 
 
 def _outlines(pages: DataFrame) -> DataFrame:
-    """host, layout, bare, texts, digest, outline of the different pages of each host: copies count once."""
+    """host, digest, layout, bare, texts, outline, copies of the different pages of each host: copies count once."""
 
     def tell(html: pa.Array) -> list:
         read = [Page(x.as_py()) for x in html]
         return [[p.layout for p in read], [p.bare for p in read], [len(p.texts) for p in read], [p.told() for p in read]]
 
-    told = pages.select("host", F.sha2(F.coalesce("html", F.lit("")), 256).alias("digest"), bw.told_by(tell, "layout string, bare boolean, texts long, outline string", F.col("html")).alias("told"))
-    return told.select("host", "digest", "told.*").dropDuplicates(["host", "digest"])
+    told = pages.select("host", "digest", bw.told_by(tell, "layout string, bare boolean, texts long, outline string", F.col("html")).alias("told"))
+    return told.groupBy("host", "digest").agg(F.first("told").alias("told"), F.count("*").alias("copies")).select("host", "digest", "told.*", "copies")
 
 
 def _references(outlines: DataFrame) -> DataFrame:
@@ -319,21 +337,35 @@ def _statistics(outlines: DataFrame, references: DataFrame) -> DataFrame:
     return counted.groupBy("host", "layout", "path", "hash").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ("chars", "links", "blocks")], F.sum(F.col("blocks") * F.col("blocks")).alias("squares"))
 
 
-def _with_wrappers(pages: DataFrame, outlines: DataFrame, wrappers: DataFrame) -> DataFrame:
-    """``pages`` with outline and template of their layout's wrapper, bare pages of unusual layouts with those of the host's most usual one; nulls where there is none.
+def _taken(outlines: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """host, digest, taken (of each text whether the wrapper takes it), n_taken of the pages that a wrapper takes texts from.
 
+    A page meets the wrapper of its layout, a bare page of an unusual layout that of the host's most usual one.
     A layout's pages, and a host's layouts, are dealt over salts where they are very many.
     """
+
+    def tell(batches):
+        for b in batches:
+            read, rows = {}, []
+            for host, digest, own, reference, template in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+                if (reference, template) not in read:
+                    read[reference, template] = json.loads(reference), json.loads(template)
+                gone = _gone(*read[reference, template], json.loads(own))
+                if gone:
+                    rows.append((host, digest, [t in gone for t in range(max(gone) + 1)], len(gone)))
+            cols = list(zip(*rows, strict=True)) or [[]] * 4
+            kinds = pa.string(), pa.binary(), pa.list_(pa.bool_()), pa.int64()
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["host", "digest", "taken", "n_taken"])
+
     layouts = outlines.groupBy("host", "layout").agg(F.first("bare").alias("bare"), F.count("*").alias("n"))  # a layout tells whether it is bare
     layouts = shared.materialize(layouts.join(wrappers.select("host", "layout", "pages"), ["host", "layout"], "left"), "layouts")
     first = wrappers.groupBy("host").agg(F.min(F.struct(-F.col("pages"), F.col("layout")))["layout"].alias("layout")).join(wrappers, ["host", "layout"]).select("host", "outline", "template")
     rare = layouts.filter("pages IS NULL AND bare").select("host", "layout")
     fewest = shared.materialize(rare.groupBy("host").agg(F.count("*").alias("n")), "rare")
     lent = shared.salted_join(rare, first, ["host"], shared.hot_keys(fewest, ["host"], "n"), F.col("layout"))
-    every = wrappers.select("host", "layout", "outline", "template").union(lent.select("host", "layout", "outline", "template"))
-    shared.bounded_batches(pages.sparkSession)
-    told = pages.withColumn("layout", bw.told_by(lambda html: [[Page(x.as_py()).layout for x in html]], "layout string", F.col("html"))["layout"])
-    return shared.salted_join(told, every, ["host", "layout"], shared.hot_keys(layouts, ["host", "layout"], "n"), F.col("html"), "left")
+    every = wrappers.select("host", "layout", "outline", "template").union(lent.select("host", "layout", "outline", "template")).withColumnRenamed("outline", "reference")
+    each = shared.salted_join(outlines.select("host", "layout", "digest", "outline"), every, ["host", "layout"], shared.hot_keys(layouts, ["host", "layout"], "n"), F.col("digest"))
+    return each.select("host", "digest", "outline", "reference", "template").mapInArrow(tell, "host string, digest binary, taken array<boolean>, n_taken long")
 
 
 #: Kinds of blocks that a sibling with words of its own has, however few these are.
@@ -403,53 +435,39 @@ def extract(pages: DataFrame, induce: bool = True) -> DataFrame:
     """
     shared.bounded_batches(pages.sparkSession)
     slim = pages.select(pages["page_id"].alias("page_id"), pages["url"].alias("url"), pages["html"].cast("string").alias("html"), host_of(pages["url"].cast("string")).alias("host"))
+    slim = slim.withColumn("digest", F.unhex(F.sha2(F.coalesce("html", F.lit("")), 256)))
+    said = slim.select("page_id", "url", "host", "digest", bw.told_by(lambda html: [[Page(x.as_py()).sayable() for x in html]], "said array<string>", F.col("html"))["said"].alias("said"))
     if induce:
         outlines = shared.materialize(_outlines(slim), "outlines")
         references = shared.materialize(_references(outlines), "references")
         wrappers = shared.materialize(_wrappers(references, _statistics(outlines, references)), "wrappers")
-        slim = _with_wrappers(slim, outlines, wrappers)
+        taken = shared.materialize(_taken(outlines, wrappers), "taken")
+        said = shared.salted_join(said, taken, ["host", "digest"], shared.hot_keys(outlines, ["host", "digest"], "copies"), F.struct("page_id", "url"), "left")
     else:
-        slim = slim.withColumns({"outline": F.lit(None).cast("string"), "template": F.lit(None).cast("string")})
-
-    def tell(batches):
-        for b in batches:
-            read, said = {}, []
-            for html, outline, template in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-                if outline is not None and (outline, template) not in read:
-                    read[outline, template] = json.loads(outline), json.loads(template)
-                said.append(_said(Page(html), read.get((outline, template))))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([t for t, _ in said], pa.string()), pa.array([len(t) for t, _ in said], pa.int64()), pa.array([n for _, n in said], pa.int64())], names=["page_id", "url", "text", "n_chars", "n_template"])
-
-    schema = f"page_id {slim.schema['page_id'].dataType.simpleString()}, url {slim.schema['url'].dataType.simpleString()}, text string, n_chars long, n_template long"
-    return slim.select("page_id", "url", "html", "outline", "template").mapInArrow(tell, schema)
+        said = said.withColumns({"taken": F.lit(None).cast("array<boolean>"), "n_taken": F.lit(None).cast("long")})
+    stays = F.filter("said", lambda text, i: text.isNotNull() & ~F.coalesce(F.get("taken", i), F.lit(False)))
+    text = said.select("page_id", "url", F.array_join(stays, "\n").alias("text"), "n_taken")
+    return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), F.coalesce("n_taken", F.lit(0)).cast("long").alias("n_template"))
 
 
-def _said(page: Page, wrapper: tuple[list, dict] | None) -> tuple[str, int]:
-    """The page's text without its wrapper, and the number of texts that are the wrapper's.
+def _gone(reference: list, template: dict, outline: list) -> set[int]:
+    """Numbers of the texts of an outline that are its wrapper's; of a told article the wrapper takes nothing.
 
-    A page of an unusual layout is aligned with the host's most usual one, but what it tells
-    itself goes before that: of a told article the wrapper takes nothing.
+    A page of an unusual layout is aligned with the host's most usual one.
     """
     gone: set[int] = set()
-    if wrapper:
-        reference, template = wrapper
-        if template["cut"] or template["constant"]:
-            cut, constant = {*template["cut"]}, defaultdict(set)
-            for path, h in template["constant"]:
-                constant[path].add(h)
-            for path, _, own in _aligned(reference, page.outline):
-                gone |= {*_below(own)} if path in cut else {t for t in own[1] if page.hashes[t] in constant[path]}
-    if page.bare:
-        said = [t for i, t in enumerate(page.texts) if i not in gone and not page.noise[i]]
-    else:
-        gone = {i for i in gone if not page.article[i]}
-        said = [t for i, t in enumerate(page.texts) if i not in gone and page.article[i]]
-    return "\n".join(said), len(gone)
+    if template["cut"] or template["constant"]:
+        cut, constant = {*template["cut"]}, defaultdict(set)
+        for path, h in template["constant"]:
+            constant[path].add(h)
+        for path, _, own in _aligned(reference, outline):
+            gone |= {t[3] for t in _below(own)} if path in cut else {t[3] for t in own[1] if t[0] in constant[path]}
+    return gone - {-1}
 
 
 def _text(html: str | None) -> str:
     """The text of a page of an unknown host."""
-    return _said(Page(html), None)[0]
+    return "\n".join(t for t in Page(html).sayable() if t is not None)
 
 
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
 from html import unescape
 
 #: Elements without content, elements whose content is not markup, and elements that start a block.
@@ -20,6 +20,8 @@ _CLOSES = {
 _NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
 #: Attributes up to the tag's end, with quoted values; without backtracking.
 _REST = re.compile(r"[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+")
+#: A whole tag whose quotes pair: a name, attributes and the end at once.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+)>")
 _ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
 
 
@@ -53,37 +55,44 @@ def _tokens(html: str):
     A tag ends at the first ``>`` outside of quotes, or at the first one where quotes don't
     pair. A ``<`` that begins no tag is text, and so is all that follows the last ``>``.
     """
-    at, size, spent = 0, len(html), 0
+    at, size, spent, paired = 0, len(html), 0, True
     while at < size:
         lt = html.find("<", at)
-        if lt < 0 or html.find(">", lt) < 0 and not html.startswith("<!--", lt):
-            yield html[at:], None
-            return
-        if html.startswith("<!--", lt):
-            end = html.find("-->", lt + 4)
+        m = _TAG.match(html, lt) if paired and lt >= 0 else None
+        if m is not None:
+            end, (slash, tag, attrs) = m.end() - 1, m.groups()
+        else:
+            if lt < 0 or html.find(">", lt) < 0 and not html.startswith("<!--", lt):
+                yield html[at:], None
+                return
+            if html.startswith("<!--", lt):
+                end = html.find("-->", lt + 4)
+                yield html[at:lt], None
+                at = size if end < 0 else end + 3
+                continue
+            m = _NAME.match(html, lt + 1)
+            if m is None and html[lt + 1 : lt + 2] not in ("!", "?", "/"):
+                yield html[at : lt + 1], None
+                at = lt + 1
+                continue
+            if m is None:
+                yield html[at:lt], None
+                at = html.find(">", lt) + 1
+                continue
+            paired = False  # quotes don't pair: the rest of the page is read within bounds
+            rest = m.end()
+            end = _REST.match(html, rest).end() if spent <= 8 * size else size
+            if end >= size or html[end] != ">":
+                spent += end - rest
+                end = html.find(">", rest)
+            slash, tag, attrs = m[1], m[2], html[rest:end]
+        if lt > at:
             yield html[at:lt], None
-            at = size if end < 0 else end + 3
-            continue
-        m = _NAME.match(html, lt + 1)
-        if m is None and html[lt + 1 : lt + 2] not in ("!", "?", "/"):
-            yield html[at : lt + 1], None
-            at = lt + 1
-            continue
-        yield html[at:lt], None
-        if m is None:
-            at = html.find(">", lt) + 1
-            continue
-        rest = m.end()
-        end = _REST.match(html, rest).end() if spent <= 8 * size else size
-        if end >= size or html[end] != ">":
-            spent += end - rest
-            end = html.find(">", rest)
-        at = end + 1
-        tag = m[2].lower()
-        if m[1]:
+        at, tag = end + 1, tag.lower()
+        if slash:
             yield "", f"/{tag}"
             continue
-        yield html[rest:end], tag
+        yield attrs, tag
         if tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
             to = close.start() if close else size
@@ -96,7 +105,7 @@ def _tokens(html: str):
 def parse(html: str, is_part=lambda n: False, closed=frozenset()) -> Node:
     """The tree of a page. ``holds`` is set on every element above one that ``is_part``, as far as one of the kinds ``closed``."""
     root = Node("#root")
-    stack, opened = [root], Counter()
+    stack, opened = [root], defaultdict(int)
 
     def cut(to: int) -> None:
         for n in stack[to:]:
@@ -106,6 +115,10 @@ def parse(html: str, is_part=lambda n: False, closed=frozenset()) -> Node:
     def close(tag: str) -> None:
         if not opened[tag]:
             return
+        if stack[-1].tag == tag:
+            stack.pop()
+            opened[tag] -= 1
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag == tag:
                 cut(i)
@@ -184,5 +197,5 @@ def blocks(node: Node, skip, own=lambda n: False) -> tuple[list[tuple[int, str,
         else:
             stack.append((iter(c.children), holder, linked or c.tag == "a", False))
     tidy = lambda parts: " ".join(unescape("".join(parts)).split())
-    said = ((h, tidy(parts), len(tidy(links))) for h, parts, links in out)
+    said = ((h, tidy(parts), len(tidy(links)) if links else 0) for h, parts, links in out)
     return [x for x in said if x[1]], found
