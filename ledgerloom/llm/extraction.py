@@ -289,9 +289,12 @@ def host_of(url) -> F.Column:
 def _outlines(pages: DataFrame) -> DataFrame:
     """host, digest, layout, bare, texts, outline, copies of the different pages of each host: copies count once."""
 
+    def one(html: str | None) -> tuple:
+        page = Page(html)  # its tree goes before the next page is read
+        return page.layout, page.bare, len(page.texts), page.told()
+
     def tell(html: pa.Array) -> list:
-        read = [Page(x.as_py()) for x in html]
-        return [[p.layout for p in read], [p.bare for p in read], [len(p.texts) for p in read], [p.told() for p in read]]
+        return [list(c) for c in zip(*(one(x.as_py()) for x in html), strict=True)] or [[]] * 4
 
     told = pages.select("host", "digest", bw.told_by(tell, "layout string, bare boolean, texts long, outline string", F.col("html")).alias("told"))
     return told.groupBy("host", "digest").agg(F.first("told").alias("told"), F.count("*").alias("copies")).select("host", "digest", "told.*", "copies")
