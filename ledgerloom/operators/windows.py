@@ -103,10 +103,17 @@ def rolling_extremes_by_month(asked: DataFrame, daily: DataFrame, monthly: DataF
     turned = lambda c: -F.datediff(c, F.lit("1970-01-01"))
     tops = extremes_from(values.withColumn("_at", turned(F.col("_at"))), asked.withColumns({"_at": turned(date), "month_": month(date)}), [*keys, "month_"], "_at").withColumnsRenamed({"_slo": "_plo", "_shi": "_phi"}).drop("_at", "month_")
     ends = extremes_from(values, tops.withColumns({"_at": begin, "month_": month(begin)}), [*keys, "month_"], "_at").drop("_at", "month_")
-    whole = ends.select(*keys, day).distinct().withColumn("month_", F.explode_outer(F.filter(F.sequence(F.add_months(month(begin), 1), month(date), F.expr("INTERVAL 1 MONTH")), lambda m: m < month(date))))
-    between = whole.join(monthly.select(*[F.col(c).alias(f"_k_{c}") for c in (*keys, "month_")], _LEAST, _MOST), [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys] + [F.col("month_") == F.col("_k_month_")], "left")
-    held = between.groupBy(*keys, day).agg(F.min(_LEAST).alias("_blo"), F.max(_MOST).alias("_bhi")).withColumnsRenamed({c: f"_k_{c}" for c in (*keys, day)})
-    both = ends.join(held, same(ends, held, [*keys, day]), "left")
+    # the whole months between: of each month of a key, what the months before it say, for the few numbers of months that a frame can touch
+    nth = lambda c: F.year(c) * 12 + F.month(c)
+    spans = range(days // 31, (days - 2) // 28 + 2)  # from the first month to the last
+    told = [F.col(c).alias(f"_k_{c}") for c in keys]
+    asked_months = ends.select(*told, nth(date).alias("_k_nth")).distinct().withColumns({c: F.lit(None).cast(monthly.schema[c].dataType) for c in (_LEAST, _MOST)})
+    months = monthly.select(*told, nth("month_").alias("_k_nth"), _LEAST, _MOST).unionByName(asked_months).groupBy(*[f"_k_{c}" for c in keys], "_k_nth").agg(F.min(_LEAST).alias(_LEAST), F.max(_MOST).alias(_MOST))
+    before = lambda f, c, n: f(c).over(Window.partitionBy(*[f"_k_{c}" for c in keys]).orderBy("_k_nth").rangeBetween(-(n - 1), -1)) if n > 1 else F.lit(None).cast(monthly.schema[c].dataType)
+    held = months.select(*[f"_k_{c}" for c in keys], "_k_nth", *[before(f, c, n).alias(f"{out}{n}") for n in spans for f, c, out in ((F.min, _LEAST, "_blo"), (F.max, _MOST, "_bhi"))])
+    number = nth(date) - nth(begin)
+    pick = lambda out: F.coalesce(*[F.when(number == n, F.col(f"{out}{n}")) for n in spans])
+    both = ends.join(held, [*same(ends, held, keys), nth(ends[day]) == held["_k_nth"]], "left").withColumns({"_blo": pick("_blo"), "_bhi": pick("_bhi")})
     return told_extremes(both.withColumns(merged_extremes(["_plo", "_blo", "_slo"], ["_phi", "_bhi", "_shi"])), cols)
 
 

@@ -94,10 +94,11 @@ class Feeds:
     def holdings(self) -> DataFrame:
         return self.trades.filter("line = 'F'").select(F.col("t_id").alias("hh_t_id"), F.when(F.col("type") == "TMB", F.col("quantity")).otherwise(-F.col("quantity")).alias("change"))
 
-    @property
+    @cached_property
     def market(self) -> DataFrame:
+        """Days of each symbol, written once."""
         unit = F.round(F.col("l_extendedprice") / F.col("l_quantity") * 100).cast("long")
-        return self.read("lineitem").groupBy(F.concat(F.lit("S"), F.col("l_partkey").cast("string")).alias("symbol"), F.col("l_shipdate").cast("date").alias("day")).agg(F.min(unit).alias("low"), F.max(unit).alias("high"))
+        return tables.scratch(self.read("lineitem").groupBy(F.concat(F.lit("S"), F.col("l_partkey").cast("string")).alias("symbol"), F.col("l_shipdate").cast("date").alias("day")).agg(F.min(unit).alias("low"), F.max(unit).alias("high")), "market")
 
     @property
     def watches(self) -> DataFrame:

@@ -465,8 +465,9 @@ def patched_current(t):
 
 def fed(df: DataFrame, seq: str, home: str, batches: int = 4, rows_a_file: int = 250_000) -> DataFrame:
     """``df`` as a stream of files, out of order by ``seq``: as many files as its rows need, read in ``batches`` micro-batches."""
-    parts = max(batches, -(-df.count() // rows_a_file))
-    df.repartition(parts, F.xxhash64(seq)).write.parquet(f"{home}/feed")
+    with tables.freed(df.sparkSession):
+        parts = max(batches, -(-df.count() // rows_a_file))
+        df.repartition(parts, F.xxhash64(seq)).write.parquet(f"{home}/feed")
     return files.stream_table(df.sparkSession, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema), f"{home}/feed", "parquet", files_per_trigger=-(-parts // batches))
 
 

@@ -114,7 +114,7 @@ _RANGE = loaded.SQL["wh_fact_market_history"].removeprefix(loaded._CTES).replace
 @query(_RANGE)
 def wh_market_by_days(w):
     """The market fact over the last 365 days (not rows), in one batch."""
-    return w.market_told(W.rolling_extremes(w.feed.market, ["symbol"], "day", "low", "high", days=365))
+    return tables.by_slices(lambda days: w.market_told(W.rolling_extremes(days, ["symbol"], "day", "low", "high", days=365)), [w.feed.market], ["symbol"], "fact")
 
 
 @query(_RANGE)
@@ -124,7 +124,7 @@ def wh_market_daily(w):
     source = fed(market, "day", home)
     kept = DailyExtremes(w.spark, home, market.schema, ["symbol"], "day", "low", "high")
     kept.run(source, f"{home}/checkpoint")
-    return w.market_told(market.select("symbol", "day", "low", "high").join(kept.read(), ["symbol", "day"]))
+    return tables.by_slices(lambda days, extremes: w.market_told(days.join(extremes, ["symbol", "day"])), [market, kept.read()], ["symbol"], "fact")
 
 
 _DAILY = {

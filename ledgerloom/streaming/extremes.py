@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import windows as W
-from ledgerloom.sources.tables import scratch
+from ledgerloom.sources.tables import freed, scratch
 from ledgerloom.streaming.replay import DailyParts, run_stream
 
 
@@ -45,7 +45,8 @@ class DailyExtremes:
     def step(self, batch: DataFrame, n: int) -> None:
         """Micro-batch ``n``; run again it writes the same parts."""
         rows = scratch(batch.withColumn("month_", F.trunc(self.day, "month")), "batch")
-        months = sorted(r[0] for r in rows.select("month_").distinct().collect() if r[0])  # a row a month
+        with freed(rows.sparkSession):
+            months = sorted(r[0] for r in rows.select("month_").distinct().collect() if r[0])  # a row a month
         self.daily.write(rows, n)
         extremes = self._marked(rows).groupBy(*self.keys, "month_").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
         self.monthly.write(extremes, n)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom.operators.audit import Observed
-from ledgerloom.sources.tables import scratch
+from ledgerloom.sources.tables import freed, scratch
 
 Step = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -89,7 +89,8 @@ class Target:
         before = [n for n in self.commits() if n < version]
         held = self.versions(before[-1]) if before else {}
         at = f"{self.home}/table/version_={version}"
-        rows.select(*self.schema.names).withColumn("bucket_", self.number).hint("rebalance", "bucket_").write.mode("overwrite").partitionBy("bucket_").parquet(at)
+        with freed(rows.sparkSession):
+            rows.select(*self.schema.names).withColumn("bucket_", self.number).hint("rebalance", "bucket_").write.mode("overwrite").partitionBy("bucket_").parquet(at)
         now = {b: v for b, v in held.items() if b not in {*buckets}} | {int(b): version for b in self.files.names(at, "bucket_=")}
         self.spark.createDataFrame([*now.items()], "bucket long, version long").coalesce(1).write.mode("overwrite").parquet(f"{self.home}/commits/{version}")
         self._known[version] = now
@@ -140,7 +141,8 @@ def fold(
             own.write(step(held, rows), touched, n)
             if changes:
                 now = own.read(touched).select(*changes)
-                now.exceptAll(held.select(*changes)).write.mode("overwrite").parquet(f"{home}/changes/batch_={n}")
+                with freed(now.sparkSession):
+                    now.exceptAll(held.select(*changes)).write.mode("overwrite").parquet(f"{home}/changes/batch_={n}")
 
     run_stream(source, each, f"{home}/checkpoint")
     return Target(spark, home, seed, keys, buckets).read()
@@ -169,7 +171,8 @@ class DailyParts:
 
     def write(self, rows: DataFrame, n: int) -> None:
         """Micro-batch ``n``'s part; written again it replaces itself. A date with many rows is dealt over several tasks."""
-        rows.hint("rebalance", self.key).write.mode("overwrite").partitionBy(self.key).parquet(f"{self.path}/part_={n}")
+        with freed(rows.sparkSession):
+            rows.hint("rebalance", self.key).write.mode("overwrite").partitionBy(self.key).parquet(f"{self.path}/part_={n}")
 
     def _complete(self) -> list[str]:
         """Names of parts that count: a micro-batch's with its marker; whole dates are moved to their place each at once."""
@@ -220,7 +223,8 @@ class DailyParts:
 
     def _add_whole(self, rows: DataFrame, n: int) -> None:
         """Whole dates beside those that a whole part of that number has already."""
-        rows.hint("rebalance", self.key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.key).parquet(f"{self.path}/part_={n}w")
+        with freed(rows.sparkSession):
+            rows.hint("rebalance", self.key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.key).parquet(f"{self.path}/part_={n}w")
 
     def replace(self, rows: DataFrame) -> None:
         """Whole dates told anew, in place of all that came so far; later micro-batches add to them."""
