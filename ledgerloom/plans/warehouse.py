@@ -157,11 +157,12 @@ class Warehouse:
 
     @cached_property
     def dim_trade(self) -> DataFrame:
-        return self._kept(self.trades_told(), "dim_trade")
+        return tables.by_slices(self.trades_told, [self.feed.trades, self.feed.trade_history], ["t_id"], "dim_trade")
 
-    def trades_told(self) -> DataFrame:
-        life = K.trade_lifecycle(self.feed.trade_history, ["t_id"], "th_dts", "status", ["SBMT"], ["CMPT", "CNCL"])
-        rows = self.feed.trades.join(life, "t_id")
+    def trades_told(self, trades: DataFrame, history: DataFrame) -> DataFrame:
+        """Trades with their life cycles from a log of their status, and with the accounts and securities of their time."""
+        life = K.trade_lifecycle(history, ["t_id"], "th_dts", "status", ["SBMT"], ["CMPT", "CNCL"])
+        rows = trades.join(life, "t_id")
         rows = H.as_of_join(rows, self.dim_account.select("accountid", "sk_accountid", "sk_customerid", "effectivedate", "enddate"), ["accountid"], "create_ts").drop("effectivedate", "enddate")
         rows = H.as_of_join(rows, self.dim_security.select("symbol", "sk_securityid", "sk_companyid", "effectivedate", "enddate"), ["symbol"], "create_ts").drop("effectivedate", "enddate")
         return rows.select("t_id", C.date_key("create_ts").alias("sk_createdateid"), C.time_key("create_ts").alias("sk_createtimeid"), C.date_key("close_ts").alias("sk_closedateid"), C.map_codes("status", C.STATUS).alias("status"), C.map_codes("type", C.TRADE_TYPE).alias("type"),

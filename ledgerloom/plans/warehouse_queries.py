@@ -102,7 +102,7 @@ def wh_dim_account(w):
 @query("""SELECT t_id, CAST(strftime(placed, '%Y%m%d') AS BIGINT) AS sk_createdateid, CAST(strftime(placed, '%H%M%S') AS BIGINT) AS sk_createtimeid, CAST(strftime(closed, '%Y%m%d') AS BIGINT) AS sk_closedateid, status, CASE WHEN l_linenumber % 2 = 0 THEN 'Market Buy' ELSE 'Market Sell' END AS type,
 sk_accountid, sk_customerid, sk_companyid, symbol, quantity, cents FROM dtrade""")
 def wh_dim_trade(w):
-    return w.trades_told().drop("sk_securityid", "commission", "fee")
+    return w.dim_trade.drop("sk_securityid", "commission", "fee")
 
 
 @query("SELECT t_id AS hh_t_id, CASE WHEN l_linenumber % 2 = 0 THEN quantity ELSE -quantity END AS change, sk_accountid, sk_customerid, CAST(strftime(closed, '%Y%m%d') AS BIGINT) AS sk_dateid, cents AS currentprice FROM dtrade WHERE line = 'F'")
