@@ -173,7 +173,8 @@ class Warehouse:
     @cached_property
     def fact_holdings(self) -> DataFrame:
         t = self.dim_trade.select(F.col("t_id").alias("hh_t_id"), "sk_accountid", "sk_customerid", "sk_securityid", "sk_closedateid", "cents")
-        return self.feed.holdings.join(t, "hh_t_id").select("hh_t_id", "change", "sk_accountid", "sk_customerid", "sk_securityid", F.col("sk_closedateid").alias("sk_dateid"), F.col("cents").alias("currentprice"))
+        told = lambda held, t: held.join(t, "hh_t_id").select("hh_t_id", "change", "sk_accountid", "sk_customerid", "sk_securityid", F.col("sk_closedateid").alias("sk_dateid"), F.col("cents").alias("currentprice"))
+        return tables.by_slices(told, [self.feed.holdings, t], ["hh_t_id"], "fact_holdings")
 
     @cached_property
     def fact_cash(self) -> DataFrame:
