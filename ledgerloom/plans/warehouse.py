@@ -182,7 +182,7 @@ class Warehouse:
         by_day = (["accountid"], ["day"], "total")
         daily = W.running_sum_blocks(totals, *by_day, F.year("day"), "cash") if self.hot_keys else W.running_sum(totals, *by_day, "cash")
         rows = H.as_of_join(daily, self.dim_account.select("accountid", "sk_accountid", "sk_customerid", "effectivedate", "enddate"), ["accountid"], "day")
-        return rows.select("accountid", "sk_accountid", "sk_customerid", C.date_key("day").alias("sk_dateid"), "cash")
+        return self._kept(rows.select("accountid", "sk_accountid", "sk_customerid", C.date_key("day").alias("sk_dateid"), "cash"), "fact_cash")
 
     @cached_property
     def fact_market(self) -> DataFrame:

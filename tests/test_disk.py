@@ -55,7 +55,7 @@ def test_months_between_are_looked_up_not_spread(spark):
 
 
 #: What these load is written when the query returns.
-LOADS = ["wh_market_daily", "wh_dim_trade", "wh_fact_holdings"]
+LOADS = ["wh_market_daily", "wh_dim_trade", "wh_fact_holdings", "wh_message_log"]
 
 
 @pytest.mark.parametrize("name", LOADS)
