@@ -125,7 +125,7 @@ class Warehouse:
     def company_year_eps(self) -> DataFrame:
         """Earnings per share of each company's four quarters before a quarter."""
         own = self.financial.join(self.dim_company.select("sk_companyid", "companyid"), "sk_companyid")
-        return W.trailing_sum(own, ["companyid"], ["year", "quarter"], "eps", 4, out="prev_year_eps").select("companyid", "year", "quarter", "prev_year_eps")
+        return self._kept(W.trailing_sum(own, ["companyid"], ["year", "quarter"], "eps", 4, out="prev_year_eps").select("companyid", "year", "quarter", "prev_year_eps"), "company_year_eps")
 
     @cached_property
     def prospect(self) -> DataFrame:
@@ -186,14 +186,22 @@ class Warehouse:
 
     @cached_property
     def fact_market(self) -> DataFrame:
-        return self.market_told(W.rolling_extremes(self.feed.market, ["symbol"], "day", "low", "high"))
+        told = lambda days: self.market_told(W.rolling_extremes(days, ["symbol"], "day", "low", "high"))
+        return tables.by_slices(told, [self.feed.market], ["symbol"], "fact_market")
+
+    @cached_property
+    def security_companies(self) -> DataFrame:
+        """Securities' versions with the number of their company, by which earnings are told."""
+        both = self.dim_security.join(self.dim_company.select("sk_companyid", "companyid"), "sk_companyid")
+        return self._kept(both.select("symbol", "sk_securityid", "sk_companyid", "companyid", "dividend", "effectivedate", "enddate"), "security_companies")
 
     def market_told(self, w: DataFrame) -> DataFrame:
         """Days with their extremes, joined by the security and the earnings of their time."""
-        s = H.as_of_join(w, self.dim_security.select("symbol", "sk_securityid", "sk_companyid", "dividend", "effectivedate", "enddate"), ["symbol"], "day").drop("effectivedate", "enddate")
-        s = s.withColumns({"year": F.year("day"), "quarter": F.quarter("day")}).join(self.dim_company.select("sk_companyid", "companyid"), "sk_companyid")
+        s = H.as_of_join(w, self.security_companies.select("symbol", "companyid", "dividend", "effectivedate", "enddate"), ["symbol"], "day").drop("effectivedate", "enddate")
+        s = s.withColumns({"year": F.year("day"), "quarter": F.quarter("day")})
         s = s.join(self.company_year_eps, ["companyid", "year", "quarter"], "left")
-        return s.select("symbol", C.date_key("day").alias("sk_dateid"), "low", "high", "low_value", C.date_key("low_day").alias("sk_lowdate"), "high_value", C.date_key("high_day").alias("sk_highdate"), F.round(C.safe_ratio("low", "prev_year_eps"), 6).alias("peratio"), F.round(C.safe_ratio(F.col("dividend") * 100, "low"), 6).alias("yield"))
+        sixth = lambda x: F.round(x * 1e6) / 1e6  # noqa: E731  as DuckDB rounds doubles: ``round(x, 6)`` would round their decimal text
+        return s.select("symbol", C.date_key("day").alias("sk_dateid"), "low", "high", "low_value", C.date_key("low_day").alias("sk_lowdate"), "high_value", C.date_key("high_day").alias("sk_highdate"), sixth(C.safe_ratio("low", "prev_year_eps")).alias("peratio"), sixth(C.safe_ratio(F.col("dividend") * 100, "low")).alias("yield"))
 
     @cached_property
     def fact_watches(self) -> DataFrame:
