@@ -281,12 +281,16 @@ def wh_holdings_incremental(w):
 @query(SQL["wh_fact_market_history"].removeprefix(_CTES))
 def wh_market_incremental(w):
     """Prices by two periods: the second one's frames are made of its own rows and the last 364 of each symbol before it, which are picked out of the whole history (``wh_market_daily`` reads a year only)."""
-    cut, feed = F.lit("1998-01-01").cast("date"), w.feed.market
-    old, new = tables.split_at(feed, "day", cut)
-    first = W.rolling_extremes(old, ["symbol"], "day", "low", "high")
-    tail = W.top_rows(old, ["symbol"], [F.desc("day")], 364)
-    second = W.rolling_extremes(tail.unionByName(new), ["symbol"], "day", "low", "high").filter(F.col("day") >= cut)
-    return w.market_told(first.unionByName(second))
+    cut = F.lit("1998-01-01").cast("date")
+
+    def told(days: DataFrame) -> DataFrame:
+        old, new = tables.split_at(days, "day", cut)
+        first = W.rolling_extremes(old, ["symbol"], "day", "low", "high")
+        tail = W.top_rows(old, ["symbol"], [F.desc("day")], 364)
+        second = W.rolling_extremes(tail.unionByName(new), ["symbol"], "day", "low", "high").filter(F.col("day") >= cut)
+        return w.market_told(first.unionByName(second))
+
+    return tables.by_slices(told, [w.feed.market], ["symbol"], "fact")
 
 
 @query("SELECT sk_accountid, accountid, sk_customerid, brokerid, status, CAST(s AS VARCHAR) AS effectivedate, CAST(e AS VARCHAR) AS enddate, e = DATE '9999-12-31' AS iscurrent FROM acct")
