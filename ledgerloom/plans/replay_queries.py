@@ -60,7 +60,8 @@ def wh_holdings_stream(w):
     """Holdings by month: history is loaded once, then a stream in which months come in pieces looks its trades up, passes over what history has, and adds its parts."""
     home, last = tables.scratch_path(w.spark, "holdings"), "1996-12-01"
     t = w.dim_trade.select(F.col("t_id").alias("hh_t_id"), "sk_accountid", "sk_customerid", F.col("sk_closedateid").alias("sk_dateid"), F.col("cents").alias("currentprice"))
-    rows = w.feed.holdings.join(w.feed.trades.select(F.col("t_id").alias("hh_t_id"), F.trunc("shipped", "month").alias("month")), "hh_t_id")
+    at = w.feed.trades.select(F.col("t_id").alias("hh_t_id"), F.trunc("shipped", "month").alias("month"))
+    rows = tables.by_slices(lambda held, at: held.join(at, "hh_t_id"), [w.feed.holdings, at], ["hh_t_id"], "holdings")
     told = lambda x: x.join(t, "hh_t_id")
     parts = replay.DailyParts(w.spark, f"{home}/fact", "month")
     source = fed(rows, "hh_t_id", home)
