@@ -270,12 +270,13 @@ def wh_holdings_incremental(w):
     t = w.dim_trade.select(F.col("t_id").alias("hh_t_id"), "sk_accountid", "sk_customerid", "sk_closedateid", "cents").withColumn("closed_in", F.coalesce(F.expr("sk_closedateid div 10000"), F.lit(0)))
     tables.overwrite(t.hint("rebalance", "closed_in"), path, ["closed_in"])
     trades = w.spark.read.parquet(path)
-    told = w.feed.holdings.join(w.feed.trades.select(F.col("t_id").alias("hh_t_id"), F.col("shipped").alias("at")), "hh_t_id")
-    out = f"{path}_fact"
+    at = w.feed.trades.select(F.col("t_id").alias("hh_t_id"), F.year("shipped").alias("at"))
+    periods = []
     for lo, hi in ((0, 1997), (1997, 10_000)):
-        own = told.filter((F.year("at") >= lo) & (F.year("at") < hi)).drop("at").join(trades.filter((F.col("closed_in") >= lo) & (F.col("closed_in") < hi)), "hh_t_id")
-        tables.append(own.select("hh_t_id", "change", "sk_accountid", "sk_customerid", F.col("sk_closedateid").alias("sk_dateid"), F.col("cents").alias("currentprice")), out)
-    return w.spark.read.parquet(out)
+        own = [w.feed.holdings, at.filter((F.col("at") >= lo) & (F.col("at") < hi)), trades.filter((F.col("closed_in") >= lo) & (F.col("closed_in") < hi))]
+        told = lambda held, at, t: held.join(at, "hh_t_id").join(t, "hh_t_id").select("hh_t_id", "change", "sk_accountid", "sk_customerid", F.col("sk_closedateid").alias("sk_dateid"), F.col("cents").alias("currentprice"))
+        periods.append(tables.by_slices(told, own, ["hh_t_id"], "fact"))
+    return periods[0].unionByName(periods[1])
 
 
 @query(SQL["wh_fact_market_history"].removeprefix(_CTES))
