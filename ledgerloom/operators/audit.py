@@ -184,7 +184,7 @@ def completeness(groups: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame
     return both.groupBy("dataset").agg(F.max("source_rows").alias("source_rows"), F.max("target_rows").alias("target_rows"))
 
 
-def null_sweep(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+def null_sweep(held: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """dataset, attribute, rows, nulls of the named columns; each table is read once."""
 
     def one(name: str, df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -192,7 +192,7 @@ def null_sweep(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFra
         each = F.array(*[F.struct(F.lit(c).alias("attribute"), F.col("n").alias("rows"), F.col(f"c{i}").alias("nulls")) for i, c in enumerate(cols)])
         return counts.select(F.lit(name).alias("dataset"), F.inline(each))
 
-    return union([one(name, df, cols) for name, (df, cols) in tables.items()])
+    return one_by_one([one(name, df, cols) for name, (df, cols) in held.items()], "nulls")
 
 
 def check_tags(df: DataFrame, told: str, rules: Sequence[tuple[str, Column]], sep: str = "+") -> DataFrame:
