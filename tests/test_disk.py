@@ -55,7 +55,7 @@ def test_months_between_are_looked_up_not_spread(spark):
 
 
 #: What these load is written when the query returns.
-LOADS = ["wh_market_daily", "wh_dim_trade", "wh_fact_holdings", "wh_message_log", "wh_fact_market_history", "wh_market_incremental", "wh_audits", "wh_holdings_stream", "wh_holdings_incremental", "wh_null_keys", "wh_completeness", "wh_alerts_expected"]
+LOADS = ["wh_market_daily", "wh_dim_trade", "wh_fact_holdings", "wh_message_log", "wh_fact_market_history", "wh_market_incremental", "wh_audits", "wh_holdings_stream", "wh_holdings_incremental", "wh_null_keys", "wh_completeness", "wh_alerts_expected", "wh_alerts"]
 
 
 @pytest.mark.parametrize("name", LOADS)
